@@ -76,3 +76,200 @@ register("normalize_bing", "SELECT * FROM u_bing")
 register("normalize_meta", "SELECT * FROM u_meta")
 register("unified_campaigns", "SELECT * FROM unified")
 register("dated_rows", "SELECT * FROM dated")
+
+
+# --------------------------------------------------------------------------- audit
+_MISS = ["date", "channel", "campaign_id", "campaign_name", "campaign_type", "spend", "revenue"]
+_NEG = ["daily_budget", "spend", "clicks", "impressions", "conversions", "revenue", "ctr", "cpc", "cpm",
+        "conversion_rate", "roas"]
+_ZERO = [("spend", "Zero spend rows"), ("revenue", "Zero revenue rows"), ("clicks", "Zero click rows"),
+         ("impressions", "Zero impression rows")]
+_DBL = {"spend", "revenue"}
+_aggs = ["count(*) AS _rows"]
+_aggs += [f"count_if({c} IS NULL{' OR isnan(' + c + ')' if c in _DBL else ''}) AS miss_{c}" for c in _MISS]
+_aggs += [f"count_if({c} < 0) AS neg_{c}" for c in _NEG]
+_aggs += ["count_if(date IS NULL) AS bad_date"]
+_aggs += [f"count_if({c} = 0) AS zero_{c}" for c, _ in _ZERO]
+_aggs += ["count_if(roas IS NOT NULL AND NOT isnan(roas) AND NOT isinf(roas)) AS roas_valid",
+          "count_if(roas IS NOT NULL AND NOT isnan(roas) AND NOT isinf(roas) AND roas > 100) AS roas_extreme"]
+cte("dq_counts", "SELECT " + ", ".join(_aggs) + " FROM unified")
+cte("dq_dups", "SELECT COALESCE(SUM(n - 1), 0)::BIGINT AS duplicates FROM "
+               "(SELECT date, channel, campaign_id, count(*) AS n FROM unified GROUP BY ALL)")
+
+
+def _dq(ord_, check, column, value, message, src="dq_counts"):
+    col = "NULL::VARCHAR" if column is None else f"'{column}'"
+    return (f"SELECT {ord_}::INTEGER AS ord, '{check}' AS check_name, {col} AS column_name, "
+            f"({value})::BIGINT AS value, ({message})::VARCHAR AS message FROM {src}")
+
+
+_parts = [_dq(0, "required_columns", None, "0", "NULL")]
+_parts += [_dq(10 + i, "missing_values", c, f"miss_{c}",
+               f"CASE WHEN miss_{c} > 0 THEN '{c}: ' || miss_{c} || ' missing values' END") for i, c in enumerate(_MISS)]
+_parts += [_dq(30 + i, "negative_values", c, f"neg_{c}",
+               f"CASE WHEN neg_{c} > 0 THEN '{c}: ' || neg_{c} || ' negative values found' END") for i, c in enumerate(_NEG)]
+_parts += [_dq(50, "invalid_dates", "date", "bad_date",
+               "CASE WHEN bad_date > 0 THEN 'date: ' || bad_date || ' invalid or missing dates' END")]
+_parts += [_dq(60, "duplicates", "date,channel,campaign_id", "duplicates",
+               "CASE WHEN duplicates > 0 THEN 'Duplicate campaign-date rows found: ' || duplicates || '. This may happen "
+               "if platform exports contain repeated daily campaign records.' END", src="dq_dups")]
+_parts += [_dq(70 + i, "zero_activity", c, f"zero_{c}", f"'{label}: ' || zero_{c}") for i, (c, label) in enumerate(_ZERO)]
+_parts += [_dq(80, "roas_outliers", "roas", "roas_extreme",
+               "CASE WHEN roas_valid = 0 THEN 'ROAS could not be calculated for any row' WHEN roas_extreme > 0 THEN "
+               "'Extreme ROAS rows found: ' || roas_extreme || '. These rows may be valid, but should be handled "
+               "carefully during modeling.' END")]
+cte("dq_long", "\nUNION ALL ".join(_parts))
+
+for _name, _check in [("dq_required_columns", "required_columns"), ("dq_missing", "missing_values"),
+                      ("dq_negative", "negative_values"), ("dq_dates", "invalid_dates"),
+                      ("dq_duplicates", "duplicates"), ("dq_zero_activity", "zero_activity"),
+                      ("dq_roas_outliers", "roas_outliers")]:
+    register(_name, f"SELECT * FROM dq_long WHERE check_name = '{_check}'")
+register("dq_report", "SELECT * FROM dq_long WHERE message IS NOT NULL")
+register("dq_profile", """SELECT count(*) AS total_rows, 16::BIGINT AS total_columns, min(date) AS date_min,
+    max(date) AS date_max, array_to_string(list_sort(list_distinct(list(channel))), ', ') AS channels,
+    count(DISTINCT campaign_id)::BIGINT AS campaign_count FROM unified""")
+
+# dataset summary of the three raw exports
+_RAW_COLS = {
+    "google": ["campaign_id", "campaign_name", "segments_date", "campaign_advertising_channel_type",
+               "campaign_budget_amount", "metrics_cost_micros", "metrics_clicks", "metrics_impressions",
+               "metrics_conversions", "metrics_conversions_value"],
+    "bing": ["CampaignId", "CampaignName", "CampaignType", "TimePeriod", "DailyBudget", "Spend", "Clicks",
+             "Impressions", "Conversions", "Revenue"],
+    "meta": ["campaign_id", "campaign_name", "date_start", "daily_budget", "spend", "clicks", "impressions",
+             "conversion"],
+}
+register("dataset_summary", "\nUNION ALL ".join(
+    f"SELECT '{p}' AS platform, count(*)::BIGINT AS rows, {len(c)}::INTEGER AS columns, "
+    f"'{', '.join(c)}' AS column_names FROM raw_{p}" for p, c in _RAW_COLS.items()))
+
+
+# --------------------------------------------------------------------------- features
+from oracle.sqlparts import micro, sdiv  # noqa: E402
+
+K = ["channel", "campaign_id", "campaign_name", "campaign_type"]
+KS = ", ".join(K)
+WINDOWS = [7, 14, 30, 60, 90]
+HORIZONS = [30, 60, 90]
+MU = ["spend", "revenue", "clicks", "impressions", "conversions", "budget"]
+
+
+def keys_eq(a, b):
+    return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in K)
+
+
+def metrics(prefix, r, d, u):
+    """13 period columns from row count r, day count d and micro sums u[c]."""
+    sp, rv, cl, im, cv, bu = (f"({u[c]})::DOUBLE / 1e6" for c in MU)
+    return [
+        f"({r})::BIGINT AS {prefix}_rows", f"({d})::BIGINT AS {prefix}_active_days",
+        f"{sp} AS {prefix}_spend", f"{rv} AS {prefix}_revenue", f"{cl} AS {prefix}_clicks",
+        f"{im} AS {prefix}_impressions", f"{cv} AS {prefix}_conversions",
+        f"{sdiv(bu, r)} AS {prefix}_avg_daily_budget", f"{sdiv(cl, im)} AS {prefix}_ctr",
+        f"{sdiv(sp, cl)} AS {prefix}_cpc", f"{sdiv(sp, im)} * 1000.0 AS {prefix}_cpm",
+        f"{sdiv(cv, cl)} AS {prefix}_conversion_rate", f"{sdiv(rv, sp)} AS {prefix}_roas",
+    ]
+
+
+HIST_SQL_COLS = [f"hist_{w}d_{s}" for w in WINDOWS for s in
+                 ["rows", "active_days", "spend", "revenue", "clicks", "impressions", "conversions",
+                  "avg_daily_budget", "ctr", "cpc", "cpm", "conversion_rate", "roas"]]
+TRENDS_SQL = (f"{sdiv('hist_7d_spend / 7', 'hist_30d_spend / 30')} AS spend_trend_7d_vs_30d, "
+              f"{sdiv('hist_7d_revenue / 7', 'hist_30d_revenue / 30')} AS revenue_trend_7d_vs_30d, "
+              f"{sdiv('hist_7d_roas', 'hist_30d_roas')} AS roas_trend_7d_vs_30d")
+
+cte("fe_daily", f"""SELECT {KS}, date, count(*) AS n, {', '.join(f'SUM({micro(c)}) AS {c}_u' for c in MU[:-1])},
+    SUM({micro('daily_budget')}) AS budget_u FROM dated GROUP BY ALL""")
+cte("fe_bounds", f"SELECT {KS}, min(date) AS first_date, max(date) AS last_date FROM fe_daily GROUP BY ALL")
+cte("fe_spine", f"""SELECT {KS}, first_date, last_date,
+    CAST(unnest(generate_series(first_date + 29, last_date - 30, INTERVAL 7 DAY)) AS DATE) AS cutoff_date
+    FROM fe_bounds WHERE first_date + 29 <= last_date - 30""")
+
+
+def _hist_aggs(anchor):
+    out = []
+    for w in WINDOWS:
+        inside = f"d.date BETWEEN {anchor} - {w - 1} AND {anchor}"
+        out.append(f"SUM(CASE WHEN {inside} THEN d.n ELSE 0 END) AS r{w}")
+        out.append(f"COUNT(CASE WHEN {inside} THEN 1 END) AS d{w}")
+        out += [f"SUM(CASE WHEN {inside} THEN d.{c}_u ELSE 0 END) AS {c}{w}" for c in MU]
+    return out
+
+
+def _hist_cols():
+    out = []
+    for w in WINDOWS:
+        out += metrics(f"hist_{w}d", f"r{w}", f"d{w}", {c: f"{c}{w}" for c in MU})
+    return out
+
+
+_fut = []
+for _h in HORIZONS:
+    _in = f"d.date BETWEEN s.cutoff_date + 1 AND s.cutoff_date + {_h}"
+    _fut.append(f"SUM(CASE WHEN {_in} THEN d.n ELSE 0 END) AS fr{_h}")
+    _fut += [f"SUM(CASE WHEN {_in} THEN d.{c}_u ELSE 0 END) AS f{c}{_h}" for c in MU]
+cte("fe_spine_agg", f"""SELECT {', '.join('s.' + k for k in K)}, s.cutoff_date, s.first_date, s.last_date,
+    {', '.join(_hist_aggs('s.cutoff_date') + _fut)}
+    FROM fe_spine s LEFT JOIN fe_daily d ON {keys_eq('s', 'd')}
+      AND d.date BETWEEN s.cutoff_date - 89 AND s.cutoff_date + 90
+    GROUP BY ALL""")
+cte("fe_spine_feat", f"""SELECT *, {TRENDS_SQL} FROM (SELECT {KS}, cutoff_date, first_date, last_date,
+    {', '.join(_hist_cols())}, {', '.join(f'fr{h}' for h in HORIZONS)},
+    {', '.join(f'f{c}{h}' for h in HORIZONS for c in MU)} FROM fe_spine_agg)""")
+
+
+def id_cols(mode):
+    return f"""'{mode}_' || COALESCE(channel, 'nan') || '_' || COALESCE(campaign_id, 'nan') || '_' || forecast_window_days
+        || '_' || strftime(cutoff_date, '%Y-%m-%d') AS forecast_id, '{mode}' AS mode, 'campaign' AS forecast_level,
+    {KS}, cutoff_date, cutoff_date + 1 AS forecast_start_date, cutoff_date + forecast_window_days AS forecast_end_date,
+    forecast_window_days::INTEGER AS forecast_window_days, (cutoff_date - first_date + 1)::INTEGER AS campaign_age_days,
+    month(cutoff_date + 1)::INTEGER AS forecast_month, quarter(cutoff_date + 1)::INTEGER AS forecast_quarter,
+    year(cutoff_date + 1)::INTEGER AS forecast_year"""
+
+
+TREND_NAMES = "spend_trend_7d_vs_30d, revenue_trend_7d_vs_30d, roas_trend_7d_vs_30d"
+_fut_sel = " UNION ALL ".join(
+    f"""SELECT *, {h} AS forecast_window_days, fr{h} AS fn, {', '.join(f'f{c}{h} AS fu_{c}' for c in MU)}
+        FROM fe_spine_feat""" for h in HORIZONS)
+cte("fe_train_base", f"""SELECT * FROM ({_fut_sel}) WHERE cutoff_date + forecast_window_days <= last_date AND fn > 0""")
+cte("fe_train", f"""SELECT {id_cols('train')}, {', '.join(HIST_SQL_COLS)}, {TREND_NAMES},
+    fb AS future_budget, {sdiv('fb', 'forecast_window_days')} AS future_budget_per_day,
+    fu_spend::DOUBLE / 1e6 AS target_future_spend, fu_revenue::DOUBLE / 1e6 AS target_future_revenue,
+    fu_clicks::DOUBLE / 1e6 AS target_future_clicks, fu_impressions::DOUBLE / 1e6 AS target_future_impressions,
+    fu_conversions::DOUBLE / 1e6 AS target_future_conversions,
+    {sdiv('fu_revenue::DOUBLE / 1e6', 'fu_spend::DOUBLE / 1e6')} AS target_future_roas
+    FROM (SELECT *, CASE WHEN fu_budget::DOUBLE / 1e6 / fn * forecast_window_days <= 0 THEN fu_spend::DOUBLE / 1e6
+                         ELSE fu_budget::DOUBLE / 1e6 / fn * forecast_window_days END AS fb FROM fe_train_base)""")
+
+# prediction set: each campaign cut off at its own last date
+cte("fe_pred_agg", f"""SELECT {', '.join('b.' + k for k in K)}, b.first_date, b.last_date AS cutoff_date,
+    {', '.join(_hist_aggs('b.last_date'))}
+    FROM fe_bounds b JOIN fe_daily d ON {keys_eq('b', 'd')} AND d.date BETWEEN b.last_date - 89 AND b.last_date
+    GROUP BY ALL""")
+cte("fe_pred_feat", f"""SELECT *, {TRENDS_SQL} FROM (SELECT {KS}, cutoff_date, first_date, {', '.join(_hist_cols())}
+    FROM fe_pred_agg)""")
+_est = (f"CASE WHEN hist_30d_avg_daily_budget > 0 THEN hist_30d_avg_daily_budget * forecast_window_days "
+        f"ELSE {sdiv('hist_30d_spend', 'greatest(hist_30d_active_days, 1)')} * forecast_window_days END")
+cte("fe_pred", f"""SELECT {id_cols('predict')}, {', '.join(HIST_SQL_COLS)}, {TREND_NAMES},
+    fb AS future_budget, {sdiv('fb', 'forecast_window_days')} AS future_budget_per_day
+    FROM (SELECT *, {_est} AS fb FROM (SELECT *, unnest([30, 60, 90]) AS forecast_window_days FROM fe_pred_feat))""")
+
+register("period_aggregate", f"""SELECT {KS}, {', '.join(metrics('period', 'sum(n)', 'count(*)', {c: f'sum({c}_u)' for c in MU}))}
+    FROM fe_daily WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY ALL""")
+register("cutoff_spine", f"SELECT {KS}, cutoff_date, unnest([30, 60, 90]) AS forecast_window_days FROM fe_spine")
+register("trailing_features", f"SELECT {KS}, cutoff_date, {', '.join(HIST_SQL_COLS)} FROM fe_spine_feat")
+register("trend_features", f"SELECT {KS}, cutoff_date, {TREND_NAMES} FROM fe_spine_feat")
+register("calendar_features", """SELECT forecast_id, channel, campaign_id, campaign_name, campaign_type, cutoff_date,
+    forecast_start_date, forecast_end_date, forecast_window_days, campaign_age_days, forecast_month, forecast_quarter,
+    forecast_year FROM fe_train""")
+register("training_set", "SELECT * FROM fe_train")
+register("prediction_set", "SELECT * FROM fe_pred")
+register("future_budget", f"""SELECT {KS}, forecast_window_days, hist_30d_avg_daily_budget, hist_30d_spend,
+    hist_30d_active_days, future_budget, future_budget_per_day FROM fe_pred""")
+register("asof_latest", f"""SELECT {', '.join('s.' + k for k in K)}, s.cutoff_date, d.date AS latest_date,
+    d.n::BIGINT AS latest_rows, d.spend_u::DOUBLE / 1e6 AS latest_spend, d.revenue_u::DOUBLE / 1e6 AS latest_revenue
+    FROM (SELECT DISTINCT {KS}, cutoff_date FROM fe_spine) s
+    ASOF LEFT JOIN (SELECT *, COALESCE(campaign_type, '<null>') AS ct FROM fe_daily) d
+      ON s.channel = d.channel AND s.campaign_id = d.campaign_id AND s.campaign_name = d.campaign_name
+     AND COALESCE(s.campaign_type, '<null>') = d.ct AND d.date <= s.cutoff_date""")

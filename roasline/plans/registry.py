@@ -62,3 +62,89 @@ def q_dated(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(spark, sf_dir)
+
+
+# ----------------------------------------------------------------- sources
+from roasline.sources import csv_io as S  # noqa: E402
+
+
+@query("dataset_summary")
+def q_dataset_summary(spark, sf_dir):
+    return S.dataset_summary(raw_exports(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- audit
+from roasline.operators import quality as Q  # noqa: E402
+
+for _name, _check in [("dq_required_columns", "required_columns"), ("dq_missing", "missing_values"),
+                      ("dq_negative", "negative_values"), ("dq_dates", "invalid_dates"),
+                      ("dq_duplicates", "duplicates"), ("dq_zero_activity", "zero_activity"),
+                      ("dq_roas_outliers", "roas_outliers")]:
+    QUERIES[_name] = (lambda c: lambda spark, sf_dir: Q.check(unified(spark, sf_dir), c))(_check)
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    return Q.quality_report(unified(spark, sf_dir))
+
+
+@query("dq_profile")
+def q_dq_profile(spark, sf_dir):
+    return Q.quality_profile(unified(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- features
+from roasline.operators import features as FE  # noqa: E402
+
+_K = FE.GROUP_KEYS
+
+
+@query("period_aggregate")
+def q_period_aggregate(spark, sf_dir):
+    return FE.period_aggregate(dated(spark, sf_dir), "1998-01-01", "1998-12-31")
+
+
+@query("cutoff_spine")
+def q_cutoff_spine(spark, sf_dir):
+    return FE.cutoff_spine(dated(spark, sf_dir))
+
+
+@query("trailing_features")
+def q_trailing(spark, sf_dir):
+    return FE.spine_features(dated(spark, sf_dir)).select(*_K, "cutoff_date", *FE.HIST_COLUMNS)
+
+
+@query("trend_features")
+def q_trends(spark, sf_dir):
+    return FE.spine_features(dated(spark, sf_dir)).select(*_K, "cutoff_date", *FE.TREND_COLUMNS)
+
+
+@query("calendar_features")
+def q_calendar(spark, sf_dir):
+    return FE.training_set(dated(spark, sf_dir)).select(
+        "forecast_id", *_K, "cutoff_date", "forecast_start_date", "forecast_end_date", "forecast_window_days",
+        "campaign_age_days", "forecast_month", "forecast_quarter", "forecast_year")
+
+
+@query("training_set")
+def q_training(spark, sf_dir):
+    return FE.training_set(dated(spark, sf_dir))
+
+
+@query("prediction_set")
+def q_prediction(spark, sf_dir):
+    return FE.prediction_set(dated(spark, sf_dir))
+
+
+@query("future_budget")
+def q_future_budget(spark, sf_dir):
+    return FE.prediction_set(dated(spark, sf_dir)).select(
+        *_K, "forecast_window_days", "hist_30d_avg_daily_budget", "hist_30d_spend", "hist_30d_active_days",
+        "future_budget", "future_budget_per_day")
+
+
+@query("asof_latest")
+def q_asof(spark, sf_dir):
+    d = dated(spark, sf_dir)
+    probes = FE.cutoff_spine(d).select(*_K, "cutoff_date").distinct()
+    return FE.asof_latest(d, probes)
