@@ -273,3 +273,111 @@ register("asof_latest", f"""SELECT {', '.join('s.' + k for k in K)}, s.cutoff_da
     ASOF LEFT JOIN (SELECT *, COALESCE(campaign_type, '<null>') AS ct FROM fe_daily) d
       ON s.channel = d.channel AND s.campaign_id = d.campaign_id AND s.campaign_name = d.campaign_name
      AND COALESCE(s.campaign_type, '<null>') = d.ct AND d.date <= s.cutoff_date""")
+
+
+# --------------------------------------------------------------------------- scoring (fixture scorer)
+from oracle.sqlparts import bround, fmt2, xavg, xsum  # noqa: E402
+
+cte("sc_raw", """SELECT *,
+    forecast_window_days * least(hist_7d_revenue / 7, hist_30d_revenue / 30, hist_90d_revenue / 90) AS raw_q10,
+    forecast_window_days * (0.5 * (hist_30d_revenue / 30) + 0.3 * (hist_90d_revenue / 90)) + 0.1 * future_budget AS raw_q50,
+    forecast_window_days * greatest(hist_7d_revenue / 7, hist_30d_revenue / 30, hist_90d_revenue / 90) * 1.1 AS raw_q90
+    FROM fe_pred""")
+cte("sc_sorted", """SELECT * EXCLUDE (raw_q10, raw_q50, raw_q90, q), q[1] AS revenue_low, q[2] AS revenue_expected,
+    q[3] AS revenue_high FROM (SELECT *, list_sort([greatest(raw_q10, 0.0), greatest(raw_q50, 0.0),
+    greatest(raw_q90, 0.0)]) AS q FROM sc_raw)""")
+cte("sc_roas", f"""SELECT *, {sdiv('revenue_low', 'future_budget')} AS roas_low,
+    {sdiv('revenue_expected', 'future_budget')} AS roas_expected, {sdiv('revenue_high', 'future_budget')} AS roas_high
+    FROM sc_sorted""")
+cte("sc_conf", """SELECT *, CASE WHEN revenue_expected <= 0 THEN 40.0 ELSE greatest(30.0, least(95.0,
+    100.0 - least((revenue_high - revenue_low) / revenue_expected * 35, 60.0)
+    - CASE WHEN future_budget <= 0 THEN 15 ELSE 0 END - CASE WHEN hist_30d_rows < 10 THEN 10 ELSE 0 END)) END
+    AS confidence_score FROM sc_roas""")
+
+
+def risk_sql(st="spend_trend_7d_vs_30d", rt="revenue_trend_7d_vs_30d"):
+    return f"""CASE WHEN roas_expected < 1 OR confidence_score < 45 THEN 'High'
+        WHEN {st} > 1.3 AND {rt} < 0.9 THEN 'High'
+        WHEN roas_expected < 2 OR confidence_score < 65 THEN 'Medium' ELSE 'Low' END"""
+
+
+def insight_sql(st="spend_trend_7d_vs_30d", rt="revenue_trend_7d_vs_30d"):
+    subject = """CASE WHEN forecast_level = 'campaign' THEN COALESCE(channel, 'nan') || ' campaign ''' || COALESCE(campaign_name, 'nan') || ''''
+        WHEN forecast_level = 'campaign_type' THEN COALESCE(channel, 'nan') || ' ' || COALESCE(campaign_type, 'nan')
+        WHEN forecast_level = 'blended' THEN 'overall blended marketing performance' ELSE COALESCE(channel, 'nan') END"""
+    trend = f"""CASE WHEN {st} > 1.2 AND {rt} < 1 THEN 'recent spend is increasing faster than revenue, which may reduce efficiency'
+        WHEN {rt} > 1.2 AND {st} <= 1.2 THEN 'recent revenue is improving faster than spend, which indicates positive momentum'
+        WHEN {rt} < 0.8 THEN 'recent revenue momentum is weak compared with the previous 30-day baseline'
+        ELSE 'recent spend and revenue trends are relatively stable' END"""
+    return (f"'For the next ' || forecast_window_days::INTEGER || ' days, ' || {subject} || "
+            f"' is forecasted with expected ROAS around ' || {fmt2('roas_expected')} || '. Risk level is ' || "
+            f"COALESCE(risk_level, 'nan') || '. The main reason is that ' || {trend} || '.'")
+
+
+cte("sc_risk", f"SELECT * REPLACE ('campaign' AS forecast_level), {risk_sql()} AS risk_level FROM sc_conf")
+cte("campaign_fc", f"SELECT *, {insight_sql()} AS insight_summary FROM sc_risk")
+
+OUT_COLS = ["forecast_id", "forecast_level", "channel", "campaign_type", "campaign_id", "campaign_name",
+            "forecast_window_days", "forecast_start_date", "forecast_end_date", "future_budget",
+            "revenue_low", "revenue_expected", "revenue_high", "roas_low", "roas_expected", "roas_high",
+            "confidence_score", "risk_level", "insight_summary"]
+ROUNDED = ["future_budget", "revenue_low", "revenue_expected", "revenue_high", "roas_low", "roas_expected",
+           "roas_high", "confidence_score"]
+
+
+def rollup_sql(src, extra=()):
+    ex = "".join(f"{e}, " for e in extra)
+    order = "ORDER BY channel, campaign_id, campaign_name, campaign_type"
+    return f"""SELECT {ex}forecast_window_days, channel AS g_channel, campaign_type AS g_type,
+        GROUPING(channel, campaign_type) AS gid,
+        {xsum('future_budget')} AS future_budget, {xsum('revenue_low')} AS revenue_low,
+        {xsum('revenue_expected')} AS revenue_expected, {xsum('revenue_high')} AS revenue_high,
+        {xavg('confidence_score')} AS confidence_score,
+        max(CASE risk_level WHEN 'High' THEN 2 WHEN 'Medium' THEN 1 ELSE 0 END) AS risk_rank,
+        first(forecast_start_date {order}) AS forecast_start_date, first(forecast_end_date {order}) AS forecast_end_date
+    FROM {src}
+    GROUP BY GROUPING SETS (({ex}forecast_window_days), ({ex}forecast_window_days, channel),
+                            ({ex}forecast_window_days, channel, campaign_type))"""
+
+
+def rollup_final_sql(agg, extra=()):
+    ex = "".join(f"{e}, " for e in extra)
+    lvl = "CASE gid WHEN 0 THEN 'campaign_type' WHEN 1 THEN 'channel' ELSE 'blended' END"
+    inner = f"""SELECT {ex}{lvl} AS forecast_level,
+        CASE WHEN gid = 3 THEN 'ALL' ELSE g_channel END AS channel,
+        CASE WHEN gid = 0 THEN g_type ELSE 'ALL' END AS campaign_type,
+        'ALL' AS campaign_id, 'ALL' AS campaign_name, forecast_window_days::INTEGER AS forecast_window_days,
+        forecast_start_date, forecast_end_date, future_budget, revenue_low, revenue_expected, revenue_high,
+        {sdiv('revenue_low', 'future_budget')} AS roas_low, {sdiv('revenue_expected', 'future_budget')} AS roas_expected,
+        {sdiv('revenue_high', 'future_budget')} AS roas_high, confidence_score,
+        CASE risk_rank WHEN 2 THEN 'High' WHEN 1 THEN 'Medium' ELSE 'Low' END AS risk_level FROM {agg}"""
+    return f"""SELECT {ex}forecast_level || '_' || COALESCE(channel, 'nan') || '_' || COALESCE(campaign_type, 'nan') || '_'
+        || forecast_window_days AS forecast_id, * EXCLUDE ({', '.join(extra) + ', ' if extra else ''}forecast_level),
+        forecast_level, {insight_sql('1.0', '1.0')} AS insight_summary FROM ({inner})"""
+
+
+def table_sql(levels_src, campaign_src, extra=()):
+    ex = "".join(f"{e}, " for e in extra)
+    cols = ", ".join(f"{bround('COALESCE(' + c + ', 0)', 4)} AS {c}" if c in ROUNDED else c for c in OUT_COLS)
+    return f"""SELECT {ex}{cols} FROM (SELECT {ex}{', '.join(OUT_COLS)} FROM {levels_src}
+        UNION ALL SELECT {ex}{', '.join(OUT_COLS)} FROM {campaign_src})"""
+
+
+cte("fc_agg", rollup_sql("campaign_fc"))
+cte("fc_levels", rollup_final_sql("fc_agg"))
+cte("fc_table", table_sql("fc_levels", "campaign_fc"))
+
+_PK = f"{KS}, forecast_window_days"
+register("monotone_quantiles", f"SELECT {_PK}, revenue_low, revenue_expected, revenue_high FROM sc_sorted")
+register("forecast_roas", f"SELECT {_PK}, future_budget, roas_low, roas_expected, roas_high FROM sc_roas")
+register("confidence_score", f"""SELECT {_PK}, revenue_low, revenue_expected, revenue_high, future_budget, hist_30d_rows,
+    confidence_score FROM sc_conf""")
+register("risk_level", f"""SELECT {_PK}, roas_expected, confidence_score, spend_trend_7d_vs_30d, revenue_trend_7d_vs_30d,
+    risk_level FROM campaign_fc""")
+register("forecast_insight", f"SELECT {_PK}, insight_summary FROM campaign_fc")
+register("campaign_forecast", "SELECT * FROM campaign_fc")
+register("forecast_table", "SELECT * FROM fc_table")
+register("rollup_channel", "SELECT * FROM fc_table WHERE forecast_level = 'channel'")
+register("rollup_campaign_type", "SELECT * FROM fc_table WHERE forecast_level = 'campaign_type'")
+register("rollup_blended", "SELECT * FROM fc_table WHERE forecast_level = 'blended'")
+register("forecast_level_counts", "SELECT forecast_level, count(*) AS rows FROM fc_table GROUP BY ALL")

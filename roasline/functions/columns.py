@@ -81,7 +81,7 @@ def first_existing(columns: Iterable[str], candidates: Sequence[str]) -> str | N
 def fmt_fixed(x: ColumnOrName, digits: int = 2) -> Column:
     """``f"{x:.{digits}f}"``: fixed decimals, no thousands separator."""
     pattern = "0" if digits == 0 else "0." + "0" * digits
-    return F.format_number(col(x).cast("double"), pattern)
+    return F.call_function("format_number", col(x).cast("double"), F.lit(pattern))
 
 
 def money(x: ColumnOrName) -> Column:
@@ -95,7 +95,13 @@ def text_or(x: ColumnOrName, label: str) -> Column:
 
 
 def round_half_even(x: ColumnOrName, digits: int) -> Column:
-    return F.bround(col(x).cast("double"), digits)
+    """Float rounding as NumPy does it: ``rint(x * 10**d) / 10**d``.
+
+    ``bround`` would round the shortest decimal text of the double instead,
+    which differs on values such as 55232.53635.
+    """
+    scale = float(10 ** digits)
+    return F.rint(col(x).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
 def zero_if_bad(x: ColumnOrName) -> Column:

@@ -148,3 +148,69 @@ def q_asof(spark, sf_dir):
     d = dated(spark, sf_dir)
     probes = FE.cutoff_spine(d).select(*_K, "cutoff_date").distinct()
     return FE.asof_latest(d, probes)
+
+
+# ----------------------------------------------------------------- scoring, roll-up
+from roasline.operators import rollup as R  # noqa: E402
+from roasline.operators import scoring as P  # noqa: E402
+
+_PK = [*_K, "forecast_window_days"]
+
+
+def prediction(spark, sf_dir):
+    return FE.prediction_set(dated(spark, sf_dir))
+
+
+def campaign_fc(spark, sf_dir):
+    return P.campaign_forecast(prediction(spark, sf_dir), P.linear_rule_scorer)
+
+
+def forecast_tbl(spark, sf_dir):
+    return R.forecast_table(campaign_fc(spark, sf_dir))
+
+
+@query("monotone_quantiles")
+def q_monotone(spark, sf_dir):
+    return P.monotone_quantiles(P.linear_rule_scorer(prediction(spark, sf_dir))).select(*_PK, *P.REVENUE_COLS)
+
+
+@query("forecast_roas")
+def q_forecast_roas(spark, sf_dir):
+    df = P.forecast_roas(P.monotone_quantiles(P.linear_rule_scorer(prediction(spark, sf_dir))))
+    return df.select(*_PK, "future_budget", *P.ROAS_COLS)
+
+
+@query("confidence_score")
+def q_confidence(spark, sf_dir):
+    return campaign_fc(spark, sf_dir).select(*_PK, *P.REVENUE_COLS, "future_budget", "hist_30d_rows",
+                                             "confidence_score")
+
+
+@query("risk_level")
+def q_risk(spark, sf_dir):
+    return campaign_fc(spark, sf_dir).select(*_PK, "roas_expected", "confidence_score", "spend_trend_7d_vs_30d",
+                                             "revenue_trend_7d_vs_30d", "risk_level")
+
+
+@query("forecast_insight")
+def q_insight(spark, sf_dir):
+    return campaign_fc(spark, sf_dir).select(*_PK, "insight_summary")
+
+
+@query("campaign_forecast")
+def q_campaign_forecast(spark, sf_dir):
+    return campaign_fc(spark, sf_dir)
+
+
+@query("forecast_table")
+def q_forecast_table(spark, sf_dir):
+    return forecast_tbl(spark, sf_dir)
+
+
+for _lvl in ("channel", "campaign_type", "blended"):
+    QUERIES[f"rollup_{_lvl}"] = (lambda l: lambda spark, sf_dir: R.level(forecast_tbl(spark, sf_dir), l))(_lvl)
+
+
+@query("forecast_level_counts")
+def q_level_counts(spark, sf_dir):
+    return R.level_counts(forecast_tbl(spark, sf_dir))
