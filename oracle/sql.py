@@ -381,3 +381,75 @@ register("rollup_channel", "SELECT * FROM fc_table WHERE forecast_level = 'chann
 register("rollup_campaign_type", "SELECT * FROM fc_table WHERE forecast_level = 'campaign_type'")
 register("rollup_blended", "SELECT * FROM fc_table WHERE forecast_level = 'blended'")
 register("forecast_level_counts", "SELECT forecast_level, count(*) AS rows FROM fc_table GROUP BY ALL")
+
+
+# --------------------------------------------------------------------------- scenarios
+def fc_chain(p, src, extra=()):
+    """The scoring + roll-up chain over another prediction source."""
+    bodies = {n: b for n, b in CTES}
+    names = ["sc_raw", "sc_sorted", "sc_roas", "sc_conf", "sc_risk", "campaign_fc"]
+    ren = {"fe_pred": src, **{n: f"{p}_{n}" for n in names}}
+    for n in names:
+        body = bodies[n]
+        for old in sorted(ren, key=len, reverse=True):
+            body = body.replace(f"FROM {old}", f"FROM {ren[old]}")
+        cte(f"{p}_{n}", body)
+    cte(f"{p}_agg", rollup_sql(f"{p}_campaign_fc", extra))
+    cte(f"{p}_levels", rollup_final_sql(f"{p}_agg", extra))
+    cte(f"{p}_table", table_sql(f"{p}_levels", f"{p}_campaign_fc", extra))
+
+
+SCENARIO_SQL_MULT = {"Google Ads": 1.2, "Meta Ads": 0.9, "Microsoft Ads": 1.0}
+SCENARIO_SQL_NAME = "Google Ads: +20% | Meta Ads: -10% | Microsoft Ads: +0%"
+_case = " ".join(f"WHEN '{c}' THEN {m}" for c, m in SCENARIO_SQL_MULT.items())
+cte("sn_pred0", f"""SELECT *, CASE WHEN scenario_id = 0 THEN 1.0 ELSE COALESCE(CASE channel {_case} END, 1.0) END::DOUBLE
+    AS budget_multiplier FROM (SELECT *, unnest([0, 1]) AS scenario_id FROM fe_pred)""")
+cte("sn_pred", f"""SELECT * REPLACE (fb AS future_budget, {sdiv('fb', 'forecast_window_days')} AS future_budget_per_day)
+    FROM (SELECT *, future_budget * budget_multiplier AS fb FROM sn_pred0)""")
+fc_chain("sn", "sn_pred", extra=("scenario_id",))
+
+_CK = ["forecast_level", "channel", "campaign_type", "campaign_id", "campaign_name", "forecast_window_days"]
+_CMP = [("future_budget", "budget"), ("revenue_expected", "revenue_expected"), ("revenue_low", "revenue_low"),
+        ("revenue_high", "revenue_high"), ("roas_expected", "roas_expected"),
+        ("confidence_score", "confidence_score"), ("risk_level", "risk_level")]
+_SN_ROUND = ["baseline_budget", "scenario_budget", "budget_change", "budget_change_percent",
+             "baseline_revenue_expected", "scenario_revenue_expected", "revenue_change", "revenue_change_percent",
+             "baseline_roas_expected", "scenario_roas_expected", "roas_change",
+             "baseline_confidence_score", "scenario_confidence_score"]
+cte("sn_join", f"""SELECT s.scenario_id, {', '.join('s.' + k for k in _CK)},
+    {', '.join(f'b.{c} AS baseline_{n}' for c, n in _CMP)}, {', '.join(f's.{c} AS scenario_{n}' for c, n in _CMP)}
+    FROM (SELECT * FROM sn_table WHERE scenario_id <> 0) s
+    JOIN (SELECT * FROM sn_table WHERE scenario_id = 0) b ON {' AND '.join(f's.{k} IS NOT DISTINCT FROM b.{k}' for k in _CK)}""")
+_subj = """CASE WHEN forecast_level = 'blended' THEN 'overall marketing performance'
+    WHEN forecast_level = 'channel' THEN COALESCE(channel, 'nan')
+    WHEN forecast_level = 'campaign_type' THEN COALESCE(channel, 'nan') || ' ' || COALESCE(campaign_type, 'nan')
+    ELSE COALESCE(channel, 'nan') || ' campaign ''' || COALESCE(campaign_name, 'nan') || '''' END"""
+_act = """CASE WHEN revenue_change > 0 AND roas_change >= 0 THEN 'This scenario looks positive because revenue is expected to improve without reducing ROAS.'
+    WHEN revenue_change > 0 AND roas_change < 0 THEN 'This scenario may increase revenue, but efficiency may reduce because ROAS is expected to decline.'
+    WHEN revenue_change <= 0 AND roas_change > 0 THEN 'This scenario may improve efficiency, but revenue growth may be limited.'
+    ELSE 'This scenario is not attractive because both revenue and efficiency may weaken.' END"""
+cte("sn_delta", f"""SELECT *, {sdiv('budget_change', 'baseline_budget')} * 100 AS budget_change_percent,
+    {sdiv('revenue_change', 'baseline_revenue_expected')} * 100 AS revenue_change_percent
+    FROM (SELECT *, scenario_budget - baseline_budget AS budget_change,
+      scenario_revenue_expected - baseline_revenue_expected AS revenue_change,
+      scenario_roas_expected - baseline_roas_expected AS roas_change FROM sn_join)""")
+cte("sn_cmp0", f"""SELECT *, 'For the next ' || forecast_window_days::INTEGER || ' days, ' || {_subj} ||
+    ' is expected to change revenue by ' || {fmt2('revenue_change')} || ' (' || {fmt2('revenue_change_percent')} ||
+    '%). Expected scenario ROAS is ' || {fmt2('scenario_roas_expected')} || '. Risk level is ' ||
+    COALESCE(scenario_risk_level, 'nan') || '. ' || {_act} AS scenario_recommendation FROM sn_delta""")
+cte("sn_cmp", f"""SELECT * REPLACE ({', '.join(f"{bround('COALESCE(' + c + ', 0)', 4)} AS {c}" for c in _SN_ROUND)}),
+    '{SCENARIO_SQL_NAME}' AS scenario_name FROM sn_cmp0""")
+
+register("scenario_budget", f"""SELECT {KS}, forecast_window_days, scenario_id, budget_multiplier, future_budget,
+    future_budget_per_day FROM sn_pred""")
+register("scenario_forecast", "SELECT * FROM sn_table")
+register("scenario_join", f"""SELECT scenario_id, {', '.join(_CK)},
+    {', '.join(f'baseline_{n}' for _, n in _CMP)}, {', '.join(f'scenario_{n}' for _, n in _CMP)} FROM sn_cmp""")
+register("scenario_deltas", f"""SELECT scenario_id, {', '.join(_CK)}, budget_change, budget_change_percent,
+    revenue_change, revenue_change_percent, roas_change FROM sn_cmp""")
+register("scenario_recommendation", f"SELECT scenario_id, {', '.join(_CK)}, scenario_recommendation FROM sn_cmp")
+register("scenario_comparison", "SELECT * FROM sn_cmp")
+register("scenario_name", "SELECT DISTINCT scenario_id, scenario_name FROM sn_cmp")
+register("scenario_blended", """SELECT scenario_id, scenario_name, forecast_window_days, baseline_budget, scenario_budget,
+    budget_change_percent, baseline_revenue_expected, scenario_revenue_expected, revenue_change_percent,
+    baseline_roas_expected, scenario_roas_expected, scenario_risk_level FROM sn_cmp WHERE forecast_level = 'blended'""")

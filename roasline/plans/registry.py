@@ -214,3 +214,58 @@ for _lvl in ("channel", "campaign_type", "blended"):
 @query("forecast_level_counts")
 def q_level_counts(spark, sf_dir):
     return R.level_counts(forecast_tbl(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- scenarios
+from roasline.operators import scenario as B  # noqa: E402
+
+# the example plan scored by the registered scenario queries (a user input)
+EXAMPLE_SCENARIOS = {1: {"Google Ads": 1.2, "Meta Ads": 0.9, "Microsoft Ads": 1.0}}
+
+
+def comparison(spark, sf_dir):
+    return B.run_scenarios(prediction(spark, sf_dir), EXAMPLE_SCENARIOS)
+
+
+@query("scenario_budget")
+def q_scenario_budget(spark, sf_dir):
+    return B.scenario_budgets(prediction(spark, sf_dir), EXAMPLE_SCENARIOS).select(
+        *_PK, "scenario_id", "budget_multiplier", "future_budget", "future_budget_per_day")
+
+
+@query("scenario_forecast")
+def q_scenario_forecast(spark, sf_dir):
+    return B.scenario_forecast(prediction(spark, sf_dir), EXAMPLE_SCENARIOS)
+
+
+@query("scenario_join")
+def q_scenario_join(spark, sf_dir):
+    c = comparison(spark, sf_dir)
+    return c.select("scenario_id", *B.COMPARISON_KEYS, *[x for x in c.columns if x.startswith(("baseline_", "scenario_"))
+                                                         and x not in ("scenario_id", "scenario_recommendation",
+                                                                       "scenario_name")])
+
+
+@query("scenario_deltas")
+def q_scenario_deltas(spark, sf_dir):
+    return comparison(spark, sf_dir).select("scenario_id", *B.COMPARISON_KEYS, *B.DELTA_COLUMNS)
+
+
+@query("scenario_recommendation")
+def q_scenario_reco(spark, sf_dir):
+    return comparison(spark, sf_dir).select("scenario_id", *B.COMPARISON_KEYS, "scenario_recommendation")
+
+
+@query("scenario_comparison")
+def q_scenario_comparison(spark, sf_dir):
+    return comparison(spark, sf_dir)
+
+
+@query("scenario_name")
+def q_scenario_name(spark, sf_dir):
+    return comparison(spark, sf_dir).select("scenario_id", "scenario_name").distinct()
+
+
+@query("scenario_blended")
+def q_scenario_blended(spark, sf_dir):
+    return B.blended_impact(comparison(spark, sf_dir))
