@@ -453,3 +453,94 @@ register("scenario_name", "SELECT DISTINCT scenario_id, scenario_name FROM sn_cm
 register("scenario_blended", """SELECT scenario_id, scenario_name, forecast_window_days, baseline_budget, scenario_budget,
     budget_change_percent, baseline_revenue_expected, scenario_revenue_expected, revenue_change_percent,
     baseline_roas_expected, scenario_roas_expected, scenario_risk_level FROM sn_cmp WHERE forecast_level = 'blended'""")
+
+
+# --------------------------------------------------------------------------- insights
+from oracle.sqlparts import money  # noqa: E402
+
+cte("fx", """SELECT * REPLACE (COALESCE(forecast_level, 'Unknown') AS forecast_level, COALESCE(channel, 'Unknown') AS channel,
+    COALESCE(campaign_type, 'Unknown') AS campaign_type, COALESCE(campaign_id, 'Unknown') AS campaign_id,
+    COALESCE(campaign_name, 'Unknown') AS campaign_name, COALESCE(risk_level, 'Unknown') AS risk_level) FROM fc_table""")
+UNC = "(CASE WHEN revenue_expected <= 0 THEN 1.0 ELSE (revenue_high - revenue_low) / revenue_expected END)"
+RISK_EXPL = f"""CASE WHEN risk_level = 'High' THEN CASE
+      WHEN roas_expected < 1 THEN 'Risk is high because expected ROAS is below 1.00x, meaning the forecasted revenue may not justify the planned budget.'
+      WHEN confidence_score < 45 THEN 'Risk is high because forecast confidence is weak. The campaign may have unstable historical behavior or wide prediction uncertainty.'
+      WHEN {UNC} > 0.8 THEN 'Risk is high because the forecast range is wide, which means the outcome is less predictable.'
+      ELSE 'Risk is high because performance signals suggest the campaign may not scale efficiently under the current forecast assumptions.' END
+    WHEN risk_level = 'Medium' THEN 'Risk is medium because the forecast is usable, but efficiency or confidence should be monitored before making aggressive budget changes.'
+    ELSE 'Risk is low because forecast confidence and expected ROAS are relatively stable.' END"""
+ACTION = f"""CASE WHEN risk_level = 'High' THEN CASE WHEN roas_expected < 1
+        THEN 'Avoid scaling this segment immediately. Review campaign structure, targeting, creative quality, landing page relevance, and tracking accuracy before adding budget.'
+        ELSE 'Do not scale aggressively. Keep budget controlled, monitor daily performance, and test improvements before increasing spend.' END
+    WHEN risk_level = 'Medium' THEN CASE WHEN roas_expected >= 2.5 AND confidence_score >= 60
+        THEN 'Scale cautiously with a small budget increase and monitor ROAS movement closely.'
+        ELSE 'Maintain or slightly reduce budget until revenue efficiency becomes more consistent.' END
+    WHEN roas_expected >= 3 AND confidence_score >= 70 AND {UNC} < 0.7
+        THEN 'This segment is a good candidate for controlled scaling because expected ROAS and confidence are healthy.'
+    ELSE 'Maintain current budget and continue monitoring. Scaling can be considered after more stable performance is observed.' END"""
+PRIO = "CASE lower(risk_level) WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END"
+
+
+def xr(c):
+    return f"{fmt2(c)} || 'x'"
+
+
+_FK = "forecast_level, channel, campaign_type, campaign_id, campaign_name, forecast_window_days"
+register("forecast_contract", "SELECT * FROM fx")
+register("level_window_slice", "SELECT * FROM fx WHERE forecast_level = 'campaign' AND forecast_window_days = 30")
+register("uncertainty_ratio", f"SELECT {_FK}, {UNC} AS uncertainty_ratio FROM fx")
+register("risk_explanation", f"SELECT {_FK}, risk_level, {RISK_EXPL} AS risk_explanation FROM fx")
+register("recommended_action", f"SELECT {_FK}, risk_level, {ACTION} AS recommended_action FROM fx")
+_subj_e = """CASE WHEN forecast_level = 'blended' THEN 'overall marketing performance' WHEN forecast_level = 'channel' THEN channel
+    WHEN forecast_level = 'campaign_type' THEN channel || ' - ' || campaign_type ELSE channel || ' campaign ''' || campaign_name || '''' END"""
+register("insights_table", f"""SELECT {PRIO} AS priority, forecast_window_days, forecast_level, channel, campaign_type, campaign_id,
+    campaign_name, risk_level, {bround('confidence_score', 2)} AS confidence_score,
+    {bround('revenue_expected', 2)} AS revenue_expected, {bround('roas_expected', 4)} AS roas_expected,
+    'For the next ' || forecast_window_days || ' days, ' || {_subj_e} || ' is forecasted to generate ' ||
+    {money('revenue_expected')} || ' revenue with expected ROAS of ' || {xr('roas_expected')} || '. ' || {RISK_EXPL} AS insight,
+    {ACTION} AS recommended_action
+    FROM fx WHERE forecast_level IN ('blended', 'channel', 'campaign_type', 'campaign')""")
+register("executive_summary", f"""SELECT forecast_window_days, {money('future_budget')} AS planned_budget,
+    'Expected revenue is ' || {money('revenue_expected')} || ', with a probable range between ' || {money('revenue_low')}
+      || ' and ' || {money('revenue_high')} || '.' AS revenue_range,
+    'Expected ROAS is ' || {xr('roas_expected')} || ', with a range between ' || {xr('roas_low')} || ' and '
+      || {xr('roas_high')} || '.' AS roas_range,
+    {fmt2('confidence_score')} || '/100' AS confidence, risk_level, {RISK_EXPL} AS interpretation,
+    {ACTION} AS recommended_action FROM fx WHERE forecast_level = 'blended'""")
+register("channel_leaderboard", f"""SELECT forecast_window_days,
+    row_number() OVER (PARTITION BY forecast_window_days ORDER BY revenue_expected DESC, channel) AS rank, channel,
+    {money('future_budget')} AS budget, {money('revenue_expected')} AS expected_revenue, {xr('roas_expected')} AS expected_roas,
+    risk_level, {fmt2('confidence_score')} AS confidence FROM fx WHERE forecast_level = 'channel'""")
+register("best_roas_channel", f"""SELECT forecast_window_days, channel, roas_expected,
+    '**Best efficiency signal:** ' || channel || ' has the strongest expected ROAS at ' || {xr('roas_expected')} || '.' AS message
+    FROM fx WHERE forecast_level = 'channel'
+    QUALIFY row_number() OVER (PARTITION BY forecast_window_days ORDER BY roas_expected DESC, channel) = 1""")
+register("top_campaign_types", f"""SELECT forecast_window_days, rank, channel, campaign_type, {money('revenue_expected')} AS expected_revenue,
+    {xr('roas_expected')} AS expected_roas, risk_level FROM (SELECT *, row_number() OVER (PARTITION BY forecast_window_days
+    ORDER BY revenue_expected DESC, channel, campaign_type) AS rank FROM fx WHERE forecast_level = 'campaign_type')
+    WHERE rank <= 10""")
+_CR = f"""risk_level, channel, campaign_id, campaign_name, forecast_window_days, {money('revenue_expected')} AS expected_revenue,
+    {xr('roas_expected')} AS expected_roas, {fmt2('confidence_score')} AS confidence, {ACTION} AS recommended_action"""
+register("risk_watchlist", f"""SELECT {PRIO} AS priority, {_CR} FROM fx
+    WHERE forecast_level = 'campaign' AND risk_level IN ('High', 'Medium')
+    ORDER BY {PRIO}, revenue_expected DESC, forecast_window_days, channel, campaign_id, campaign_name LIMIT 15""")
+register("scaling_candidates", f"""SELECT {_CR} FROM fx WHERE forecast_level = 'campaign' AND risk_level = 'Low'
+    AND roas_expected >= 3 AND confidence_score >= 65
+    ORDER BY forecast_window_days, roas_expected DESC, revenue_expected DESC, channel, campaign_id, campaign_name LIMIT 15""")
+register("portfolio_summary", f"""SELECT COALESCE({xavg('confidence_score')}, 0.0) AS avg_confidence,
+    count_if(risk_level = 'High') AS high_risk_rows, count_if(risk_level = 'Medium') AS medium_risk_rows,
+    (SELECT forecast_window_days FROM fx WHERE forecast_level = 'blended' ORDER BY roas_expected DESC, forecast_window_days LIMIT 1) AS best_blended_window,
+    (SELECT roas_expected FROM fx WHERE forecast_level = 'blended' ORDER BY roas_expected DESC, forecast_window_days LIMIT 1) AS best_blended_roas,
+    '- Overall forecast confidence across all forecast rows is **' || {fmt2(f"COALESCE({xavg('confidence_score')}, 0.0)")} || '/100**.' AS confidence_line
+    FROM fx""")
+register("scenario_contract", "SELECT * FROM sn_cmp")
+register("scenario_report", f"""SELECT scenario_id, forecast_window_days, {money('baseline_budget')} AS baseline_budget,
+    {money('scenario_budget')} AS scenario_budget,
+    {money('budget_change')} || ' (' || {fmt2('budget_change_percent')} || '%)' AS budget_change,
+    {money('revenue_change')} || ' (' || {fmt2('revenue_change_percent')} || '%)' AS revenue_change,
+    {fmt2('roas_change')} || 'x' AS roas_change,
+    CASE WHEN revenue_change > 0 AND roas_change >= 0 THEN 'This scenario is attractive because it improves expected revenue without reducing ROAS.'
+      WHEN revenue_change > 0 AND roas_change < 0 THEN 'This scenario can grow revenue, but the agency should watch efficiency because ROAS is expected to decline.'
+      WHEN revenue_change <= 0 AND roas_change > 0 THEN 'This scenario may improve efficiency, but it may limit revenue scale.'
+      ELSE 'This scenario does not look attractive because both revenue and efficiency may weaken.' END AS interpretation
+    FROM sn_cmp WHERE forecast_level = 'blended'""")

@@ -269,3 +269,89 @@ def q_scenario_name(spark, sf_dir):
 @query("scenario_blended")
 def q_scenario_blended(spark, sf_dir):
     return B.blended_impact(comparison(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- contracts, insights
+from roasline.operators import insights as E  # noqa: E402
+
+
+def fx(spark, sf_dir):
+    return E.forecast_contract(forecast_tbl(spark, sf_dir))
+
+
+_FK = ["forecast_level", "channel", "campaign_type", "campaign_id", "campaign_name", "forecast_window_days"]
+
+
+@query("forecast_contract")
+def q_forecast_contract(spark, sf_dir):
+    return fx(spark, sf_dir)
+
+
+@query("scenario_contract")
+def q_scenario_contract(spark, sf_dir):
+    return E.scenario_contract(comparison(spark, sf_dir))
+
+
+@query("level_window_slice")
+def q_level_window(spark, sf_dir):
+    return E.level_window_slice(fx(spark, sf_dir), "campaign", 30)
+
+
+@query("uncertainty_ratio")
+def q_uncertainty(spark, sf_dir):
+    return fx(spark, sf_dir).select(*_FK, E.uncertainty_ratio().alias("uncertainty_ratio"))
+
+
+@query("risk_explanation")
+def q_risk_expl(spark, sf_dir):
+    return fx(spark, sf_dir).select(*_FK, "risk_level", E.risk_explanation().alias("risk_explanation"))
+
+
+@query("recommended_action")
+def q_action(spark, sf_dir):
+    return fx(spark, sf_dir).select(*_FK, "risk_level", E.recommended_action().alias("recommended_action"))
+
+
+@query("insights_table")
+def q_insights(spark, sf_dir):
+    return E.insights_table(fx(spark, sf_dir))
+
+
+@query("executive_summary")
+def q_exec(spark, sf_dir):
+    return E.executive_summary(fx(spark, sf_dir))
+
+
+@query("channel_leaderboard")
+def q_leaderboard(spark, sf_dir):
+    return E.channel_leaderboard(fx(spark, sf_dir))
+
+
+@query("best_roas_channel")
+def q_best_roas(spark, sf_dir):
+    return E.best_roas_channel(fx(spark, sf_dir))
+
+
+@query("top_campaign_types")
+def q_top_types(spark, sf_dir):
+    return E.top_campaign_types(fx(spark, sf_dir), 10)
+
+
+@query("risk_watchlist")
+def q_watchlist(spark, sf_dir):
+    return E.risk_watchlist(fx(spark, sf_dir), 15)
+
+
+@query("scaling_candidates")
+def q_scaling(spark, sf_dir):
+    return E.scaling_candidates(fx(spark, sf_dir), 15)
+
+
+@query("portfolio_summary")
+def q_portfolio(spark, sf_dir):
+    return E.portfolio_summary(fx(spark, sf_dir))
+
+
+@query("scenario_report")
+def q_scenario_report(spark, sf_dir):
+    return E.scenario_interpretation(E.scenario_contract(comparison(spark, sf_dir)))
