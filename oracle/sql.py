@@ -544,3 +544,14 @@ register("scenario_report", f"""SELECT scenario_id, forecast_window_days, {money
       WHEN revenue_change <= 0 AND roas_change > 0 THEN 'This scenario may improve efficiency, but it may limit revenue scale.'
       ELSE 'This scenario does not look attractive because both revenue and efficiency may weaken.' END AS interpretation
     FROM sn_cmp WHERE forecast_level = 'blended'""")
+
+
+# --------------------------------------------------------------------------- model (exact parts)
+register("train_clean", "SELECT * REPLACE (greatest(COALESCE(target_future_revenue, 0.0), 0.0) AS target_future_revenue) "
+                        "FROM fe_train WHERE target_future_revenue IS NOT NULL")
+register("regression_metrics", f"""SELECT count(*) AS rows, {bround('avg(abs(e))', 4)} AS mae,
+    {bround('sqrt(avg(e * e))', 4)} AS rmse,
+    {bround('CASE WHEN var_pop(y) * count(y) > 0 THEN 1.0 - sum(e * e) / (var_pop(y) * count(y)) ELSE 0.0 END', 4)} AS r2
+    FROM (SELECT greatest(forecast_window_days * (0.5 * (hist_30d_revenue / 30) + 0.3 * (hist_90d_revenue / 90))
+                 + 0.1 * future_budget, 0.0) - greatest(target_future_revenue, 0.0) AS e, greatest(target_future_revenue, 0.0) AS y
+          FROM fe_train WHERE target_future_revenue IS NOT NULL)""")

@@ -61,7 +61,8 @@ def q_dated(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unified(spark, sf_dir)
+    """The predict entry point: exports -> features -> scores -> four-level forecast table."""
+    return forecast_tbl(spark, sf_dir)
 
 
 # ----------------------------------------------------------------- sources
@@ -355,3 +356,83 @@ def q_portfolio(spark, sf_dir):
 @query("scenario_report")
 def q_scenario_report(spark, sf_dir):
     return E.scenario_interpretation(E.scenario_contract(comparison(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------- model
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from roasline.operators import quantile as M  # noqa: E402
+
+# Boosting rounds of the registered model queries (learning rate 0.3, depth 3,
+# min leaf 5); the library default is 40 rounds.
+REGISTRY_ROUNDS = 5
+_MODELS: dict = {}
+
+
+def training(spark, sf_dir):
+    return FE.training_set(dated(spark, sf_dir))
+
+
+def fitted(spark, sf_dir):
+    """Fit once per session and data folder; the model queries share it."""
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = M.train(training(spark, sf_dir), M.QuantileBoostingParams(rounds=REGISTRY_ROUNDS))
+    return _MODELS[key]
+
+
+@query("train_clean")
+def q_train_clean(spark, sf_dir):
+    return M.train_clean(training(spark, sf_dir))
+
+
+@query("feature_columns")
+def q_feature_columns(spark, sf_dir):
+    _, cats, nums = M.feature_columns(M.train_clean(training(spark, sf_dir)))
+    rows = [(i, c, "categorical" if c in cats else "numeric") for i, c in enumerate(cats + nums)]
+    return spark.createDataFrame(rows, "position int, column_name string, kind string")
+
+
+@query("holdout_split")
+def q_holdout(spark, sf_dir):
+    t = training(spark, sf_dir)
+    return t.select("forecast_id", M.holdout_split(t).alias("is_train"))
+
+
+@query("encode_features")
+def q_encode(spark, sf_dir):
+    model, _, _ = fitted(spark, sf_dir)
+    f = model.features(prediction(spark, sf_dir))
+    return f.select("forecast_id", vector_to_array("features").alias("features"))
+
+
+@query("fit_quantile_models")
+def q_fit(spark, sf_dir):
+    model, _, _ = fitted(spark, sf_dir)
+    return model.node_table(spark)
+
+
+@query("score_quantiles")
+def q_score(spark, sf_dir):
+    model, _, _ = fitted(spark, sf_dir)
+    return model.scorer(prediction(spark, sf_dir)).select(*_PK, "raw_q10", "raw_q50", "raw_q90")
+
+
+@query("campaign_forecast_model")
+def q_forecast_model(spark, sf_dir):
+    model, _, _ = fitted(spark, sf_dir)
+    return R.forecast_table(P.campaign_forecast(prediction(spark, sf_dir), model.scorer))
+
+
+@query("regression_metrics")
+def q_metrics(spark, sf_dir):
+    s = P.linear_rule_scorer(M.train_clean(training(spark, sf_dir)))
+    s = s.withColumn("prediction", F.greatest(F.col("raw_q50"), F.lit(0.0)))
+    return M.regression_metrics(s, M.TARGET_COLUMN, "prediction")
+
+
+@query("model_card")
+def q_model_card(spark, sf_dir):
+    model, ntr, nte = fitted(spark, sf_dir)
+    return M.model_card(spark, model, ntr, nte)
