@@ -197,15 +197,26 @@ def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
 
 # --------------------------------------------------------------------------- training set
 def _framed(d: DataFrame, keys: list[str]) -> DataFrame:
-    """daily ∪ spine with every trailing and leading frame in one window pass."""
-    bounds = campaign_bounds(d, keys)
-    spine = spine_dates(bounds).select(*keys, F.col("cutoff_date").alias("date"), "first_date", "last_date")
-    zeros = {"n": F.lit(0).cast("bigint"), "has": F.lit(0),
-             **{f"{c}_u": F.lit(0).cast("bigint") for c in _MICRO_COLS}}
-    spine = spine.withColumns(zeros).withColumn("cut", F.lit(1))
-    rows = d.withColumns({"first_date": F.lit(None).cast("date"), "last_date": F.lit(None).cast("date"),
-                          "cut": F.lit(0)})
-    u = rows.unionByName(spine).withColumn("_i", F.unix_date("date"))
+    """Daily rows plus spine rows with every trailing and leading frame in one window pass.
+
+    First/last dates come from a partition-wide window over the daily rows;
+    each campaign's first-date row then also emits that campaign's spine rows
+    (an ``inline`` generate, zero measures).  One branch, one scan, and the
+    campaign partitioning carries into the frame pass with no further shuffle.
+    """
+    whole = Window.partitionBy(*keys)
+    d = d.withColumns({"first_date": F.min("date").over(whole), "last_date": F.max("date").over(whole)})
+    s = F.date_add("first_date", MIN_HISTORY_DAYS - 1)
+    e = F.date_sub("last_date", min(HORIZONS))
+    cutoffs = F.when((F.col("date") == F.col("first_date")) & (s <= e),
+                     F.sequence(s, e, F.expr(f"INTERVAL {STEP_DAYS} DAYS"))).otherwise(F.array().cast("array<date>"))
+    emitted = F.concat(F.array(F.struct(F.col("date").alias("_d"), F.lit(0).alias("cut"))),
+                       F.transform(cutoffs, lambda x: F.struct(x.alias("_d"), F.lit(1).alias("cut"))))
+    measures = ["n", "has", *[f"{c}_u" for c in _MICRO_COLS]]
+    u = d.select(*keys, "first_date", "last_date", *measures, F.inline(emitted))
+    zero = F.col("cut") == 1
+    u = u.withColumns({m: F.when(zero, F.lit(0)).otherwise(F.col(m)).cast("bigint") for m in measures})
+    u = u.withColumn("date", F.col("_d")).drop("_d").withColumn("_i", F.unix_date("date"))
     base = Window.partitionBy(*keys).orderBy("_i")
     cols: dict[str, Column] = {}
     for w in WINDOWS:
