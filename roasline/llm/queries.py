@@ -60,7 +60,7 @@ def op5_rendezvous_shards(spark: SparkSession, sf_dir: str, shards: int = shardi
 
 
 def op6_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.removed(table(spark, sf_dir, "documents"))
+    return repeats.cut(table(spark, sf_dir, "documents").select("doc_id", "text"), with_kept=False)
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
