@@ -50,7 +50,8 @@ def boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES,
     low, high = min_sites * (1 - BAND) - 1, min_sites * (1 + BAND) + 1
     likely = spread.where(F.col("sites") >= low).checkpoint()
     near = likely.where(F.col("sites") <= high).select("line")
-    exact = held.join(near, "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites)
+    # one row for each line and site before the join, so that no line brings more rows than there are sites
+    exact = held.distinct().join(near, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites)
     return likely.where(F.col("sites") > high).select("line").unionByName(exact.select("line"))
 
 
