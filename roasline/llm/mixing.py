@@ -140,7 +140,8 @@ def copies_of(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat:
     most = want.agg(F.max("docs")).first()[0] or 0
     level, blocks, settled = 0, math.ceil(most / block_rows), None
     while True:
-        state = state.groupBy("s", "block").applyInPandas(_round_block(level, seed), schema).checkpoint()
+        # dealt by block: the join before leaves all blocks of a source in one partition
+        state = state.repartition("s", "block").groupBy("s", "block").applyInPandas(_round_block(level, seed), schema).checkpoint()
         done = state.where("part <= 0 or part >= 1").select("key", "s", "part")
         settled = done if settled is None else settled.unionByName(done)
         state = state.where("part > 0 and part < 1")
