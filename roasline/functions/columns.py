@@ -18,7 +18,8 @@ ColumnOrName = Column | str
 # this guard Spark would accept Java suffixes such as "1d" or "2f" as numbers.
 NUMERIC_TEXT = r"^\s*[+-]?(((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 
-# Fixed value: accepted date layouts, tried in this order.
+# ISO dates, with or without a time behind; then the other layouts, tried in this order.
+ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "yyyy/MM/dd", "yyyyMMdd")
 
 
@@ -66,7 +67,8 @@ def parse_date(c: ColumnOrName, formats: Sequence[str] = DATE_FORMATS, dtype: T.
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    iso = F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+    return F.coalesce(iso, *[F.try_to_date(text, f) for f in formats])
 
 
 def first_existing(columns: Iterable[str], candidates: Sequence[str]) -> str | None:

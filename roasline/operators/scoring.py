@@ -141,5 +141,5 @@ def add_forecast_columns(scored: DataFrame) -> DataFrame:
     return df.withColumn("insight_summary", insight_summary(df))
 
 
-def campaign_forecast(prediction: DataFrame, scorer: Scorer = linear_rule_scorer) -> DataFrame:
+def campaign_forecast(prediction: DataFrame, scorer: Scorer) -> DataFrame:
     return add_forecast_columns(scorer(prediction))

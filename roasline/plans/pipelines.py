@@ -30,7 +30,7 @@ def audit(unified: DataFrame) -> dict[str, DataFrame]:
     return {"report": Q.quality_report(unified), "profile": Q.quality_profile(unified)}
 
 
-def predict(unified: DataFrame, scorer: P.Scorer = P.linear_rule_scorer, cache: bool = True) -> DataFrame:
+def predict(unified: DataFrame, scorer: P.Scorer, cache: bool = True) -> DataFrame:
     """Forecast table; the campaign forecasts are cached because four levels reuse them."""
     cf = P.campaign_forecast(FE.prediction_set(N.dated_rows(unified)), scorer)
     if cache:
@@ -46,7 +46,7 @@ def train(unified: DataFrame, params: M.QuantileBoostingParams | None = None, mo
     return model, n_train, n_test
 
 
-def scenarios(unified: DataFrame, plans: B.Scenarios, scorer: P.Scorer = P.linear_rule_scorer) -> DataFrame:
+def scenarios(unified: DataFrame, plans: B.Scenarios, scorer: P.Scorer) -> DataFrame:
     prediction = FE.prediction_set(N.dated_rows(unified)).cache()
     return B.run_scenarios(prediction, plans, scorer)
 

@@ -225,7 +225,7 @@ EXAMPLE_SCENARIOS = {1: {"Google Ads": 1.2, "Meta Ads": 0.9, "Microsoft Ads": 1.
 
 
 def comparison(spark, sf_dir):
-    return B.run_scenarios(prediction(spark, sf_dir), EXAMPLE_SCENARIOS)
+    return B.run_scenarios(prediction(spark, sf_dir), EXAMPLE_SCENARIOS, P.linear_rule_scorer)
 
 
 @query("scenario_budget")
@@ -236,7 +236,7 @@ def q_scenario_budget(spark, sf_dir):
 
 @query("scenario_forecast")
 def q_scenario_forecast(spark, sf_dir):
-    return B.scenario_forecast(prediction(spark, sf_dir), EXAMPLE_SCENARIOS)
+    return B.scenario_forecast(prediction(spark, sf_dir), EXAMPLE_SCENARIOS, P.linear_rule_scorer)
 
 
 @query("scenario_join")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Defaults for a single-host run.  On a cluster the submitter's settings win:
-# ``getOrCreate`` keeps an existing session and its configuration.
+# Defaults of a session that this module starts itself on a local master, for keys that nobody set.
+# A session that runs already, and any cluster master, keep their own settings.
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -23,23 +24,33 @@ LOCAL_DEFAULTS = {
 
 
 def get_spark(master: str | None = None, app: str = "roasline", **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master is not None:
-        builder = builder.master(master)
-    for key, value in {**LOCAL_DEFAULTS, **conf}.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    """The active session as it is, or a new one: `conf` always, local defaults on a local master only."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        given = SparkConf()
+        where = master or given.get("spark.master", "local[*]")
+        builder = SparkSession.builder.appName(app).master(where)
+        defaults = {k: v for k, v in LOCAL_DEFAULTS.items() if not given.contains(k)} if where.startswith("local[") or where == "local" else {}
+        for key, value in {**defaults, **conf}.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    if is_local(spark) or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory.
+    """The session's checkpoint folder.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting is
-    always used as is.  Only when it is unset (local tests) do we pick a scratch
-    folder of our own.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting is used as is.  Only
+    on a local master, where it may be unset (tests), a scratch folder is made; elsewhere a folder
+    that other machines cannot see would lose checkpoints, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="roasline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

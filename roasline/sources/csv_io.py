@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # File-name keywords of each platform (any one matches).
 PLATFORM_KEYWORDS = {
@@ -15,66 +17,78 @@ PLATFORM_KEYWORDS = {
 }
 
 
-def list_csv_files(spark: SparkSession, data_dir: str) -> list[str]:
-    """CSV file paths directly inside ``data_dir``, sorted by file name.
+def export_files(spark: SparkSession, data_dir: str) -> dict[str, list[str]]:
+    """Every CSV file directly inside ``data_dir``, by platform.
 
-    Uses the Hadoop file system of the session, so the same call lists a local
-    folder, HDFS or an object store; only names travel to the driver.
+    The session's Hadoop file system does the listing, so a local folder, HDFS and an object
+    store work alike; only names travel to the driver.  A daily export folder holds many files a
+    platform: all of them count.  A file that no platform claims is left out, one that two claim
+    is an error, and so is a platform without files.
     """
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(data_dir)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        raise FileNotFoundError(f"Data directory does not exist: {data_dir}")
-    if not fs.getFileStatus(path).isDirectory():
-        raise NotADirectoryError(f"Expected a directory, got: {data_dir}")
-    files = [st.getPath().toString() for st in fs.listStatus(path)
-             if st.isFile() and st.getPath().getName().lower().endswith(".csv")]
-    if not files:
-        raise FileNotFoundError(f"No CSV files found in data directory: {data_dir}")
-    return sorted(files, key=lambda p: p.rsplit("/", 1)[-1])
-
-
-def find_platform_file(files: list[str], keywords: tuple[str, ...]) -> str:
-    """First file (in sorted order) whose lower-cased name contains a keyword."""
-    kws = tuple(k.lower() for k in keywords)
-    for p in files:
-        name = p.rsplit("/", 1)[-1].lower()
-        if any(k in name for k in kws):
-            return p
-    available = ", ".join(p.rsplit("/", 1)[-1] for p in files)
-    raise FileNotFoundError(
-        f"Could not identify a required platform file. Expected filename keywords {kws}. Available files: {available}"
-    )
-
-
-def discover_exports(spark: SparkSession, data_dir: str,
-                     keywords: dict[str, tuple[str, ...]] = PLATFORM_KEYWORDS) -> dict[str, str]:
-    files = list_csv_files(spark, data_dir)
-    return {platform: find_platform_file(files, kws) for platform, kws in keywords.items()}
-
-
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header row; every column is read as text (no inference pass).
-
-    Typing happens in the normalisers with lenient casts, so a dirty value
-    becomes NULL/0 instead of failing the scan.
+    folder = jvm.org.apache.hadoop.fs.Path(data_dir)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not (fs.exists(folder) and fs.getFileStatus(folder).isDirectory()):
+        raise FileNotFoundError(f"{data_dir} is no folder")
+    names = {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(folder) if st.isFile()}
+    return by_platform({name: path for name, path in names.items() if name.lower().endswith(".csv")}, data_dir)
+
+
+def by_platform(names: dict[str, str], where: str = "the folder", keywords: dict[str, tuple[str, ...]] = PLATFORM_KEYWORDS) -> dict[str, list[str]]:
+    """``names`` (file name -> path) dealt to platforms by the keywords in the file names."""
+    found: dict[str, list[str]] = {platform: [] for platform in keywords}
+    for name in sorted(names):
+        claims = [p for p, words in keywords.items() if any(w in name.lower() for w in words)]
+        if len(claims) > 1:
+            raise ValueError(f"{name} fits more than one platform: {claims}")
+        for platform in claims:
+            found[platform].append(names[name])
+    if lacking := [p for p, files in found.items() if not files]:
+        raise FileNotFoundError(f"no export of {', '.join(lacking)} in {where}; it holds {sorted(names) or 'no CSV file'}")
+    return found
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in the first line of one CSV file."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
+
+
+def text_schema(columns: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def read_exports(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One DataFrame of all ``files``, columns matched by header name; every column is text.
+
+    Files with the same header are one scan; scans are united by name, a column that a file lacks
+    is NULL there.  ``enforceSchema=false`` makes a scan fail when a header is not the one it was
+    planned for.  Typing happens in the normalisers with lenient casts.
     """
-    return (
-        spark.read.option("header", True).option("mode", "PERMISSIVE")
-        .option("multiLine", False).csv(path)
-    )
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in files:
+        if header := header_of(spark, path):
+            groups.setdefault(header, []).append(path)
+    if not groups:
+        raise ValueError(f"no header in {files}")
+    scans = [spark.read.schema(text_schema(h)).option("header", True).option("enforceSchema", False).csv(paths) for h, paths in sorted(groups.items())]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
 
 
 def load_exports(spark: SparkSession, data_dir: str | None = None,
-                 paths: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """``{google, bing, meta}`` DataFrames from explicit paths/globs or by discovery."""
+                 paths: dict[str, list[str] | str] | None = None) -> dict[str, DataFrame]:
+    """``{google, bing, meta}`` DataFrames: all files of a folder, or the files given for each platform."""
     if paths is None:
         if data_dir is None:
-            raise ValueError("give data_dir or paths")
-        paths = discover_exports(spark, data_dir)
-    return {platform: read_export(spark, p) for platform, p in paths.items()}
+            raise ValueError("data_dir or paths is needed")
+        paths = export_files(spark, data_dir)
+    return {platform: read_exports(spark, [p] if isinstance(p, str) else list(p)) for platform, p in paths.items()}
 
 
 def dataset_summary(frames: dict[str, DataFrame]) -> DataFrame:

@@ -10,29 +10,25 @@ needed: features and forecasts are batch jobs over the unified table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from roasline.operators import normalize as N
-
-# The export columns each normaliser reads (all read as text).
-EXPORT_COLUMNS = {
-    "google": ["campaign_id", "campaign_name", "segments_date", "campaign_advertising_channel_type",
-               "campaign_budget_amount", "metrics_cost_micros", "metrics_clicks", "metrics_impressions",
-               "metrics_conversions", "metrics_conversions_value"],
-    "bing": ["CampaignId", "CampaignName", "CampaignType", "TimePeriod", "DailyBudget", "Spend", "Clicks",
-             "Impressions", "Conversions", "Revenue"],
-    "meta": ["campaign_id", "campaign_name", "date_start", "daily_budget", "spend", "clicks", "impressions",
-             "conversion"],
-}
-
-
-def export_schema(platform: str, columns: list[str] | None = None) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in (columns or EXPORT_COLUMNS[platform])])
-
-
-def read_export_stream(spark: SparkSession, path: str, platform: str, columns: list[str] | None = None,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(export_schema(platform, columns)).option("header", True)
+from roasline.sources.csv_io import header_of, text_schema
+
+def read_export_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream whose columns are named by the header of the files already in ``path``.
+
+    A stream has one column list, so the folder's files must share one header; a later file with
+    another one stops the query (``enforceSchema=false``) instead of swapping columns.  Exports with
+    several layouts go to one folder each, or through the batch reader, which unites them by name.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [st.getPath().toString() for st in fs.listStatus(folder) if st.isFile() and st.getPath().getName().lower().endswith(".csv")]
+    headers = {h for h in (header_of(spark, f) for f in files) if h}
+    if len(headers) != 1:
+        raise ValueError(f"{path} needs files of one header, it has {len(headers)}")
+    reader = spark.readStream.schema(text_schema(headers.pop())).option("header", True).option("enforceSchema", False).option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)
@@ -40,7 +36,7 @@ def read_export_stream(spark: SparkSession, path: str, platform: str, columns: l
 
 def normalized_stream(spark: SparkSession, paths: dict[str, str], **options) -> DataFrame:
     """Unified rows from one file stream per platform (a streaming union)."""
-    streams = {p: read_export_stream(spark, path, p) for p, path in paths.items()}
+    streams = {p: read_export_stream(spark, path) for p, path in paths.items()}
     return N.normalize_all(streams, **options)
 
 

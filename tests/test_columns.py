@@ -49,3 +49,9 @@ def test_number_text_matches_python(spark):
     assert [r[0] for r in rows] == [f"{v:.2f}" for v in vals]
     assert [r[1] for r in rows] == [f"{v:,.2f}" for v in vals]
     assert [r[2] for r in rows] == [f"{v:.0f}" for v in vals]
+
+
+def test_iso_dates_in_every_spelling(spark):
+    texts = ["2024-01-02T10:00:00", "2024-01-02 10:00:00.000", "2024-1-2", "2024-01-02", "01/02/2024", "20240102", "2024", "2024-13-01", "n/a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_date("t").cast("string").alias("d")).collect()
+    assert [r.d for r in rows] == ["2024-01-02"] * 6 + [None] * 3

@@ -1,5 +1,6 @@
 """CSV discovery, scan and sink round trip on the fixture exports."""
 
+import csv
 import os
 import tempfile
 
@@ -25,8 +26,8 @@ def test_csv_round_trip_and_discovery(spark):
         df.coalesce(1).write.option("header", True).csv(out)
         part = [f for f in os.listdir(out) if f.endswith(".csv")][0]
         os.link(f"{out}/{part}", f"{d}/{names[p]}.csv")
-    found = S.discover_exports(spark, d)
-    assert {p: os.path.basename(v) for p, v in found.items()} == {p: f"{n}.csv" for p, n in names.items()}
+    found = S.export_files(spark, d)
+    assert {p: [os.path.basename(x) for x in v] for p, v in found.items()} == {p: [f"{n}.csv"] for p, n in names.items()}
     loaded = S.load_exports(spark, d)
     direct = N.normalize_all(raw)
     via_csv = N.normalize_all(loaded)
@@ -35,15 +36,36 @@ def test_csv_round_trip_and_discovery(spark):
     assert summary["google"][1] == 10 and summary["meta"][1] == 8
 
 
+def test_all_files_count_and_columns_go_by_name(spark):
+    """Three files a platform, each with another column order and one with columns nobody knows."""
+    raw = raw_exports(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="roasline-src-", dir=os.environ.get("TMPDIR", "/tmp"))
+    stems = {"google": "google_ads", "bing": "microsoft", "meta": "facebook"}
+    for p, df in raw.items():
+        rows = [tuple(r) for r in df.collect()]
+        for n in range(3):
+            order = list(range(len(df.columns)))
+            order = order[n:] + order[:n]
+            with open(f"{d}/{stems[p]}_2024-0{n + 1}.csv", "w", newline="") as file:
+                out = csv.writer(file)
+                out.writerow([df.columns[k] for k in order] + (["reach", "cpc"] if n == 2 else []))
+                out.writerows([["" if r[k] is None else r[k] for k in order] + (["9", "8"] if n == 2 else []) for r in rows[n::3]])
+    loaded = S.load_exports(spark, d)
+    assert {p: f.count() for p, f in loaded.items()} == {p: f.count() for p, f in raw.items()}
+    assert _sorted_rows(N.normalize_all(loaded)) == _sorted_rows(N.normalize_all(raw))
+
+
 def test_discovery_errors(spark):
     d = tempfile.mkdtemp(prefix="roasline-src-", dir=os.environ.get("TMPDIR", "/tmp"))
     with pytest.raises(FileNotFoundError):
-        S.list_csv_files(spark, d)
+        S.export_files(spark, d)
     with pytest.raises(FileNotFoundError):
-        S.list_csv_files(spark, d + "/missing")
+        S.export_files(spark, d + "/missing")
     open(f"{d}/google.csv", "w").write("a\n1\n")
-    with pytest.raises(FileNotFoundError, match="Could not identify"):
-        S.discover_exports(spark, d)
+    with pytest.raises(FileNotFoundError, match="bing, meta"):
+        S.export_files(spark, d)
+    with pytest.raises(ValueError, match="more than one"):
+        S.by_platform({"google_bing.csv": "x"})
 
 
 def test_parquet_sink_round_trip(spark):
