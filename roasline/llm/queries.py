@@ -14,8 +14,19 @@ from . import bpe, embed_neighbours, html_blocks, line_spread, mixing, quality_n
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def prepare(spark: SparkSession) -> str:
+    """The checkpoint folder, made known to the session; Python workers are told where this library lies."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+    return ensure_checkpoint_dir(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -84,9 +95,8 @@ def op10_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    if root not in sys.path:
-        sys.path.insert(0, root)
+    if ROOT not in sys.path:
+        sys.path.insert(0, ROOT)
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
