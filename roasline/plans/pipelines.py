@@ -68,6 +68,11 @@ def report(forecast: DataFrame, comparison: DataFrame | None = None) -> dict[str
     return out
 
 
+# Tables whose files are read in a presentation order.
+ORDERED = {"unified": N.sort_unified, "forecast": R.sort_forecast, "insights": E.sort_insights}
+
+
 def write_outputs(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:
+    """Write each table below ``out_dir``; those named in ``ORDERED`` in their presentation order."""
     for name, df in tables.items():
-        S.write_table(df, f"{out_dir}/{name}", fmt=fmt)
+        S.write_table(ORDERED[name](df) if name in ORDERED else df, f"{out_dir}/{name}", fmt=fmt)

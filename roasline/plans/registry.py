@@ -376,7 +376,7 @@ def training(spark, sf_dir):
 
 def fitted(spark, sf_dir):
     """Fit once per session and data folder; the model queries share it."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = M.train(training(spark, sf_dir), M.QuantileBoostingParams(rounds=REGISTRY_ROUNDS))
     return _MODELS[key]
