@@ -451,8 +451,9 @@ register("scenario_recommendation", f"SELECT scenario_id, {', '.join(_CK)}, scen
 register("scenario_comparison", "SELECT * FROM sn_cmp")
 register("scenario_name", "SELECT DISTINCT scenario_id, scenario_name FROM sn_cmp")
 register("scenario_blended", """SELECT scenario_id, scenario_name, forecast_window_days, baseline_budget, scenario_budget,
-    budget_change_percent, baseline_revenue_expected, scenario_revenue_expected, revenue_change_percent,
-    baseline_roas_expected, scenario_roas_expected, scenario_risk_level FROM sn_cmp WHERE forecast_level = 'blended'""")
+    budget_change, budget_change_percent, baseline_revenue_expected, scenario_revenue_expected, revenue_change,
+    revenue_change_percent, baseline_roas_expected, scenario_roas_expected, roas_change, scenario_risk_level,
+    scenario_recommendation FROM sn_cmp WHERE forecast_level = 'blended'""")
 
 
 # --------------------------------------------------------------------------- insights
@@ -494,8 +495,8 @@ register("recommended_action", f"SELECT {_FK}, risk_level, {ACTION} AS recommend
 _subj_e = """CASE WHEN forecast_level = 'blended' THEN 'overall marketing performance' WHEN forecast_level = 'channel' THEN channel
     WHEN forecast_level = 'campaign_type' THEN channel || ' - ' || campaign_type ELSE channel || ' campaign ''' || campaign_name || '''' END"""
 register("insights_table", f"""SELECT {PRIO} AS priority, forecast_window_days, forecast_level, channel, campaign_type, campaign_id,
-    campaign_name, risk_level, {bround('confidence_score', 2)} AS confidence_score,
-    {bround('revenue_expected', 2)} AS revenue_expected, {bround('roas_expected', 4)} AS roas_expected,
+    campaign_name, risk_level, {fmt2('confidence_score')}::DOUBLE AS confidence_score,
+    {fmt2('revenue_expected')}::DOUBLE AS revenue_expected, {fmt2('roas_expected', 4)}::DOUBLE AS roas_expected,
     'For the next ' || forecast_window_days || ' days, ' || {_subj_e} || ' is forecasted to generate ' ||
     {money('revenue_expected')} || ' revenue with expected ROAS of ' || {xr('roas_expected')} || '. ' || {RISK_EXPL} AS insight,
     {ACTION} AS recommended_action

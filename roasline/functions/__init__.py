@@ -1,10 +1,11 @@
 from roasline.functions.columns import (  # noqa: F401
     DATE_FORMATS,
-    MICRO,
-    exact_avg,
-    exact_sum,
-    from_micro,
-    micro_units,
+    add_parts,
+    exact_sum_parts,
+    from_units,
+    join_parts,
+    parts_value,
+    sum_parts,
     NUMERIC_TEXT,
     clean_numeric,
     first_existing,
@@ -12,6 +13,7 @@ from roasline.functions.columns import (  # noqa: F401
     money,
     numeric_columns,
     parse_date,
+    round_decimal,
     round_half_even,
     safe_divide,
     text_or,

@@ -106,6 +106,11 @@ def round_half_even(x: ColumnOrName, digits: int) -> Column:
     return F.rint(col(x).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def round_decimal(x: ColumnOrName, digits: int) -> Column:
+    """Rounding of the exact value of the double, as Python's ``round`` does it: 1.055 -> 1.05."""
+    return F.coalesce(fmt_fixed(x, digits).try_cast("double"), col(x).cast("double"))
+
+
 def zero_if_bad(x: ColumnOrName) -> Column:
     """NULL, NaN and +/-inf become 0.0."""
     x = col(x).cast("double")
@@ -116,28 +121,61 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-# Fixed value: measures are summed as integers of this many units per currency
-# unit, so a sum is exact and does not depend on row or partition order.
-MICRO = 1_000_000.0
-
+# Sums are exact integers of this many units per currency unit; a row of LARGE_ROW or
+# more, and a day of LARGE_DAY or more, is added as a plain double instead (as is +/-inf).
+UNITS = 100_000_000
+LARGE_ROW = 1e9
+LARGE_DAY = 1e7
 
-def micro_units(x: ColumnOrName) -> Column:
-    """Value as a long count of millionths (round half even)."""
-    return F.rint(col(x).cast("double") * F.lit(MICRO)).cast("long")
 
+def sum_parts(x: ColumnOrName, name: str) -> list[Column]:
+    """Aggregates ``<name>_w``, ``<name>_f`` (whole part and hundred-millionths, both long) and
+    ``<name>_x`` (doubles too large to split, +/-inf).
 
-def from_micro(x: ColumnOrName) -> Column:
-    return col(x).cast("double") / F.lit(MICRO)
+    The long sums stay in codegen, combine map-side and do not depend on row order.  They hold
+    9e9 rows of any size below LARGE_ROW in one group; larger values cannot overflow either.
+    """
+    x = col(x).cast("double")
+    small = F.abs(x) < F.lit(LARGE_ROW)
+    whole = F.floor(x)
+    return [
+        F.sum(F.when(small, whole).otherwise(F.lit(0)).cast("long")).alias(f"{name}_w"),
+        F.sum(F.when(small, F.rint((x - whole) * F.lit(float(UNITS)))).otherwise(F.lit(0.0)).cast("long"))
+        .alias(f"{name}_f"),
+        F.sum(F.when(x.isNull() | small, F.lit(0.0)).otherwise(x)).alias(f"{name}_x"),
+    ]
 
 
-def exact_sum(x: ColumnOrName) -> Column:
-    """Order-independent sum of a double column, to one millionth.
+def join_parts(name: str) -> list[Column]:
+    """The parts of one group as ``<name>_u`` (long units, 0 for a large group) and ``<name>_x``.
 
-    Long arithmetic keeps the aggregate in codegen and cheap to combine map-side;
-    the bound is |sum| < 9.2e12 per group.
+    ``_u`` values of up to 9,000 groups can be added without overflow: a window over the calendar
+    never reaches that.
     """
-    return from_micro(F.sum(micro_units(x)))
+    w, f = F.col(f"{name}_w"), F.col(f"{name}_f")
+    value = w.cast("double") + f.cast("double") / F.lit(float(UNITS))
+    fits = F.abs(value) < F.lit(LARGE_DAY)
+    return [
+        F.when(fits, w * F.lit(UNITS).cast("long") + f).otherwise(F.lit(0).cast("long")).alias(f"{name}_u"),
+        (F.col(f"{name}_x") + F.when(fits, F.lit(0.0)).otherwise(value)).alias(f"{name}_x"),
+    ]
+
+
+def from_units(units: ColumnOrName, large: ColumnOrName) -> Column:
+    return col(units).cast("double") / F.lit(float(UNITS)) + col(large)
+
+
+def parts_value(name: str) -> Column:
+    """The sum held by the three parts of ``sum_parts``."""
+    return (F.col(f"{name}_w").cast("double") + F.col(f"{name}_f").cast("double") / F.lit(float(UNITS))
+            + F.col(f"{name}_x"))
+
+
+def exact_sum_parts(columns: dict[str, ColumnOrName]) -> list[Column]:
+    """``sum_parts`` of every ``{name: column}``."""
+    return [part for name, c in columns.items() for part in sum_parts(c, name)]
 
 
-def exact_avg(x: ColumnOrName) -> Column:
-    return F.try_divide(exact_sum(x), F.count(col(x)).cast("double"))
+def add_parts(names: Iterable[str]) -> list[Column]:
+    """Sums of the parts of smaller groups: the second step of a two-step aggregate."""
+    return [F.sum(f"{n}_{k}").alias(f"{n}_{k}") for n in names for k in "wfx"]

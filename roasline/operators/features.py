@@ -3,7 +3,7 @@ training targets and the prediction set.
 
 Plan shape (see ``training_set``):
 
-1. ``daily``: one row per (campaign, date) with long micro-unit sums.  This is
+1. ``daily``: one row per (campaign, date) with exact sums in long units.  This is
    the only aggregation over raw rows; partial aggregation runs map-side, so a
    campaign holding a third of all rows still ships one row per day and task.
 2. ``cutoff_spine``: per campaign, cutoffs every 7 days (a tiny table).
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roasline.functions import from_micro, micro_units, safe_divide
+from roasline.functions import exact_sum_parts, from_units, join_parts, safe_divide
 from roasline.operators.normalize import GROUP_KEYS
 
 # Forecast horizons, trailing windows and the spine rule.
@@ -47,28 +47,33 @@ TRAINING_COLUMNS = PREDICTION_COLUMNS + TARGET_COLUMNS
 # text standing in for a NULL key inside the forecast id
 NULL_TEXT = "nan"
 
-_MICRO_COLS = SUMS + ["budget"]
+_SUMMED = SUMS + ["budget"]
+_PARTS = [f"{c}_{k}" for c in _SUMMED for k in "ux"]   # long units, and what is too large for them
 
 
 # --------------------------------------------------------------------------- daily
 def daily(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
-    """One row per (campaign, date): row count and exact micro-unit sums."""
-    return (
+    """One row per (campaign, date): row count and exact sums (``join_parts``)."""
+    g = (
         df.where(F.col("date").isNotNull())
         .groupBy(*keys, "date")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.sum(micro_units(c)).alias(f"{c}_u") for c in SUMS],
-            F.sum(micro_units("daily_budget")).alias("budget_u"),
+            *exact_sum_parts({**{c: c for c in SUMS}, "budget": "daily_budget"}),
         )
-        .withColumn("has", F.lit(1))
     )
+    return g.select(*keys, "date", "n", *[x for c in _SUMMED for x in join_parts(c)], F.lit(1).alias("has"))
+
+
+def _values(name) -> dict[str, Column]:
+    """Measure -> its sum as a double; ``name(measure, "u" | "x")`` names the two parts."""
+    return {c: from_units(name(c, "u"), name(c, "x")) for c in _SUMMED}
 
 
-def _period_metrics(prefix: str, rows: Column, days: Column, u: dict[str, Column]) -> list[Column]:
-    """The 13 period columns from a row count, a day count and micro-unit sums."""
-    spend, revenue, clicks, impressions, conversions = (from_micro(u[c]) for c in SUMS)
-    budget = from_micro(u["budget"])
+def _period_metrics(prefix: str, rows: Column, days: Column, sums: dict[str, Column]) -> list[Column]:
+    """The 13 period columns from a row count, a day count and the sums of the measures."""
+    spend, revenue, clicks, impressions, conversions = (sums[c] for c in SUMS)
+    budget = sums["budget"]
     return [
         rows.cast("bigint").alias(f"{prefix}_rows"),
         days.cast("bigint").alias(f"{prefix}_active_days"),
@@ -95,10 +100,10 @@ def period_aggregate(df: DataFrame, start: str, end: str, keys: list[str] = GROU
     d = daily(df.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))), keys)
     g = d.groupBy(*keys).agg(
         F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_days"),
-        *[F.sum(f"{c}_u").alias(f"_{c}") for c in _MICRO_COLS],
+        *[F.sum(p).alias(f"_{p}") for p in _PARTS],
     )
     return g.select(*keys, *_period_metrics(prefix, F.col("_n"), F.col("_days"),
-                                            {c: F.col(f"_{c}") for c in _MICRO_COLS}))
+                                            _values(lambda c, k: f"_{c}_{k}")))
 
 
 # --------------------------------------------------------------------------- spine
@@ -178,13 +183,13 @@ def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
         inside = F.col("date") >= F.date_sub("last_date", w - 1)
         aggs.append(F.sum(F.when(inside, F.col("n")).otherwise(0)).alias(f"_r{w}"))
         aggs.append(F.count_if(inside).alias(f"_d{w}"))
-        for c in _MICRO_COLS:
-            aggs.append(F.sum(F.when(inside, F.col(f"{c}_u")).otherwise(0)).alias(f"_{c}{w}"))
+        for p in _PARTS:
+            aggs.append(F.sum(F.when(inside, F.col(p)).otherwise(0)).alias(f"_{p}{w}"))
     g = d.groupBy(*keys).agg(*aggs)
     hist: list[Column] = []
     for w in WINDOWS:
         hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
-                                {c: F.col(f"_{c}{w}") for c in _MICRO_COLS})
+                                _values(lambda c, k: f"_{c}_{k}{w}"))
     g = g.select(*keys, "first_date", "cutoff_date", *hist)
     g = g.select("*", *_trend_columns())
     g = g.withColumn("forecast_window_days", F.explode(F.array(*[F.lit(h) for h in HORIZONS])))
@@ -212,10 +217,10 @@ def _framed(d: DataFrame, keys: list[str]) -> DataFrame:
                      F.sequence(s, e, F.expr(f"INTERVAL {STEP_DAYS} DAYS"))).otherwise(F.array().cast("array<date>"))
     emitted = F.concat(F.array(F.struct(F.col("date").alias("_d"), F.lit(0).alias("cut"))),
                        F.transform(cutoffs, lambda x: F.struct(x.alias("_d"), F.lit(1).alias("cut"))))
-    measures = ["n", "has", *[f"{c}_u" for c in _MICRO_COLS]]
+    measures = ["n", "has", *_PARTS]
     u = d.select(*keys, "first_date", "last_date", *measures, F.inline(emitted))
     zero = F.col("cut") == 1
-    u = u.withColumns({m: F.when(zero, F.lit(0)).otherwise(F.col(m)).cast("bigint") for m in measures})
+    u = u.withColumns({m: F.when(zero, F.lit(0)).otherwise(F.col(m)) for m in measures})
     u = u.withColumn("date", F.col("_d")).drop("_d").withColumn("_i", F.unix_date("date"))
     base = Window.partitionBy(*keys).orderBy("_i")
     cols: dict[str, Column] = {}
@@ -223,13 +228,13 @@ def _framed(d: DataFrame, keys: list[str]) -> DataFrame:
         fr = base.rangeBetween(-(w - 1), 0)
         cols[f"_r{w}"] = F.sum("n").over(fr)
         cols[f"_d{w}"] = F.sum("has").over(fr)
-        for c in _MICRO_COLS:
-            cols[f"_{c}{w}"] = F.sum(f"{c}_u").over(fr)
+        for p in _PARTS:
+            cols[f"_{p}{w}"] = F.sum(p).over(fr)
     for h in HORIZONS:
         fr = base.rangeBetween(1, h)
         cols[f"_fr{h}"] = F.coalesce(F.sum("n").over(fr), F.lit(0))
-        for c in _MICRO_COLS:
-            cols[f"_f{c}{h}"] = F.coalesce(F.sum(f"{c}_u").over(fr), F.lit(0))
+        for p in _PARTS:
+            cols[f"_f{p}{h}"] = F.coalesce(F.sum(p).over(fr), F.lit(0))
     return u.withColumns(cols).where(F.col("cut") == 1)
 
 
@@ -239,7 +244,7 @@ def spine_features(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
     hist: list[Column] = []
     for w in WINDOWS:
         hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
-                                {c: F.col(f"_{c}{w}") for c in _MICRO_COLS})
+                                _values(lambda c, k: f"_{c}_{k}{w}"))
     out = f.select(*keys, F.col("date").alias("cutoff_date"), "first_date", "last_date", *hist)
     return out.select("*", *_trend_columns())
 
@@ -251,9 +256,9 @@ def training_set(df: DataFrame, keys: list[str] = GROUP_KEYS, check_empty: bool
     hist: list[Column] = []
     for w in WINDOWS:
         hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
-                                {c: F.col(f"_{c}{w}") for c in _MICRO_COLS})
+                                _values(lambda c, k: f"_{c}_{k}{w}"))
     fut = [F.struct(F.lit(h).alias("h"), F.col(f"_fr{h}").alias("n"),
-                    *[F.col(f"_f{c}{h}").alias(c) for c in _MICRO_COLS]) for h in HORIZONS]
+                    *[v.alias(c) for c, v in _values(lambda c, k: f"_f{c}_{k}{h}").items()]) for h in HORIZONS]
     t = f.select(*keys, F.col("date").alias("cutoff_date"), "first_date", "last_date", *hist,
                  F.explode(F.array(*fut)).alias("_fut"))
     t = t.select("*", *_trend_columns())
@@ -261,15 +266,15 @@ def training_set(df: DataFrame, keys: list[str] = GROUP_KEYS, check_empty: bool
     t = t.where((F.date_add("cutoff_date", F.col("forecast_window_days")) <= F.col("last_date"))
                 & (F.col("_fut.n") > 0))
     h = F.col("forecast_window_days")
-    spend, revenue = from_micro("_fut.spend"), from_micro("_fut.revenue")
-    mean_budget_x_h = from_micro("_fut.budget") / F.col("_fut.n") * h
+    spend, revenue = F.col("_fut.spend"), F.col("_fut.revenue")
+    mean_budget_x_h = F.col("_fut.budget") / F.col("_fut.n") * h
     t = t.withColumns({
         "future_budget": F.when(mean_budget_x_h <= 0, spend).otherwise(mean_budget_x_h),
         "target_future_spend": spend,
         "target_future_revenue": revenue,
-        "target_future_clicks": from_micro("_fut.clicks"),
-        "target_future_impressions": from_micro("_fut.impressions"),
-        "target_future_conversions": from_micro("_fut.conversions"),
+        "target_future_clicks": F.col("_fut.clicks"),
+        "target_future_impressions": F.col("_fut.impressions"),
+        "target_future_conversions": F.col("_fut.conversions"),
         "target_future_roas": safe_divide(revenue, spend),
     })
     t = t.withColumn("future_budget_per_day", safe_divide("future_budget", h))
@@ -290,14 +295,14 @@ def asof_latest(df: DataFrame, probes: DataFrame, keys: list[str] = GROUP_KEYS,
     """
     d = daily(df, keys)
     p = probes.select(*keys, F.col(probe_date).alias("date")).withColumn("_probe", F.lit(1))
-    rows = d.select(*keys, "date", "n", *[f"{c}_u" for c in _MICRO_COLS]).withColumn("_probe", F.lit(0))
+    rows = d.select(*keys, "date", "n", *_PARTS).withColumn("_probe", F.lit(0))
     u = rows.unionByName(p, allowMissingColumns=True).withColumn("_i", F.unix_date("date"))
     run = Window.partitionBy(*keys).orderBy("_i", "_probe").rowsBetween(Window.unboundedPreceding, 0)
     is_row = F.col("_probe") == 0
     latest = {
         "latest_date": F.last(F.when(is_row, F.col("date")), ignorenulls=True).over(run),
         "latest_rows": F.last(F.when(is_row, F.col("n")), ignorenulls=True).over(run),
-        **{f"latest_{c}": F.last(F.when(is_row, from_micro(f"{c}_u")), ignorenulls=True).over(run)
+        **{f"latest_{c}": F.last(F.when(is_row, from_units(f"{c}_u", f"{c}_x")), ignorenulls=True).over(run)
            for c in ("spend", "revenue")},
     }
     out = u.withColumns(latest).where(F.col("_probe") == 1)

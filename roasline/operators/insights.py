@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roasline.functions import clean_numeric, exact_avg, fmt_fixed, money, round_half_even
+from roasline.functions import clean_numeric, fmt_fixed, money, parts_value, round_decimal, sum_parts
 from roasline.operators.rollup import level_order
 
 # The read-back contract of the forecast table.
@@ -145,9 +145,9 @@ def insights_table(fc: DataFrame) -> DataFrame:
         risk_priority().alias("priority"),
         F.col("forecast_window_days").cast("int").alias("forecast_window_days"),
         "forecast_level", "channel", "campaign_type", "campaign_id", "campaign_name", "risk_level",
-        round_half_even("confidence_score", 2).alias("confidence_score"),
-        round_half_even("revenue_expected", 2).alias("revenue_expected"),
-        round_half_even("roas_expected", 4).alias("roas_expected"),
+        round_decimal("confidence_score", 2).alias("confidence_score"),
+        round_decimal("revenue_expected", 2).alias("revenue_expected"),
+        round_decimal("roas_expected", 4).alias("roas_expected"),
         insight.alias("insight"),
         recommended_action().alias("recommended_action"),
     )
@@ -243,13 +243,14 @@ def portfolio_summary(fc: DataFrame) -> DataFrame:
     """Mean confidence over all rows, High/Medium row counts, best blended window."""
     blended = F.col("forecast_level") == "blended"
     g = fc.agg(
-        exact_avg("confidence_score").alias("avg_confidence"),
+        *sum_parts("confidence_score", "confidence"), F.count("confidence_score").alias("_scored"),
         F.count_if(F.col("risk_level") == "High").alias("high_risk_rows"),
         F.count_if(F.col("risk_level") == "Medium").alias("medium_risk_rows"),
         F.max_by(F.when(blended, F.struct(F.col("forecast_window_days").cast("int").alias("w"),
                                           F.col("roas_expected").alias("r"))),
                  F.when(blended, F.struct(F.col("roas_expected"), -F.col("forecast_window_days")))).alias("_b"),
     )
+    g = g.withColumn("avg_confidence", F.try_divide(parts_value("confidence"), F.col("_scored").cast("double")))
     return g.select(
         F.coalesce(F.col("avg_confidence"), F.lit(0.0)).alias("avg_confidence"),
         "high_risk_rows", "medium_risk_rows",

@@ -1,8 +1,8 @@
 """Multi-level roll-up of campaign forecasts and the final forecast table.
 
-One ``GROUPING SETS`` aggregate computes the channel, campaign-type and blended
-levels in a single pass (Expand + partial aggregation), with ``grouping_id``
-telling a subtotal apart from a NULL campaign type.  Roll-ups add quantiles
+Campaigns are first summed up to (window, channel, type); one ``GROUPING SETS``
+aggregate over that small result gives the channel, campaign-type and blended
+levels, so the campaign rows are never expanded, with ``grouping_id`` telling a subtotal apart from a NULL campaign type.  Roll-ups add quantiles
 (a sum of q10s, not the q10 of the sum), average confidence without weights
 and take the worst risk of the group.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasline.functions import exact_avg, exact_sum, round_half_even, safe_divide, text_or
+from roasline.functions import add_parts, exact_sum_parts, parts_value, round_half_even, safe_divide, text_or
 from roasline.operators.scoring import NULL_TEXT, REVENUE_COLS, ROAS_COLS, insight_summary
 
 # Final table layout.
@@ -37,15 +37,24 @@ def rollup_levels(cf: DataFrame, extra_keys: list[str] | None = None) -> DataFra
     extra = list(extra_keys or [])
     w = [*extra, "forecast_window_days"]
     sets = [w, [*w, "channel"], [*w, "channel", "campaign_type"]]
-    order_key = F.struct("channel", "campaign_id", "campaign_name", "campaign_type")
-    g = cf.groupingSets(sets, *w, "channel", "campaign_type").agg(
-        (F.grouping("channel") * 2 + F.grouping("campaign_type")).alias("_gid"),
-        exact_sum("future_budget").alias("future_budget"),
-        *[exact_sum(c).alias(c) for c in REVENUE_COLS],
-        exact_avg("confidence_score").alias("confidence_score"),
+    summed = ["future_budget", *REVENUE_COLS, "confidence_score"]
+    first = F.struct("channel", "campaign_id", "campaign_name", "campaign_type", "forecast_start_date",
+                     "forecast_end_date")
+    types = cf.groupBy(*w, "channel", "campaign_type").agg(
+        *exact_sum_parts({c: c for c in summed}),
+        F.count("confidence_score").alias("_scored"),
         F.max(_risk_rank()).alias("_risk"),
-        F.min_by(F.struct("forecast_start_date", "forecast_end_date"), order_key).alias("_first"),
+        F.min(first).alias("_first"),
+    )
+    g = types.groupingSets(sets, *w, "channel", "campaign_type").agg(
+        (F.grouping("channel") * 2 + F.grouping("campaign_type")).alias("_gid"),
+        *add_parts(summed),
+        F.sum("_scored").alias("_scored"),
+        F.max("_risk").alias("_risk"),
+        F.min("_first").alias("_first"),
     )
+    g = g.withColumns({c: parts_value(c) for c in summed})
+    g = g.withColumn("confidence_score", F.try_divide("confidence_score", F.col("_scored").cast("double")))
     level = F.when(F.col("_gid") == 0, "campaign_type").when(F.col("_gid") == 1, "channel").otherwise("blended")
     g = g.withColumn("forecast_level", level).withColumns({
         "channel": F.when(F.col("forecast_level") == "blended", F.lit(ALL)).otherwise(F.col("channel")),

@@ -55,3 +55,21 @@ def test_iso_dates_in_every_spelling(spark):
     texts = ["2024-01-02T10:00:00", "2024-01-02 10:00:00.000", "2024-1-2", "2024-01-02", "01/02/2024", "20240102", "2024", "2024-13-01", "n/a"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_date("t").cast("string").alias("d")).collect()
     assert [r.d for r in rows] == ["2024-01-02"] * 6 + [None] * 3
+
+
+def test_sums_of_any_size(spark):
+    from roasline.functions import parts_value, sum_parts
+
+    rows = [("small", 1e-8)] * 3 + [("cents", 0.1)] * 10 + [("large", 9.3e12), ("large", 1.0), ("inf", math.inf),
+            ("inf", 5.0), ("hot", 9.9e8)] + [("hot", 9.9e8)] * 20_000
+    df = spark.createDataFrame(rows, "k string, x double").repartition(7)
+    got = {r.k: r.v for r in df.groupBy("k").agg(*sum_parts("x", "s")).select("k", parts_value("s").alias("v")).collect()}
+    assert got == {"small": 3e-8, "cents": 1.0, "large": 9.3e12 + 1.0, "inf": math.inf, "hot": 9.9e8 * 20_001}
+
+
+def test_python_rounding(spark):
+    from roasline.functions import round_decimal
+
+    vals = [i / 1000 for i in range(1005, 100_000, 10)] + [math.inf, -0.125, 2.675]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double").select(round_decimal("x", 2)).collect()]
+    assert got == [round(v, 2) if math.isfinite(v) else v for v in vals]

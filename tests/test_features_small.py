@@ -118,3 +118,22 @@ def test_features_do_not_depend_on_partitioning(spark, n):
     rows = make_rows()
     random.Random(n).shuffle(rows)
     assert spark_training(spark, rows, partitions=n) == spark_training(spark, make_rows())
+
+
+def test_infinite_and_huge_values_do_not_end_the_job(spark):
+    import datetime as dt
+    import math
+
+    from roasline.operators import features as FE
+
+    day = dt.date(2024, 1, 1)
+    rows = [("Google Ads", "1", "a", "SEARCH", day + dt.timedelta(days=i), 1.0, 1e13 if i == 95 else 2.0,
+             math.inf if i == 96 else 4.0, 1.0, 1.0, 1.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "channel string, campaign_id string, campaign_name string, campaign_type string, "
+                                     "date date, daily_budget double, spend double, revenue double, clicks double, "
+                                     "impressions double, conversions double")
+    p = FE.prediction_set(df).first()
+    assert p.hist_30d_spend == 1e13 + 58.0 and p.hist_30d_revenue == math.inf and p.hist_30d_clicks == 30.0
+    t = {(r.cutoff_date, r.forecast_window_days): r for r in FE.training_set(df).collect()}
+    assert t[(day + dt.timedelta(days=29), 30)].target_future_revenue == 120.0
+    assert any(r.target_future_spend >= 1e13 for r in t.values())
