@@ -556,3 +556,36 @@ register("regression_metrics", f"""SELECT count(*) AS rows, {bround('avg(abs(e))
     FROM (SELECT greatest(forecast_window_days * (0.5 * (hist_30d_revenue / 30) + 0.3 * (hist_90d_revenue / 90))
                  + 0.1 * future_budget, 0.0) - greatest(target_future_revenue, 0.0) AS e, greatest(target_future_revenue, 0.0) AS y
           FROM fe_train WHERE target_future_revenue IS NOT NULL)""")
+
+
+# --------------------------------------------------------------------------- helpers, discovery, model inputs
+register("clean_numeric", " UNION ALL ".join(
+    f"""SELECT '{p}' AS platform, '{c}' AS column_name, {c} AS text, COALESCE(TRY_CAST({c} AS DOUBLE), 0.0) AS value
+    FROM raw_{p}""" for p, c in [("google", "metrics_clicks"), ("bing", "Clicks"), ("meta", "clicks"), ("bing", "Spend"),
+                                 ("meta", "conversion")]))
+register("parse_dates", """SELECT l_orderkey, l_linenumber, (l_orderkey % 8)::INTEGER AS layout,
+    CASE WHEN l_orderkey % 8 < 7 THEN l_shipdate::DATE END AS date FROM lineitem""")
+register("meta_campaign_type", """SELECT campaign_id, campaign_name,
+    CASE WHEN regexp_matches(campaign_name, '(?i)remarketing|retarget') THEN 'Remarketing'
+         WHEN regexp_matches(campaign_name, '(?i)prospecting|dpa') THEN 'Prospecting' ELSE 'Generic' END AS campaign_type
+    FROM raw_meta""")
+register("safe_divide", """SELECT channel, campaign_id, date, clicks, impressions,
+    COALESCE(clicks / NULLIF(impressions, 0), 0) AS scalar_rule, COALESCE(clicks / NULLIF(impressions, 0), 0) AS column_rule
+    FROM unified""")
+register("rate_metrics", """SELECT channel, campaign_id, date, daily_budget, spend, clicks, impressions, conversions, revenue,
+    COALESCE(clicks / NULLIF(impressions, 0), 0) AS ctr, COALESCE(spend / NULLIF(clicks, 0), 0) AS cpc,
+    COALESCE(spend / NULLIF(impressions, 0), 0) * 1000 AS cpm, COALESCE(conversions / NULLIF(clicks, 0), 0) AS conversion_rate,
+    COALESCE(revenue / NULLIF(spend, 0), 0) AS roas FROM unified""")
+register("source_discovery", """SELECT stem || m || '.csv' AS file_name, platform
+    FROM (SELECT DISTINCT strftime(o_orderdate::DATE, '%Y-%m') AS m FROM orders),
+         (VALUES ('google_ads_', 'google'), ('MS_Ads-', 'bing'), ('Facebook ', 'meta')) AS v(stem, platform)""")
+register("align_features", """SELECT forecast_id, channel, NULL::VARCHAR AS campaign_type, 0.0::DOUBLE AS hist_7d_spend,
+    CASE WHEN forecast_window_days > 30 THEN hist_14d_spend ELSE 0 END AS hist_14d_spend, hist_30d_spend FROM fe_pred""")
+register("holdout_split", """SELECT forecast_id, ('0x' || substr(md5('42:' || forecast_id), 1, 8))::BIGINT % 100 < 80 AS is_train
+    FROM fe_train""")
+_FEATURES = (["channel", "campaign_id", "campaign_name", "campaign_type", "forecast_level", "forecast_window_days",
+              "campaign_age_days", "forecast_month", "forecast_quarter", "forecast_year"] + HIST_SQL_COLS
+             + TREND_NAMES.split(", ") + ["future_budget", "future_budget_per_day"])
+register("feature_columns", "\nUNION ALL ".join(
+    f"SELECT {i}::INTEGER AS position, '{c}' AS column_name, '{'categorical' if i < 5 else 'numeric'}' AS kind, "
+    f"count({c}) AS filled_rows FROM fe_train" for i, c in enumerate(_FEATURES)))

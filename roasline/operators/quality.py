@@ -1,7 +1,8 @@
 """Data-quality audit of the unified table.
 
-All counters come out of **one** aggregate pass (plus one keyed aggregate for
-duplicate keys) and are returned as a long table
+One scan: where duplicate keys are asked for, the counters ride on the keyed aggregate that finds
+them and are folded afterwards; a single other check counts only what it needs, without a keyed
+shuffle.  Everything is returned as a long table
 
     (ord, check_name, column_name, value, message)
 
@@ -71,75 +72,79 @@ def _py_list(names: list[str]) -> str:
     return "[" + ", ".join(repr(n) for n in names) + "]"
 
 
-def duplicate_rows(df: DataFrame, keys: list[str] = DUPLICATE_KEYS) -> DataFrame:
-    """Rows beyond the first per key (NULL keys group together).
-
-    Keyed pre-aggregation with map-side partial counts; a hot key costs one
-    counter per map task, not one row per record.
-    """
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-    )
+CHECKS = ("required_columns", "missing_values", "negative_values", "invalid_dates", "duplicates",
+          "zero_activity", "roas_outliers")
 
 
-def quality_checks(df: DataFrame) -> DataFrame:
-    """Every check of the audit as one long table (one scan + one keyed agg)."""
+def _counters(df: DataFrame, checks) -> dict[str, Column]:
+    """The counters that ``checks`` need, over the columns that ``df`` has."""
     cols = set(df.columns)
     aggs: dict[str, Column] = {"_rows": F.count(F.lit(1))}
-    for c in MISSING_CHECK_COLUMNS:
-        if c in cols:
-            aggs[f"miss_{c}"] = F.count_if(_is_missing(df, c))
-    for c in NEGATIVE_CHECK_COLUMNS:
-        if c in cols:
-            aggs[f"neg_{c}"] = F.count_if(F.col(c) < 0)
-    if "date" in cols:
+    if "missing_values" in checks:
+        aggs |= {f"miss_{c}": F.count_if(_is_missing(df, c)) for c in MISSING_CHECK_COLUMNS if c in cols}
+    if "negative_values" in checks:
+        aggs |= {f"neg_{c}": F.count_if(F.col(c) < 0) for c in NEGATIVE_CHECK_COLUMNS if c in cols}
+    if "invalid_dates" in checks and "date" in cols:
         aggs["bad_date"] = F.count_if(F.col("date").isNull())
-    for c, _ in ZERO_CHECKS:
-        if c in cols:
-            aggs[f"zero_{c}"] = F.count_if(F.col(c) == 0)
-    if "roas" in cols:
+    if "zero_activity" in checks:
+        aggs |= {f"zero_{c}": F.count_if(F.col(c) == 0) for c, _ in ZERO_CHECKS if c in cols}
+    if "roas_outliers" in checks and "roas" in cols:
         aggs["roas_valid"] = F.count_if(_finite("roas"))
         aggs["roas_extreme"] = F.count_if(_finite("roas") & (F.col("roas") > ROAS_OUTLIER_THRESHOLD))
-    counts = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    return aggs
+
+
+def quality_checks(df: DataFrame, checks=CHECKS) -> DataFrame:
+    """The named checks as one long table.
 
-    has_dup_keys = all(k in cols for k in DUPLICATE_KEYS)
+    Duplicates are the rows beyond the first of a key (NULL keys group together).  Counts combine
+    map-side, so a hot key ships one row per map task.
+    """
+    cols = set(df.columns)
+    aggs = _counters(df, checks)
+    has_dup_keys = "duplicates" in checks and all(k in cols for k in DUPLICATE_KEYS)
+    if has_dup_keys:
+        keyed = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in DUPLICATE_KEYS]).agg(
+            *[v.alias(k) for k, v in aggs.items()])
+        counts = keyed.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in aggs],
+                           F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicates"))
+    else:
+        counts = df.agg(*[v.alias(k) for k, v in aggs.items()])
 
     rows: list[Column] = []
     missing_required = [c for c in REQUIRED_COLUMNS if c not in cols]
-    rows.append(_row(0, "required_columns", None, F.lit(len(missing_required)),
-                     F.lit(f"Missing required columns: {_py_list(missing_required)}" if missing_required else None)))
+    if "required_columns" in checks:
+        rows.append(_row(0, "required_columns", None, F.lit(len(missing_required)),
+                         F.lit(f"Missing required columns: {_py_list(missing_required)}" if missing_required else None)))
     for i, c in enumerate(MISSING_CHECK_COLUMNS):
-        if c in cols:
+        if f"miss_{c}" in aggs:
             n = F.col(f"miss_{c}")
             rows.append(_row(10 + i, "missing_values", c, n,
                              F.when(n > 0, F.concat(F.lit(f"{c}: "), n.cast("string"), F.lit(" missing values")))))
     for i, c in enumerate(NEGATIVE_CHECK_COLUMNS):
-        if c in cols:
+        if f"neg_{c}" in aggs:
             n = F.col(f"neg_{c}")
             rows.append(_row(30 + i, "negative_values", c, n,
                              F.when(n > 0, F.concat(F.lit(f"{c}: "), n.cast("string"), F.lit(" negative values found")))))
-    if "date" in cols:
+    if "bad_date" in aggs:
         n = F.col("bad_date")
         rows.append(_row(50, "invalid_dates", "date", n,
                          F.when(n > 0, F.concat(F.lit("date: "), n.cast("string"), F.lit(" invalid or missing dates")))))
-    else:
+    elif "invalid_dates" in checks:
         rows.append(_row(50, "invalid_dates", "date", F.lit(None), F.lit(MSG_NO_DATE)))
     for i, (c, label) in enumerate(ZERO_CHECKS):
-        if c in cols:
+        if f"zero_{c}" in aggs:
             n = F.col(f"zero_{c}")
             rows.append(_row(70 + i, "zero_activity", c, n, F.concat(F.lit(f"{label}: "), n.cast("string"))))
-    if "roas" in cols:
+    if "roas_extreme" in aggs:
         n = F.col("roas_extreme")
         rows.append(_row(80, "roas_outliers", "roas", n,
                          F.when(F.col("roas_valid") == 0, F.lit(MSG_ROAS_NONE))
                          .when(n > 0, _fmt(MSG_ROAS_EXTREME, n))))
-    out = counts.select(F.inline(F.array(*rows)))
     if has_dup_keys:
         n = F.col("duplicates")
-        dup = _row(60, "duplicates", ",".join(DUPLICATE_KEYS), n, F.when(n > 0, _fmt(MSG_DUPLICATES, n)))
-        out = out.unionByName(duplicate_rows(df).select(F.inline(F.array(dup))))
-    return out
+        rows.append(_row(60, "duplicates", ",".join(DUPLICATE_KEYS), n, F.when(n > 0, _fmt(MSG_DUPLICATES, n))))
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
@@ -148,7 +153,9 @@ def quality_report(df: DataFrame) -> DataFrame:
 
 
 def check(df: DataFrame, name: str) -> DataFrame:
-    return quality_checks(df).where(F.col("check_name") == name)
+    if name not in CHECKS:
+        raise ValueError(f"unknown check {name}; known: {CHECKS}")
+    return quality_checks(df, (name,))
 
 
 def quality_profile(df: DataFrame, approx_campaigns: bool = False) -> DataFrame:

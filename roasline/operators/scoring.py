@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasline.functions import fmt_fixed, safe_divide, text_or, zero_if_bad
+from roasline.functions import fmt_fixed, safe_divide, text_or
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -120,14 +120,6 @@ def insight_summary(df: DataFrame) -> Column:
     )
 
 
-def align_features(df: DataFrame, feature_columns: list[str]) -> DataFrame:
-    """Model inputs: missing columns become 0, NULL/NaN/inf become 0."""
-    present = set(df.columns)
-    return df.withColumns({
-        c: (zero_if_bad(c) if c in present else F.lit(0.0)) for c in feature_columns
-    })
-
-
 def add_forecast_columns(scored: DataFrame) -> DataFrame:
     """Raw quantiles -> sorted revenues, ROAS, confidence, risk, text; level=campaign."""
     df = forecast_roas(monotone_quantiles(scored))

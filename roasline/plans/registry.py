@@ -60,6 +60,58 @@ def q_dated(spark, sf_dir):
     return dated(spark, sf_dir)
 
 
+# ----------------------------------------------------------------- column helpers
+from pyspark.sql import functions as F  # noqa: E402
+
+from roasline.functions import clean_numeric, parse_date, safe_divide  # noqa: E402
+
+
+@query("clean_numeric")
+def q_clean_numeric(spark, sf_dir):
+    raw = raw_exports(spark, sf_dir)
+    texts = [("google", "metrics_clicks"), ("bing", "Clicks"), ("meta", "clicks"), ("bing", "Spend"), ("meta", "conversion")]
+    parts = [raw[p].select(F.lit(p).alias("platform"), F.lit(c).alias("column_name"), F.col(c).alias("text"),
+                           clean_numeric(c).alias("value")) for p, c in texts]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+# l_shipdate written in the layouts that exports use; one in eight is no date
+DATE_TEXTS = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-M-d", "MM/dd/yyyy",
+              "yyyy/MM/dd", "yyyyMMdd", "'n/a' yyyy"]
+
+
+@query("parse_dates")
+def q_parse_dates(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_shipdate")
+    layout = (F.col("l_orderkey") % len(DATE_TEXTS)).cast("int")
+    ship = F.col("l_shipdate").cast("timestamp")
+    text = F.element_at(F.array(*[F.date_format(ship, f) for f in DATE_TEXTS]), layout + 1)
+    return li.select("l_orderkey", "l_linenumber", layout.alias("layout"), parse_date(text).alias("date"))
+
+
+@query("meta_campaign_type")
+def q_meta_campaign_type(spark, sf_dir):
+    meta = raw_exports(spark, sf_dir)["meta"]
+    return meta.select("campaign_id", "campaign_name", N.meta_campaign_type("campaign_name").alias("campaign_type"))
+
+
+@query("safe_divide")
+def q_safe_divide(spark, sf_dir):
+    return unified(spark, sf_dir).select(
+        "channel", "campaign_id", "date", "clicks", "impressions",
+        safe_divide("clicks", "impressions").alias("scalar_rule"),
+        safe_divide("clicks", "impressions", clean_inf=True).alias("column_rule"))
+
+
+@query("rate_metrics")
+def q_rate_metrics(spark, sf_dir):
+    measures = unified(spark, sf_dir).select("channel", "campaign_id", "date", *N.MEASURES)
+    return N.rate_metrics(measures)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predict entry point: exports -> features -> scores -> four-level forecast table."""
     return forecast_tbl(spark, sf_dir)
@@ -69,6 +121,15 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 from roasline.sources import csv_io as S  # noqa: E402
 
 
+@query("source_discovery")
+def q_source_discovery(spark, sf_dir):
+    """Export file names made of the order months (three platforms, several files each), dealt to platforms."""
+    months = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.date_format("o_orderdate", "yyyy-MM").alias("m")).distinct()
+    stems = F.array(*[F.lit(s) for s in ("google_ads_", "MS_Ads-", "Facebook ", "notes_")])
+    names = months.select(F.explode(stems).alias("stem"), "m").select(F.concat("stem", "m", F.lit(".csv")).alias("file_name"))
+    return S.platform_of(names, "file_name").where(F.col("platform").isNotNull())
+
+
 @query("dataset_summary")
 def q_dataset_summary(spark, sf_dir):
     return S.dataset_summary(raw_exports(spark, sf_dir))
@@ -359,14 +420,10 @@ def q_scenario_report(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- model
-from pyspark.sql import functions as F  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from roasline.operators import quantile as M  # noqa: E402
 
-# Boosting rounds of the registered model queries (learning rate 0.3, depth 3,
-# min leaf 5); the library default is 40 rounds.
-REGISTRY_ROUNDS = 5
 _MODELS: dict = {}
 
 
@@ -378,7 +435,7 @@ def fitted(spark, sf_dir):
     """Fit once per session and data folder; the model queries share it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = M.train(training(spark, sf_dir), M.QuantileBoostingParams(rounds=REGISTRY_ROUNDS))
+        _MODELS[key] = M.train(training(spark, sf_dir))
     return _MODELS[key]
 
 
@@ -389,9 +446,18 @@ def q_train_clean(spark, sf_dir):
 
 @query("feature_columns")
 def q_feature_columns(spark, sf_dir):
-    _, cats, nums = M.feature_columns(M.train_clean(training(spark, sf_dir)))
-    rows = [(i, c, "categorical" if c in cats else "numeric") for i, c in enumerate(cats + nums)]
-    return spark.createDataFrame(rows, "position int, column_name string, kind string")
+    return M.feature_profile(M.train_clean(training(spark, sf_dir)))
+
+
+@query("align_features")
+def q_align(spark, sf_dir):
+    """The prediction set without two trained features and with NULLs planted in a third."""
+    p = prediction(spark, sf_dir)
+    cut = p.drop("hist_7d_spend", "campaign_type").withColumn(
+        "hist_14d_spend", F.when(F.col("forecast_window_days") > 30, F.col("hist_14d_spend")))
+    nums = ["hist_7d_spend", "hist_14d_spend", "hist_30d_spend"]
+    return M.align_features(cut, ["channel", "campaign_type"], nums).select(
+        "forecast_id", "channel", "campaign_type", *nums)
 
 
 @query("holdout_split")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -45,6 +46,17 @@ def is_local(spark: SparkSession) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's checkpoint folder, for tables that cut a lineage."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``shared_folder`` named."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 

@@ -48,6 +48,16 @@ def by_platform(names: dict[str, str], where: str = "the folder", keywords: dict
     return found
 
 
+def platform_of(files: DataFrame, name: str, keywords: dict[str, tuple[str, ...]] = PLATFORM_KEYWORDS) -> DataFrame:
+    """``files`` with the platform whose keywords the file name holds; NULL for none, an error for two."""
+    low = F.lower(F.col(name))
+    claims = F.array_compact(F.array(*[
+        F.when(F.concat_ws("", *[F.when(low.contains(w), F.lit("x")) for w in words]) != "", F.lit(p))
+        for p, words in keywords.items()]))
+    two = F.raise_error(F.concat(F.col(name), F.lit(" fits more than one platform"))).cast("string")
+    return files.withColumn("platform", F.when(F.size(claims) > 1, two).otherwise(F.try_element_at(claims, F.lit(1))))
+
+
 def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     """The column names in the first line of one CSV file."""
     jvm = spark.sparkContext._jvm
