@@ -167,7 +167,7 @@ def estimated_future_budget(h: Column) -> Column:
 
 
 # --------------------------------------------------------------------------- prediction set
-def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
+def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS, check_empty: bool = False) -> DataFrame:
     """One row per campaign and horizon, cut off at the campaign's own last date.
 
     One shuffle of the daily rows by campaign: a partition-wide window gives
@@ -197,7 +197,10 @@ def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
     fb = estimated_future_budget(h)
     g = g.withColumns({"future_budget": fb})
     g = g.withColumn("future_budget_per_day", safe_divide("future_budget", h))
-    return g.select(*_id_columns("predict"), *HIST_COLUMNS, *TREND_COLUMNS, *BUDGET_COLUMNS)
+    out = g.select(*_id_columns("predict"), *HIST_COLUMNS, *TREND_COLUMNS, *BUDGET_COLUMNS)
+    if check_empty and df.isEmpty():      # without dated rows there is no campaign to predict
+        raise ValueError("No campaign has a dated row, so there is nothing to predict.")
+    return out
 
 
 # --------------------------------------------------------------------------- training set

@@ -32,7 +32,7 @@ def audit(unified: DataFrame) -> dict[str, DataFrame]:
 
 def predict(unified: DataFrame, scorer: P.Scorer, cache: bool = True) -> DataFrame:
     """Forecast table; the campaign forecasts are cached because four levels reuse them."""
-    cf = P.campaign_forecast(FE.prediction_set(N.dated_rows(unified)), scorer)
+    cf = P.campaign_forecast(FE.prediction_set(N.dated_rows(unified), check_empty=True), scorer)
     if cache:
         cf = cf.cache()
     return R.forecast_table(cf)
@@ -47,7 +47,7 @@ def train(unified: DataFrame, params: M.QuantileBoostingParams | None = None, mo
 
 
 def scenarios(unified: DataFrame, plans: B.Scenarios, scorer: P.Scorer) -> DataFrame:
-    prediction = FE.prediction_set(N.dated_rows(unified)).cache()
+    prediction = FE.prediction_set(N.dated_rows(unified), check_empty=True).cache()
     return B.run_scenarios(prediction, plans, scorer)
 
 

@@ -120,6 +120,17 @@ def test_features_do_not_depend_on_partitioning(spark, n):
     assert spark_training(spark, rows, partitions=n) == spark_training(spark, make_rows())
 
 
+def test_nothing_to_predict_is_an_error(spark):
+    import pytest
+
+    from roasline.operators import features as FE
+    from roasline.plans import registry as RG
+    from conftest import SF_SMALL
+
+    with pytest.raises(ValueError, match="nothing to predict"):
+        FE.prediction_set(RG.dated(spark, SF_SMALL).where("false"), check_empty=True)
+
+
 def test_infinite_and_huge_values_do_not_end_the_job(spark):
     import datetime as dt
     import math
