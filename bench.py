@@ -23,6 +23,7 @@ HEADLINE = [
     "scenario_comparison", # baseline + scenario scored together, null-safe join
     "insights_table",      # report layer
     "risk_watchlist",      # ordered top-k
+    "fit_quantile_models", # the whole model fit at its default rounds
 ]
 
 
