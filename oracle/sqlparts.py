@@ -36,8 +36,8 @@ def micro(x: str) -> str:
 
 
 def xsum(x: str) -> str:
-    """Exact sum to one millionth (same rule as the engine)."""
-    return f"(SUM({micro(x)})::DOUBLE / 1e6)"
+    """Plain decimal sum."""
+    return f"(SUM(CAST(({x}) AS DECIMAL(28, 8)))::DOUBLE)"
 
 
 def xavg(x: str) -> str:

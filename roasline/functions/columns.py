@@ -166,9 +166,11 @@ def from_units(units: ColumnOrName, large: ColumnOrName) -> Column:
 
 
 def parts_value(name: str) -> Column:
-    """The sum held by the three parts of ``sum_parts``."""
-    return (F.col(f"{name}_w").cast("double") + F.col(f"{name}_f").cast("double") / F.lit(float(UNITS))
-            + F.col(f"{name}_x"))
+    """The sum held by the three parts of ``sum_parts``, rounded once where it fits a long."""
+    w, f = F.col(f"{name}_w"), F.col(f"{name}_f")
+    apart = w.cast("double") + f.cast("double") / F.lit(float(UNITS))
+    whole = (w * F.lit(UNITS).cast("long") + f).cast("double") / F.lit(float(UNITS))
+    return F.when(F.abs(apart) < F.lit(9e10), whole).otherwise(apart) + F.col(f"{name}_x")
 
 
 def exact_sum_parts(columns: dict[str, ColumnOrName]) -> list[Column]:
