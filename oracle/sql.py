@@ -532,8 +532,29 @@ register("portfolio_summary", f"""SELECT COALESCE({xavg('confidence_score')}, 0.
     count_if(risk_level = 'High') AS high_risk_rows, count_if(risk_level = 'Medium') AS medium_risk_rows,
     (SELECT forecast_window_days FROM fx WHERE forecast_level = 'blended' ORDER BY roas_expected DESC, forecast_window_days LIMIT 1) AS best_blended_window,
     (SELECT roas_expected FROM fx WHERE forecast_level = 'blended' ORDER BY roas_expected DESC, forecast_window_days LIMIT 1) AS best_blended_roas,
-    '- Overall forecast confidence across all forecast rows is **' || {fmt2(f"COALESCE({xavg('confidence_score')}, 0.0)")} || '/100**.' AS confidence_line
+    '- Overall forecast confidence across all forecast rows is **' || {fmt2(f"COALESCE({xavg('confidence_score')}, 0.0)")} || '/100**.' AS confidence_line,
+    CASE WHEN count_if(risk_level = 'High') > 0 THEN '- There are **' || count_if(risk_level = 'High') || ' high-risk forecast rows**. These should be reviewed before budget scaling.' END AS high_risk_line,
+    CASE WHEN count_if(risk_level = 'Medium') > 0 THEN '- There are **' || count_if(risk_level = 'Medium') || ' medium-risk forecast rows**. These can be monitored with controlled budget movement.' END AS medium_risk_line,
+    (SELECT '- The strongest blended ROAS appears in the **' || forecast_window_days || '-day forecast** with expected ROAS of **' || {xr('roas_expected')} || '**.'
+        FROM fx WHERE forecast_level = 'blended' ORDER BY roas_expected DESC, forecast_window_days LIMIT 1) AS best_window_line
     FROM fx""")
+
+
+def window_top(condition, order, k, columns):
+    return f"""SELECT forecast_window_days, rank, channel, campaign_type, {columns} FROM (SELECT *, row_number() OVER (
+        PARTITION BY forecast_window_days ORDER BY {order}) AS rank FROM fx WHERE {condition}) WHERE rank <= {k}"""
+
+
+register("window_campaign_types", window_top(
+    "forecast_level = 'campaign_type'", "revenue_expected DESC, channel, campaign_type", 20,
+    "future_budget, revenue_expected, revenue_low, revenue_high, roas_expected, confidence_score, risk_level"))
+_WC = "campaign_name, future_budget, revenue_expected, roas_expected, confidence_score, risk_level"
+register("window_watchlist", window_top(
+    "forecast_level = 'campaign' AND risk_level IN ('High', 'Medium')",
+    "risk_level, revenue_expected DESC, channel, campaign_id, campaign_name", 50, _WC + ", insight_summary"))
+register("window_scaling", window_top(
+    "forecast_level = 'campaign' AND risk_level = 'Low' AND roas_expected >= 3 AND confidence_score >= 65",
+    "roas_expected DESC, revenue_expected DESC, channel, campaign_id, campaign_name", 30, _WC))
 register("scenario_contract", "SELECT * FROM sn_cmp")
 register("scenario_report", f"""SELECT scenario_id, forecast_window_days, {money('baseline_budget')} AS baseline_budget,
     {money('scenario_budget')} AS scenario_budget,

@@ -54,6 +54,9 @@ SCN_GROWTH = ("This scenario can grow revenue, but the agency should watch effic
               "expected to decline.")
 SCN_EFFICIENCY = "This scenario may improve efficiency, but it may limit revenue scale."
 SCN_WEAK = "This scenario does not look attractive because both revenue and efficiency may weaken."
+HIGH_RISK_LINE = "- There are **%d high-risk forecast rows**. These should be reviewed before budget scaling."
+MEDIUM_RISK_LINE = "- There are **%d medium-risk forecast rows**. These can be monitored with controlled budget movement."
+BEST_WINDOW_LINE = "- The strongest blended ROAS appears in the **%d-day forecast** with expected ROAS of **"
 SUBJECT_OVERALL = "overall marketing performance"
 
 
@@ -239,8 +242,43 @@ def scaling_candidates(fc: DataFrame, k: int = 15) -> DataFrame:
     return top.select(*_campaign_report_cols())
 
 
+def _top_per_window(rows: DataFrame, k: int, *order: Column | str) -> DataFrame:
+    """The first k rows of each window with their rank (WindowGroupLimit keeps k rows a task before the shuffle)."""
+    w = Window.partitionBy("forecast_window_days").orderBy(*order)
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+WINDOW_COLUMNS = ["forecast_window_days", "rank", "channel", "campaign_type"]
+
+
+def window_campaign_types(fc: DataFrame, k: int = 20) -> DataFrame:
+    """Top k campaign types of each window by expected revenue, with figures as numbers."""
+    top = _top_per_window(fc.where(F.col("forecast_level") == "campaign_type"), k,
+                          F.col("revenue_expected").desc(), "channel", "campaign_type")
+    return top.select(*WINDOW_COLUMNS, "future_budget", "revenue_expected", "revenue_low", "revenue_high",
+                      "roas_expected", "confidence_score", "risk_level")
+
+
+def window_watchlist(fc: DataFrame, levels: tuple[str, ...] = ("High", "Medium"), k: int = 50) -> DataFrame:
+    """Campaigns of the chosen risk levels, k for each window: by level name, then revenue down."""
+    c = fc.where((F.col("forecast_level") == "campaign") & F.col("risk_level").isin(*levels))
+    top = _top_per_window(c, k, "risk_level", F.col("revenue_expected").desc(), "channel", "campaign_id", "campaign_name")
+    return top.select(*WINDOW_COLUMNS, "campaign_name", "future_budget", "revenue_expected", "roas_expected",
+                      "confidence_score", "risk_level", "insight_summary")
+
+
+def window_scaling(fc: DataFrame, k: int = 30, min_roas: float = 3, min_confidence: float = 65) -> DataFrame:
+    """Low-risk campaigns worth scaling, k for each window: by ROAS down, then revenue down."""
+    c = fc.where((F.col("forecast_level") == "campaign") & (F.col("risk_level") == "Low")
+                 & (F.col("roas_expected") >= min_roas) & (F.col("confidence_score") >= min_confidence))
+    top = _top_per_window(c, k, F.col("roas_expected").desc(), F.col("revenue_expected").desc(),
+                          "channel", "campaign_id", "campaign_name")
+    return top.select(*WINDOW_COLUMNS, "campaign_name", "future_budget", "revenue_expected", "roas_expected",
+                      "confidence_score", "risk_level")
+
+
 def portfolio_summary(fc: DataFrame) -> DataFrame:
-    """Mean confidence over all rows, High/Medium row counts, best blended window."""
+    """Mean confidence over all rows, High/Medium row counts, best blended window, and their lines (null: no such line)."""
     blended = F.col("forecast_level") == "blended"
     g = fc.agg(
         *sum_parts("confidence_score", "confidence"), F.count("confidence_score").alias("_scored"),
@@ -257,6 +295,10 @@ def portfolio_summary(fc: DataFrame) -> DataFrame:
         F.col("_b.w").alias("best_blended_window"), F.col("_b.r").alias("best_blended_roas"),
         F.concat(F.lit("- Overall forecast confidence across all forecast rows is **"),
                  fmt_fixed(F.coalesce(F.col("avg_confidence"), F.lit(0.0)), 2), F.lit("/100**.")).alias("confidence_line"),
+        F.when(F.col("high_risk_rows") > 0, F.format_string(HIGH_RISK_LINE, "high_risk_rows")).alias("high_risk_line"),
+        F.when(F.col("medium_risk_rows") > 0, F.format_string(MEDIUM_RISK_LINE, "medium_risk_rows")).alias("medium_risk_line"),
+        F.when(F.col("_b").isNotNull(), F.concat(
+            F.format_string(BEST_WINDOW_LINE, "_b.w"), _x("_b.r"), F.lit("**."))).alias("best_window_line"),
     )
 
 

@@ -19,6 +19,7 @@ from roasline.operators import quantile as M
 from roasline.operators import rollup as R
 from roasline.operators import scenario as B
 from roasline.operators import scoring as P
+from roasline.session import ensure_checkpoint_dir
 from roasline.sources import csv_io as S
 
 
@@ -52,7 +53,9 @@ def scenarios(unified: DataFrame, plans: B.Scenarios, scorer: P.Scorer) -> DataF
 
 
 def report(forecast: DataFrame, comparison: DataFrame | None = None) -> dict[str, DataFrame]:
-    fc = E.forecast_contract(forecast)
+    """Report tables, all from one stored copy of the forecast (in the shared checkpoint folder)."""
+    ensure_checkpoint_dir(forecast.sparkSession)
+    fc = E.forecast_contract(forecast).checkpoint()
     out = {
         "insights": E.insights_table(fc),
         "executive_summary": E.executive_summary(fc),
@@ -61,6 +64,9 @@ def report(forecast: DataFrame, comparison: DataFrame | None = None) -> dict[str
         "top_campaign_types": E.top_campaign_types(fc),
         "risk_watchlist": E.risk_watchlist(fc),
         "scaling_candidates": E.scaling_candidates(fc),
+        "window_campaign_types": E.window_campaign_types(fc),
+        "window_watchlist": E.window_watchlist(fc),
+        "window_scaling": E.window_scaling(fc),
         "portfolio_summary": E.portfolio_summary(fc),
     }
     if comparison is not None:

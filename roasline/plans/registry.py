@@ -409,6 +409,21 @@ def q_scaling(spark, sf_dir):
     return E.scaling_candidates(fx(spark, sf_dir), 15)
 
 
+@query("window_campaign_types")
+def q_window_types(spark, sf_dir):
+    return E.window_campaign_types(fx(spark, sf_dir))
+
+
+@query("window_watchlist")
+def q_window_watchlist(spark, sf_dir):
+    return E.window_watchlist(fx(spark, sf_dir))
+
+
+@query("window_scaling")
+def q_window_scaling(spark, sf_dir):
+    return E.window_scaling(fx(spark, sf_dir))
+
+
 @query("portfolio_summary")
 def q_portfolio(spark, sf_dir):
     return E.portfolio_summary(fx(spark, sf_dir))
