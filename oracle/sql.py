@@ -610,3 +610,13 @@ _FEATURES = (["channel", "campaign_id", "campaign_name", "campaign_type", "forec
 register("feature_columns", "\nUNION ALL ".join(
     f"SELECT {i}::INTEGER AS position, '{c}' AS column_name, '{'categorical' if i < 5 else 'numeric'}' AS kind, "
     f"count({c}) AS filled_rows FROM fe_train" for i, c in enumerate(_FEATURES)))
+
+
+# the hand-made node table as nested conditions, written out by hand
+register("score_node_table", f"""SELECT {_PK},
+    4.0::DOUBLE + 0.25::DOUBLE * CASE WHEN COALESCE(hist_30d_revenue, 0) <= 30000 THEN 1.5
+        WHEN forecast_window_days <= 30 THEN -2.0 ELSE 0.75 END::DOUBLE + 0.25::DOUBLE * 0.5::DOUBLE AS log_q10,
+    6.5::DOUBLE + 0.25::DOUBLE * CASE WHEN COALESCE(future_budget, 0) > 15000 THEN 3.25
+        WHEN forecast_window_days <= 60 THEN -1.0 ELSE 2.0 END::DOUBLE
+        + 0.25::DOUBLE * CASE WHEN forecast_window_days <= 30 THEN 0.125 ELSE -0.375 END::DOUBLE AS log_q50
+    FROM fe_pred""")

@@ -435,9 +435,11 @@ def q_scenario_report(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- model
+import pandas as pd  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from roasline.operators import quantile as M  # noqa: E402
+from roasline.sources import fixtures as FX  # noqa: E402
 
 _MODELS: dict = {}
 
@@ -500,6 +502,16 @@ def q_score(spark, sf_dir):
     return model.scorer(prediction(spark, sf_dir)).select(*_PK, "raw_q10", "raw_q50", "raw_q90")
 
 
+@query("score_node_table")
+def q_score_nodes(spark, sf_dir):
+    """Every prediction row walked through a hand-made node table."""
+    nodes = pd.DataFrame(FX.TREE_NODES, columns=FX.TREE_COLUMNS)
+    walk = M.tree_walker(spark, nodes, FX.TREE_START, FX.TREE_RATE, FX.TREE_DEPTH)
+    features = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FX.TREE_FEATURES])
+    scored = prediction(spark, sf_dir).withColumn("s", walk(features))
+    return scored.select(*_PK, F.col("s._log_revenue_q10").alias("log_q10"), F.col("s._log_revenue_q50").alias("log_q50"))
+
+
 @query("campaign_forecast_model")
 def q_forecast_model(spark, sf_dir):
     model, _, _ = fitted(spark, sf_dir)

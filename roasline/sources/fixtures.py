@@ -81,3 +81,18 @@ def duckdb_ctes() -> str:
     for platform, text in RAW_VIEWS.items():
         parts.append(f"raw_{platform} AS ({text.format(fx_base='fx_base')})")
     return "WITH " + ",\n".join(parts)
+
+
+# A hand-made node table (test-only): two models of two rounds over TREE_FEATURES.
+TREE_FEATURES = ["hist_30d_revenue", "future_budget", "forecast_window_days"]
+TREE_START = {"revenue_q10": 4.0, "revenue_q50": 6.5}
+TREE_RATE, TREE_DEPTH = 0.25, 2
+TREE_COLUMNS = ["model", "round", "node", "feature", "threshold", "left", "right", "value"]
+TREE_NODES = [
+    ("revenue_q10", 0, 0, 0, 30000.0, 1, 2, 0.0), ("revenue_q10", 0, 1, -1, 0.0, 0, 0, 1.5),
+    ("revenue_q10", 0, 2, 2, 30.0, 3, 4, 0.0), ("revenue_q10", 0, 3, -1, 0.0, 0, 0, -2.0), ("revenue_q10", 0, 4, -1, 0.0, 0, 0, 0.75),
+    ("revenue_q10", 1, 0, -1, 0.0, 0, 0, 0.5),
+    ("revenue_q50", 0, 0, 1, 15000.0, 1, 2, 0.0), ("revenue_q50", 0, 1, 2, 60.0, 3, 4, 0.0), ("revenue_q50", 0, 2, -1, 0.0, 0, 0, 3.25),
+    ("revenue_q50", 0, 3, -1, 0.0, 0, 0, -1.0), ("revenue_q50", 0, 4, -1, 0.0, 0, 0, 2.0),
+    ("revenue_q50", 1, 0, 2, 30.0, 1, 2, 0.0), ("revenue_q50", 1, 1, -1, 0.0, 0, 0, 0.125), ("revenue_q50", 1, 2, -1, 0.0, 0, 0, -0.375),
+]
