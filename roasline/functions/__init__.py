@@ -2,10 +2,11 @@ from roasline.functions.columns import (  # noqa: F401
     DATE_FORMATS,
     add_parts,
     exact_sum_parts,
-    from_units,
     join_parts,
     parts_value,
     sum_parts,
+    divide_sql,
+    units_sql,
     NUMERIC_TEXT,
     clean_numeric,
     first_existing,

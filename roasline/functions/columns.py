@@ -46,6 +46,19 @@ def safe_divide(numerator: ColumnOrName, denominator: ColumnOrName, clean_inf: b
     return F.when(d.isNull() | F.isnan(d) | (d == 0), F.lit(0.0)).otherwise(F.try_divide(n, d))
 
 
+def divide_sql(numerator: str, denominator: str, clean_inf: bool = False) -> str:
+    """``safe_divide`` as SQL text.
+
+    One ``F.expr`` is one call into the JVM, where the same expression made of Columns is a dozen:
+    wide feature lists are built from text, which Catalyst turns into the same expressions.
+    """
+    n, d = f"CAST({numerator} AS DOUBLE)", f"CAST({denominator} AS DOUBLE)"
+    if clean_inf:
+        q = f"try_divide({n}, nullif({d}, 0D))"
+        return f"CASE WHEN {q} IS NULL OR isnan({q}) OR abs({q}) = double('inf') THEN 0D ELSE {q} END"
+    return f"CASE WHEN {d} IS NULL OR isnan({d}) OR {d} = 0D THEN 0D ELSE try_divide({n}, {d}) END"
+
+
 def clean_numeric(c: ColumnOrName, default: float = 0.0, dtype: T.DataType | None = None) -> Column:
     """Lenient number parse: unparsable, NULL or NaN become ``default``.
 
@@ -128,21 +141,19 @@ LARGE_ROW = 1e9
 LARGE_DAY = 1e7
 
 
-def sum_parts(x: ColumnOrName, name: str) -> list[Column]:
+def sum_parts(column: str, name: str) -> list[Column]:
     """Aggregates ``<name>_w``, ``<name>_f`` (whole part and hundred-millionths, both long) and
-    ``<name>_x`` (doubles too large to split, +/-inf).
+    ``<name>_x`` (doubles too large to split, +/-inf) of a numeric column.
 
     The long sums stay in codegen, combine map-side and do not depend on row order.  They hold
     9e9 rows of any size below LARGE_ROW in one group; larger values cannot overflow either.
     """
-    x = col(x).cast("double")
-    small = F.abs(x) < F.lit(LARGE_ROW)
-    whole = F.floor(x)
+    x = f"CAST(`{column}` AS DOUBLE)"
+    small = f"abs({x}) < {LARGE_ROW}D"
     return [
-        F.sum(F.when(small, whole).otherwise(F.lit(0)).cast("long")).alias(f"{name}_w"),
-        F.sum(F.when(small, F.rint((x - whole) * F.lit(float(UNITS)))).otherwise(F.lit(0.0)).cast("long"))
-        .alias(f"{name}_f"),
-        F.sum(F.when(x.isNull() | small, F.lit(0.0)).otherwise(x)).alias(f"{name}_x"),
+        F.expr(f"sum(CAST(CASE WHEN {small} THEN floor({x}) ELSE 0 END AS BIGINT)) AS {name}_w"),
+        F.expr(f"sum(CAST(CASE WHEN {small} THEN rint(({x} - floor({x})) * {UNITS}D) ELSE 0D END AS BIGINT)) AS {name}_f"),
+        F.expr(f"sum(CASE WHEN {x} IS NULL OR {small} THEN 0D ELSE {x} END) AS {name}_x"),
     ]
 
 
@@ -152,17 +163,17 @@ def join_parts(name: str) -> list[Column]:
     ``_u`` values of up to 9,000 groups can be added without overflow: a window over the calendar
     never reaches that.
     """
-    w, f = F.col(f"{name}_w"), F.col(f"{name}_f")
-    value = w.cast("double") + f.cast("double") / F.lit(float(UNITS))
-    fits = F.abs(value) < F.lit(LARGE_DAY)
+    value = f"(CAST({name}_w AS DOUBLE) + CAST({name}_f AS DOUBLE) / {UNITS}D)"
+    fits = f"abs({value}) < {LARGE_DAY}D"
     return [
-        F.when(fits, w * F.lit(UNITS).cast("long") + f).otherwise(F.lit(0).cast("long")).alias(f"{name}_u"),
-        (F.col(f"{name}_x") + F.when(fits, F.lit(0.0)).otherwise(value)).alias(f"{name}_x"),
+        F.expr(f"CASE WHEN {fits} THEN {name}_w * {UNITS}L + {name}_f ELSE 0L END AS {name}_u"),
+        F.expr(f"{name}_x + CASE WHEN {fits} THEN 0D ELSE {value} END AS {name}_x"),
     ]
 
 
-def from_units(units: ColumnOrName, large: ColumnOrName) -> Column:
-    return col(units).cast("double") / F.lit(float(UNITS)) + col(large)
+def units_sql(units: str, large: str) -> str:
+    """A sum as a double, as SQL text, from the two columns of ``join_parts``."""
+    return f"(CAST({units} AS DOUBLE) / {UNITS}D + {large})"
 
 
 def parts_value(name: str) -> Column:
@@ -173,7 +184,7 @@ def parts_value(name: str) -> Column:
     return F.when(F.abs(apart) < F.lit(9e10), whole).otherwise(apart) + F.col(f"{name}_x")
 
 
-def exact_sum_parts(columns: dict[str, ColumnOrName]) -> list[Column]:
+def exact_sum_parts(columns: dict[str, str]) -> list[Column]:
     """``sum_parts`` of every ``{name: column}``."""
     return [part for name, c in columns.items() for part in sum_parts(c, name)]
 

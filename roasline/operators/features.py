@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roasline.functions import exact_sum_parts, from_units, join_parts, safe_divide
+from roasline.functions import divide_sql, exact_sum_parts, join_parts, safe_divide, units_sql
 from roasline.operators.normalize import GROUP_KEYS
 
 # Forecast horizons, trailing windows and the spine rule.
@@ -65,30 +65,25 @@ def daily(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
     return g.select(*keys, "date", "n", *[x for c in _SUMMED for x in join_parts(c)], F.lit(1).alias("has"))
 
 
-def _values(name) -> dict[str, Column]:
-    """Measure -> its sum as a double; ``name(measure, "u" | "x")`` names the two parts."""
-    return {c: from_units(name(c, "u"), name(c, "x")) for c in _SUMMED}
+def _values(name) -> dict[str, str]:
+    """Measure -> its sum as SQL text; ``name(measure, "u" | "x")`` names the two parts."""
+    return {c: units_sql(name(c, "u"), name(c, "x")) for c in _SUMMED}
 
 
-def _period_metrics(prefix: str, rows: Column, days: Column, sums: dict[str, Column]) -> list[Column]:
-    """The 13 period columns from a row count, a day count and the sums of the measures."""
-    spend, revenue, clicks, impressions, conversions = (sums[c] for c in SUMS)
-    budget = sums["budget"]
-    return [
-        rows.cast("bigint").alias(f"{prefix}_rows"),
-        days.cast("bigint").alias(f"{prefix}_active_days"),
-        spend.alias(f"{prefix}_spend"),
-        revenue.alias(f"{prefix}_revenue"),
-        clicks.alias(f"{prefix}_clicks"),
-        impressions.alias(f"{prefix}_impressions"),
-        conversions.alias(f"{prefix}_conversions"),
-        safe_divide(budget, rows).alias(f"{prefix}_avg_daily_budget"),
-        safe_divide(clicks, impressions).alias(f"{prefix}_ctr"),
-        safe_divide(spend, clicks).alias(f"{prefix}_cpc"),
-        (safe_divide(spend, impressions) * F.lit(1000.0)).alias(f"{prefix}_cpm"),
-        safe_divide(conversions, clicks).alias(f"{prefix}_conversion_rate"),
-        safe_divide(revenue, spend).alias(f"{prefix}_roas"),
-    ]
+def _period_metrics(prefix: str, rows: str, days: str, sums: dict[str, str]) -> list[Column]:
+    """The 13 period columns from a row count, a day count and the sums of the measures (all SQL text)."""
+    texts = {
+        "rows": f"CAST({rows} AS BIGINT)",
+        "active_days": f"CAST({days} AS BIGINT)",
+        **{c: sums[c] for c in SUMS},
+        "avg_daily_budget": divide_sql(sums["budget"], rows),
+        "ctr": divide_sql(sums["clicks"], sums["impressions"]),
+        "cpc": divide_sql(sums["spend"], sums["clicks"]),
+        "cpm": f"({divide_sql(sums['spend'], sums['impressions'])}) * 1000D",
+        "conversion_rate": divide_sql(sums["conversions"], sums["clicks"]),
+        "roas": divide_sql(sums["revenue"], sums["spend"]),
+    }
+    return [F.expr(f"{text} AS {prefix}_{name}") for name, text in texts.items()]
 
 
 def period_aggregate(df: DataFrame, start: str, end: str, keys: list[str] = GROUP_KEYS,
@@ -102,7 +97,7 @@ def period_aggregate(df: DataFrame, start: str, end: str, keys: list[str] = GROU
         F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_days"),
         *[F.sum(p).alias(f"_{p}") for p in _PARTS],
     )
-    return g.select(*keys, *_period_metrics(prefix, F.col("_n"), F.col("_days"),
+    return g.select(*keys, *_period_metrics(prefix, "_n", "_days",
                                             _values(lambda c, k: f"_{c}_{k}")))
 
 
@@ -180,15 +175,14 @@ def prediction_set(df: DataFrame, keys: list[str] = GROUP_KEYS, check_empty: boo
     d = d.where(F.col("date") >= F.date_sub("last_date", max(WINDOWS) - 1))
     aggs: list[Column] = [F.min("first_date").alias("first_date"), F.max("last_date").alias("cutoff_date")]
     for w in WINDOWS:
-        inside = F.col("date") >= F.date_sub("last_date", w - 1)
-        aggs.append(F.sum(F.when(inside, F.col("n")).otherwise(0)).alias(f"_r{w}"))
-        aggs.append(F.count_if(inside).alias(f"_d{w}"))
-        for p in _PARTS:
-            aggs.append(F.sum(F.when(inside, F.col(p)).otherwise(0)).alias(f"_{p}{w}"))
+        inside = f"date >= date_sub(last_date, {w - 1})"
+        aggs.append(F.expr(f"count_if({inside}) AS _d{w}"))
+        aggs += [F.expr(f"sum(CASE WHEN {inside} THEN {c} ELSE 0 END) AS {out}{w}")
+                 for c, out in [("n", "_r"), *[(p, f"_{p}") for p in _PARTS]]]
     g = d.groupBy(*keys).agg(*aggs)
     hist: list[Column] = []
     for w in WINDOWS:
-        hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
+        hist += _period_metrics(f"hist_{w}d", f"_r{w}", f"_d{w}",
                                 _values(lambda c, k: f"_{c}_{k}{w}"))
     g = g.select(*keys, "first_date", "cutoff_date", *hist)
     g = g.select("*", *_trend_columns())
@@ -229,15 +223,14 @@ def _framed(d: DataFrame, keys: list[str]) -> DataFrame:
     cols: dict[str, Column] = {}
     for w in WINDOWS:
         fr = base.rangeBetween(-(w - 1), 0)
-        cols[f"_r{w}"] = F.sum("n").over(fr)
-        cols[f"_d{w}"] = F.sum("has").over(fr)
-        for p in _PARTS:
-            cols[f"_{p}{w}"] = F.sum(p).over(fr)
+        for out, c in [("_r", "n"), ("_d", "has"), *[(f"_{p}", p) for p in _PARTS]]:
+            cols[f"{out}{w}"] = F.expr(f"sum({c})").over(fr)
     for h in HORIZONS:
         fr = base.rangeBetween(1, h)
-        cols[f"_fr{h}"] = F.coalesce(F.sum("n").over(fr), F.lit(0))
-        for p in _PARTS:
-            cols[f"_f{p}{h}"] = F.coalesce(F.sum(p).over(fr), F.lit(0))
+        for out, c in [("_fr", "n"), *[(f"_f{p}", p) for p in _PARTS]]:
+            cols[f"{out}{h}"] = F.expr(f"sum({c})").over(fr)
+    # no future rows: the frame is empty and its sums are NULL
+    cols |= {c: F.coalesce(x, F.lit(0)) for c, x in cols.items() if c.startswith("_f")}
     return u.withColumns(cols).where(F.col("cut") == 1)
 
 
@@ -246,7 +239,7 @@ def spine_features(df: DataFrame, keys: list[str] = GROUP_KEYS) -> DataFrame:
     f = _framed(daily(df, keys), keys)
     hist: list[Column] = []
     for w in WINDOWS:
-        hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
+        hist += _period_metrics(f"hist_{w}d", f"_r{w}", f"_d{w}",
                                 _values(lambda c, k: f"_{c}_{k}{w}"))
     out = f.select(*keys, F.col("date").alias("cutoff_date"), "first_date", "last_date", *hist)
     return out.select("*", *_trend_columns())
@@ -258,12 +251,12 @@ def training_set(df: DataFrame, keys: list[str] = GROUP_KEYS, check_empty: bool
     f = _framed(daily(df, keys), keys)
     hist: list[Column] = []
     for w in WINDOWS:
-        hist += _period_metrics(f"hist_{w}d", F.col(f"_r{w}"), F.col(f"_d{w}"),
+        hist += _period_metrics(f"hist_{w}d", f"_r{w}", f"_d{w}",
                                 _values(lambda c, k: f"_{c}_{k}{w}"))
-    fut = [F.struct(F.lit(h).alias("h"), F.col(f"_fr{h}").alias("n"),
-                    *[v.alias(c) for c, v in _values(lambda c, k: f"_f{c}_{k}{h}").items()]) for h in HORIZONS]
+    fut = [", ".join([f"struct({h} AS h", f"_fr{h} AS n",
+                      *[f"{v} AS {c}" for c, v in _values(lambda c, k: f"_f{c}_{k}{h}").items()]]) + ")" for h in HORIZONS]
     t = f.select(*keys, F.col("date").alias("cutoff_date"), "first_date", "last_date", *hist,
-                 F.explode(F.array(*fut)).alias("_fut"))
+                 F.expr(f"explode(array({', '.join(fut)})) AS _fut"))
     t = t.select("*", *_trend_columns())
     t = t.withColumn("forecast_window_days", F.col("_fut.h"))
     t = t.where((F.date_add("cutoff_date", F.col("forecast_window_days")) <= F.col("last_date"))
@@ -305,7 +298,7 @@ def asof_latest(df: DataFrame, probes: DataFrame, keys: list[str] = GROUP_KEYS,
     latest = {
         "latest_date": F.last(F.when(is_row, F.col("date")), ignorenulls=True).over(run),
         "latest_rows": F.last(F.when(is_row, F.col("n")), ignorenulls=True).over(run),
-        **{f"latest_{c}": F.last(F.when(is_row, from_units(f"{c}_u", f"{c}_x")), ignorenulls=True).over(run)
+        **{f"latest_{c}": F.last(F.when(is_row, F.expr(units_sql(f"{c}_u", f"{c}_x"))), ignorenulls=True).over(run)
            for c in ("spend", "revenue")},
     }
     out = u.withColumns(latest).where(F.col("_probe") == 1)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roasline.functions import clean_numeric, first_existing, parse_date, safe_divide
+from roasline.functions import clean_numeric, first_existing, parse_date, divide_sql
 
 # The unified schema, in order.
 UNIFIED_COLUMNS = [
@@ -82,15 +82,14 @@ def meta_campaign_type(name: Column | str) -> Column:
 
 def rate_metrics(df: DataFrame) -> DataFrame:
     """ctr, cpc, cpm, conversion_rate and roas; bad quotients become 0."""
-    return df.withColumns(
-        {
-            "ctr": safe_divide("clicks", "impressions", clean_inf=True),
-            "cpc": safe_divide("spend", "clicks", clean_inf=True),
-            "cpm": safe_divide("spend", "impressions", clean_inf=True) * F.lit(1000.0),
-            "conversion_rate": safe_divide("conversions", "clicks", clean_inf=True),
-            "roas": safe_divide("revenue", "spend", clean_inf=True),
-        }
-    )
+    texts = {
+        "ctr": divide_sql("clicks", "impressions", clean_inf=True),
+        "cpc": divide_sql("spend", "clicks", clean_inf=True),
+        "cpm": f"({divide_sql('spend', 'impressions', clean_inf=True)}) * 1000D",
+        "conversion_rate": divide_sql("conversions", "clicks", clean_inf=True),
+        "roas": divide_sql("revenue", "spend", clean_inf=True),
+    }
+    return df.withColumns({name: F.expr(text) for name, text in texts.items()})
 
 
 def _finish(df: DataFrame) -> DataFrame:
