@@ -134,11 +134,11 @@ def next_level(windows: DataFrame, width: int, span: int) -> DataFrame:
 
 def refine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeats, open): rows known to be repeats, and one row for each O of the blocks still mixed."""
-    rows = rows.withColumn("at", F.xxhash64("k1", "k2", "place"))
-    blocks = rows.groupBy("i").agg(F.min("at").alias("a0"), F.max("at").alias("a1"), F.min("o").alias("o0"), F.max("o").alias("o1"))
+    at = F.xxhash64("k1", "k2", "place")     # made anew where needed: a hash is dear to ship
+    blocks = rows.withColumn("at", at).groupBy("i").agg(F.min("at").alias("a0"), F.max("at").alias("a1"), F.min("o").alias("o0"), F.max("o").alias("o1"))
     # written first: a join of plain shuffles, whose large blocks Spark can split
     blocks = blocks.where("a0 <> a1").select("i", (F.col("o0") != F.col("o1")).alias("mixed")).checkpoint()
-    members = rows.join(blocks, "i").select("i", "o", "k1", "k2", "place", "at", "mixed").checkpoint()
+    members = rows.join(blocks, "i").select("i", "o", "k1", "k2", "place", "mixed").checkpoint().withColumn("at", at)
     split = members.where("mixed").groupBy("i", "o").agg(F.min("at").alias("a0"), F.max("at").alias("a1")).checkpoint()
     judged = members.where("mixed").join(split, ["i", "o"])
     repeats = members.where("not mixed").select("k1", "k2", "place").unionByName(judged.where("a0 <> a1").select("k1", "k2", "place"))
