@@ -8,9 +8,12 @@ Links are pairs with cosine >= threshold; they are joined to components.
 
 A list whose last entry is still a link is saturated: it may miss links.  Saturated lists are
 enlarged to the whole component, compared block against block, and only link counts leave the
-tasks, so the count is exact and no list grows without bound in memory.  Recall is audited against
-brute force over a bounded sample of nodes; below `min_recall` the descent goes on with lists twice
-as long.
+tasks, so the count is exact and no list grows without bound in memory.
+
+Recall is audited against brute force: one node in fifty is compared with all nodes, block against
+block.  Where fewer than `ENOUGH` of the asked nodes have a link, nothing is measured yet and more are
+asked, in the end all.  Below `min_recall` the descent goes on from fresh random buckets twice as
+large and with lists twice as long; at last a bucket is a whole label and the lists are exact.
 
 Edge cases: null, empty, zero or non-finite vectors, vectors with null components and null labels
 link with nothing; vectors of different length never link; repeated rows are vectors of their own
@@ -32,10 +35,13 @@ THRESHOLD = 0.93
 LIST = 16
 TREES = 4
 BUCKET = 128
-ROUNDS = 6
 SETTLED = 0.002
 BLOCK = 512
-AUDIT = 256
+# One node in so many is asked by the audit; each set holds the one before.
+AUDIT = (50, 10, 2, 1)
+ENOUGH = 200
+ASKED = 4096
+TILE = 32768
 MIN_RECALL = 0.98
 SEED = 42
 
@@ -117,11 +123,13 @@ def _joined(k: int, limit: int):
         for part in _runs(batches, 1, limit):
             node, floor, v = part[1].to_numpy(), part[2].to_numpy(), _vectors(part[3])
             if len(node) > 1:
-                sims = v @ v.T
-                np.fill_diagonal(sims, -2.0)
-                found = _best(node, node, sims, k, floor)
-                if found is not None:
-                    yield found
+                for at in range(0, len(node), BLOCK):
+                    sims = v[at : at + BLOCK] @ v.T
+                    own = np.arange(len(sims))
+                    sims[own, at + own] = -2.0
+                    found = _best(node[at : at + BLOCK], node, sims, k, floor[at : at + BLOCK])
+                    if found is not None:
+                        yield found
 
     return run
 
@@ -163,11 +171,11 @@ def seed_lists(nodes: DataFrame, k: int, trees: int = TREES, bucket: int = BUCKE
     return _top(found.distinct(), k)
 
 
-def descend(lists: DataFrame, nodes: DataFrame, k: int, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+def descend(lists: DataFrame, nodes: DataFrame, k: int, settled: float = SETTLED) -> DataFrame:
     """Refine the lists through neighbours of neighbours until few entries change."""
     total = max(nodes.count(), 1)
     lists = lists.checkpoint()
-    for _ in range(rounds):
+    while True:
         back = _top(lists, k, of="b").select(F.col("b").alias("run"), F.col("a").alias("node"))
         ahead = lists.select(F.col("a").alias("run"), F.col("b").alias("node"))
         own = nodes.select(F.col("node").alias("run"), "node")
@@ -179,8 +187,7 @@ def descend(lists: DataFrame, nodes: DataFrame, k: int, rounds: int = ROUNDS, se
         changed = after.agg(F.sum("new")).first()[0] or 0
         lists = after.drop("new")
         if changed <= settled * k * total:
-            break
-    return lists
+            return lists
 
 
 def _blocks(members: DataFrame, nodes: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -208,35 +215,56 @@ def _blocks(members: DataFrame, nodes: DataFrame, threshold: float, block: int =
     return counts.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of true links found for at most `sample` nodes (smallest hashes), against brute force over all nodes."""
-    picked = nodes.orderBy(F.xxhash64("node", F.lit(7)), "node").limit(sample).join(links, "node", "left").select("node", "label", "v", "size", F.coalesce("links", F.lit(0)).alias("links")).collect()
-    if not picked:
-        return 1.0
-    asked = nodes.sparkSession.sparkContext.broadcast([(r.node, r.label, np.array(r.v)) for r in picked])
+def _true_links(nodes: DataFrame, every: int, threshold: float) -> DataFrame:
+    """(node, links): exact link counts of one node in `every`, each block of them against each tile of its label."""
+    count = F.count("*")
+    sizes = nodes.groupBy("label").agg(F.ceil(count / (every * ASKED)).alias("blocks"), F.ceil(count / TILE).alias("tiles"))
+    placed = nodes.join(sizes, "label").withColumn("block", F.expr("pmod(xxhash64(node, 11), blocks)")).withColumn("tile", F.expr("pmod(xxhash64(node, 13), tiles)"))
+    asked = placed.where(F.expr(f"pmod(xxhash64(node, 7), {every}) = 0")).withColumn("tile", F.explode(F.expr("sequence(0L, tiles - 1)"))).withColumn("role", F.lit(0))
+    against = placed.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("role", F.lit(1))
+    rows = asked.unionByName(against).select(F.xxhash64("label", "block", "tile").alias("run"), "label", "block", "tile", "role", "node", "size", "v")
 
-    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(asked.value), np.int64)
-        for batch in batches:
-            node, label, size = (batch.column(c).to_numpy() for c in ("node", "label", "size"))
-            groups: dict[int, np.ndarray] = {x: np.flatnonzero(label == x) for x in np.unique(label)}
-            stacked = {x: _vectors(batch.column("v").take(pa.array(at))) for x, at in groups.items()}
-            for n, (own, of, v) in enumerate(asked.value):
-                if of in groups:
-                    at = groups[of]
-                    total[n] += size[at][(stacked[of] @ v >= threshold) & (node[at] != own)].sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["n", "links"])
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, own, v, links = None, np.zeros(0, np.int64), None, np.zeros(0, np.int64)
+        for part in _runs(batches, 5, 2 * ASKED):
+            now, node = tuple(c[0].as_py() for c in part[:4]), part[5].to_numpy()
+            if now != run:
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(links)], names=["node", "links"])
+                run, own, v, links = now, node[:0], None, np.zeros(0, np.int64)
+            if part[4][0].as_py() == 0:
+                own, v = np.concatenate([own, node]), _vectors(part[7]) if v is None else np.concatenate([v, _vectors(part[7])])
+                links = np.zeros(len(own), np.int64)
+            elif len(own):
+                size, other = part[6].to_numpy(), _vectors(part[7])
+                for at in range(0, len(node), BLOCK):
+                    near = (v @ other[at : at + BLOCK].T) >= threshold
+                    _, mine, same = np.intersect1d(own, node[at : at + BLOCK], return_indices=True)
+                    near[mine, same] = False
+                    links += near @ size[at : at + BLOCK]
+        if len(own):
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(links)], names=["node", "links"])
+
+    counts = rows.repartition("run").sortWithinPartitions("run", "label", "block", "tile", "role").mapInArrow(compare, "node long, links long")
+    return counts.groupBy("node").agg(F.sum("links").alias("links"))
 
-    true = {r.n: r.links for r in nodes.select("node", "label", "size", "v").mapInArrow(brute, "n long, links long").groupBy("n").agg(F.sum("links").alias("links")).collect()}
-    wanted = sum(true.values())
-    found = sum(min(r.links, true.get(n, 0)) for n, r in enumerate(picked))
-    return found / wanted if wanted else 1.0
+
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, enough: int = ENOUGH) -> float:
+    """Mean share of its true links found for a node that has any, over sets that grow until `enough` such nodes are asked."""
+    for every in AUDIT:
+        true = _true_links(nodes, every, threshold).where("links > 0").withColumnRenamed("links", "true")
+        share = F.least(F.coalesce("links", F.lit(0)), "true") / F.col("true")
+        linked, found = true.join(links, "node", "left").agg(F.count("*"), F.avg(share)).first()
+        if linked >= enough:
+            break
+    # the last set is all nodes: without a link there, none is lost
+    return found if linked else 1.0
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, k: int = LIST, min_recall: float = MIN_RECALL, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows, nodes = nodes_of(embeddings, id_col, vector_col, label_col)
-    lists = seed_lists(nodes, k)
+    lists, bucket, seed = seed_lists(nodes, k), BUCKET, SEED
     while True:
         lists = descend(lists, nodes, k)
         near = lists.where(F.col("sim") >= threshold)
@@ -250,7 +278,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, k: int
         counts = plain.join(exact.withColumnRenamed("links", "all_links"), "node", "left").select("node", F.coalesce("all_links", "links").alias("links")).checkpoint()
         if audit(nodes, counts, threshold) >= min_recall:
             break
-        k *= 2
+        k, bucket, seed = 2 * k, 2 * bucket, seed + 1
+        lists = _top(lists.unionByName(seed_lists(nodes, k, bucket=bucket, seed=seed)).distinct(), k)
     named = nodes.join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").join(counts, "node", "left")
     named = named.select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
