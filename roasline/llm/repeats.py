@@ -14,7 +14,8 @@ starts share (I) and split by the bytes that all its starts cover (O):
 At the last level I and O are the string itself, so the result is exact.  Only counts by key move at
 first (minimum and maximum, combined map-side, so a passage that a third of all rows holds is one
 row per task); text moves twice, once to cut the windows of the members that go on and once to cut
-the spans out.  Equal texts are one text here: if it is long enough, all of it is a repeat.
+the spans out.  Equal texts are one text here: windows are cut from one of them, and if it is long
+enough, all of it is a repeat.
 
 Blocks are keyed by 64-bit hashes, and I and O of a member must both agree with another's to be
 called a repeat.
@@ -142,13 +143,15 @@ def refine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     split = members.where("mixed").groupBy("i", "o").agg(F.min("at").alias("a0"), F.max("at").alias("a1")).checkpoint()
     judged = members.where("mixed").join(split, ["i", "o"])
     repeats = members.where("not mixed").select("k1", "k2", "place").unionByName(judged.where("a0 <> a1").select("k1", "k2", "place"))
-    return repeats, judged.where("at = a0").select("k1", "k2", "place")
+    # copies of a text bring the chosen member once each
+    return repeats, judged.where("at = a0").select("k1", "k2", "place").distinct()
 
 
 def cut_windows(texts: DataFrame, members: DataFrame, span: int) -> DataFrame:
     """(k1, k2, place, bytes): the text that the starts of each member cover."""
-    wanted = members.groupBy("k1", "k2").agg(F.collect_list("place").alias("places"))
-    joined = texts.join(wanted.hint("shuffle_hash"), ["k1", "k2"])
+    wanted = members.groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
+    # one row a text, copies dropped map-side; the join needs no further shuffle
+    joined = texts.dropDuplicates(["k1", "k2"]).join(wanted.hint("shuffle_hash"), ["k1", "k2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +166,7 @@ def cut_windows(texts: DataFrame, members: DataFrame, span: int) -> DataFrame:
                         found.append(data[p - ((x >> 8) & 255) : p - (x & 255) + span])
                 yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(place, pa.int64()), pa.array(found, pa.binary())], names=["k1", "k2", "place", "bytes"])
 
-    return joined.select("k1", "k2", "text", "places").mapInArrow(run, "k1 long, k2 long, place long, bytes binary").dropDuplicates(["k1", "k2", "place"])
+    return joined.select("k1", "k2", "text", "places").mapInArrow(run, "k1 long, k2 long, place long, bytes binary")
 
 
 def _keyed(documents: DataFrame, text_col: str) -> DataFrame:

@@ -15,3 +15,22 @@ def test_audit_finds_the_few_links_of_a_large_table(spark):
     assert audit(nodes, spark.createDataFrame([], "node long, links long"), 0.93) == 0.0
     linked = {x.vec_id: x.n_links for x in near_duplicates(table).collect() if x.n_links}
     assert linked == {10: 1, 11: 1}
+
+
+def test_windows_of_copied_texts_are_cut_once(spark):
+    """Twenty copies that share a passage with another text: each window is built once, not 20 x 20 times."""
+    from roasline.llm import repeats
+
+    r = np.random.default_rng(5)
+    word = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**6, n))
+    passage = word(120)
+    one, two = word(60) + passage + word(60), word(90) + passage + word(30)
+    documents = spark.createDataFrame([(n, one) for n in range(20)] + [(20, two)], "doc_id long, text string")
+    texts = repeats._keyed(documents, "text").select("k1", "k2", "text")
+    _, members = repeats.refine(repeats.first_level(texts, repeats.SPAN, repeats.WINDOW))
+    windows = repeats.cut_windows(texts, members, repeats.SPAN)
+    assert 0 < members.count() == members.distinct().count() == windows.count() == windows.distinct().count()
+    out = {x.doc_id: x for x in repeats.cut(documents).collect()}
+    assert len(out) == 21 and all(out[n].n_removed == len(one) for n in range(20))
+    gone = {k for n in range(len(two) - 399) if two[n : n + 400] in one for k in range(n, n + 400)}
+    assert gone and bytes(out[20].kept).decode() == "".join(c for n, c in enumerate(two) if n not in gone)
