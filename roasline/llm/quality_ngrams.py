@@ -1,23 +1,28 @@
 """Quality rules: hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Words and word pairs are hashed into a fixed number of buckets.  Two multinomials over the buckets
-are counted, one over every document (raw) and one over trusted documents (target); a document's
-score is the mean of ``log(p_target / p_raw)`` over its n-grams, and a document is kept when it
-passes the base rules and its score reaches the threshold.  Counts of the raw corpus cover all
-documents.  The ratio of a bucket compares the target's count with the count expected from the raw
-corpus, both plus a prior of `PRIOR`, so that a bucket seen too rarely to tell stays near zero.
-Trusted documents are a sample of at most ``trusted_rows`` labelled ids (smallest id
-hashes, quality 1 and not toxic), a bound that does not grow with the input.
+Words and word pairs are hashed to 64 bits.  Two multinomials over the hashes are counted, one over
+every document (raw) and one over all trusted documents (target: quality 1 and not toxic); a
+document's score is the mean of ``log(p_target / p_raw)`` over its n-grams, and a document is kept
+when it passes the base rules and its score reaches the threshold.  The counts are a Spark table with
+a row for each distinct n-gram, summed map-side and joined back by hash, so the model grows with the
+corpus.  The ratio compares the target's count with the count expected from the raw corpus, both
+plus a prior that is a fixed share of the target's mass, so that it means the same at every size.
+
+One trusted document in `HELD_OUT` is no part of the target: the threshold is set where the scores of
+these and of the documents labelled bad part best.  Ratios are whole numbers of 2**-20, so sums do
+not depend on the order of rows.  At most `COMMON` n-grams, the most frequent, are broadcast: they are most of
+the text and would be the skewed keys of the join; all others are joined.
 
 Edge cases: a null or empty text has no words and fails the base rules; null ids never match a
 label and pass through; repeated rows are scored each; an empty corpus or no trusted rows gives
-equal multinomials, hence score 0 for every document; extra columns are carried by `select`.
+equal multinomials, hence score 0 for every document; without labels of both kinds to part, the
+threshold is `THRESHOLD`; extra columns are carried by `select`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .flat import RangeHash, U64, Words, column_bytes, mix, per_row, slices
 
-BUCKETS = 1 << 16
-TRUSTED_ROWS = 20_000
+COMMON = 1 << 18
+HELD_OUT = 5
 THRESHOLD = -0.12
-PRIOR = 8.0
+PRIOR_SHARE = 1e-6
+SCALE = float(1 << 20)
 MIN_WORDS = 50
 # Characters counted as symbols.
 SYMBOL_BYTES = b"#*$%&|<>"
@@ -40,19 +46,21 @@ FACT_SCHEMA = ", ".join(f"{name} long" for name in FACTS)
 
 @dataclass(frozen=True)
 class Model:
-    """log(p_target / p_raw) for each bucket."""
+    """log(p_target / p_raw) in units of 1 / SCALE: (gram, ratio) of all n-grams, and the common ones sorted by hash."""
 
+    grams: DataFrame | None
+    common: np.ndarray
     ratio: np.ndarray
+    threshold: float
 
 
-def _grams(words: Words, hashes: RangeHash, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, bucket) of every word and word pair, and the words' own hashes."""
+def _grams(words: Words, hashes: RangeHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash) of every word and word pair, and the words' own hashes."""
     one = hashes.of(words.start, words.end)
     joined = words.row[1:] == words.row[:-1]
     two = mix(one[:-1] * U64(0x9E3779B97F4A7C15) + one[1:])[joined]
     rows = np.concatenate([words.row, words.row[1:][joined]])
-    # the low bits choose the bucket
-    return rows, (np.concatenate([one, two]) & U64(buckets - 1)).astype(np.int64), one
+    return rows, np.concatenate([one, two]).view(np.int64), one
 
 
 def _repeat_words(words: Words, one: np.ndarray) -> np.ndarray:
@@ -104,92 +112,130 @@ def _facts(data: np.ndarray, offsets: np.ndarray, words: Words, hashes: RangeHas
     }
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", limit: int = TRUSTED_ROWS) -> list[int]:
-    """At most `limit` ids labelled good and not toxic, by smallest hash: the bounded training sample."""
-    good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col(id_col).isNotNull())
-    rows = good.select(F.col(id_col).cast("long").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(limit).collect()
-    return [r.id for r in rows]
-
-
-def fit(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS, prior: float = PRIOR, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Count both multinomials.  Each task sends one row per used bucket; the driver receives `buckets` rows."""
-    ids = np.array(sorted(trusted_ids(labels, id_col, trusted_rows)), np.int64)
-    known = documents.sparkSession.sparkContext.broadcast(ids)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+def judged_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, kind): trusted ids, of them the held-out ones, and ids labelled bad."""
+    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+    rows = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(good, F.lit(False)).alias("good"), F.coalesce(F.col("quality") == 0, F.lit(False)).alias("bad"))
+    by_id = rows.groupBy("id").agg(F.max("good").alias("good"), F.max("bad").alias("bad")).where("good or bad")
+    held = F.expr(f"pmod(xxhash64(id, 3), {HELD_OUT}) = 0")
+    return by_id.select("id", F.when(F.col("good") & held, "held").when(F.col("good"), "trusted").otherwise("bad").alias("kind"))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, offsets = column_bytes(part.column("text"))
+            rows, grams, _ = _grams(Words(data, offsets), RangeHash(data))
+            mine = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+            found, place, raw = np.unique(grams, return_inverse=True, return_counts=True)
+            target = np.bincount(place[mine[rows]], minlength=len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(raw.astype(np.int64)), pa.array(target.astype(np.int64))], names=["gram", "raw", "target"])
+
+
+def parting(scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Where the counts of good and bad rows at ascending `scores` part best; of equal places the widest gap."""
+    below = np.cumsum(good)[:-1] / good.sum()
+    above = 1 - np.cumsum(bad)[:-1] / bad.sum()
+    lost = np.round(below + above, 12)
+    gap = np.where(lost == lost.min(), np.diff(scores), -1.0)
+    at = int(np.argmax(gap))
+    return float((scores[at] + scores[at + 1]) / 2)
+
+
+def fit(documents: DataFrame, labels: DataFrame, prior_share: float = PRIOR_SHARE, common: int = COMMON, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Count both multinomials and set the threshold.  The driver receives the `common` n-grams and a histogram of labelled scores."""
+    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marked = rows.join(judged_ids(labels, id_col), "id", "left")
+    counted = marked.select("text", F.coalesce(F.col("kind") == "trusted", F.lit(False)).alias("trusted"))
+    counts = counted.mapInArrow(_count, "gram long, raw long, target long").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).checkpoint()
+    total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    none = np.zeros(0, np.int64)
+    if not total.target:
+        return Model(None, none, np.zeros(0), THRESHOLD)
+    prior = prior_share * total.target
+    ratio = F.log((F.col("target") + prior) / (F.col("raw") * (total.target / total.raw) + prior))
+    grams = counts.select("gram", "raw", F.round(ratio * SCALE).cast("long").alias("ratio"))
+    # a sorted limit would send `common` rows of every task to the driver: ask from which count on they fit
+    steps = counts.groupBy(F.floor(F.log2("raw") * 8).alias("step")).agg(F.count("*").alias("n"), F.min("raw").alias("least")).orderBy(F.desc("step")).toPandas()
+    fits = steps["least"][steps["n"].cumsum() <= common]
+    top = grams.where(F.col("raw") >= int(fits.min())).select("gram", "ratio").toPandas().sort_values("gram") if len(fits) else grams.limit(0).toPandas()
+    model = Model(grams.select("gram", "ratio"), top["gram"].to_numpy(np.int64), top["ratio"].to_numpy(np.float64), THRESHOLD)
+    scored = score(marked.where("kind in ('held', 'bad')").select("kind", "text"), model).where("not base_failed")
+    seen = scored.groupBy(F.round("llr", 3).alias("at")).agg(F.count_if(F.col("kind") == "held").alias("good"), F.count_if(F.col("kind") == "bad").alias("bad")).orderBy("at").toPandas()
+    if not seen["good"].sum() or not seen["bad"].sum() or len(seen) < 2:
+        return model
+    return replace(model, threshold=parting(*(seen[c].to_numpy(float) for c in ("at", "good", "bad"))))
+
+
+def _rare(documents: DataFrame, model: Model) -> DataFrame:
+    """(_k, _mean): the mean ratio of the n-grams of each text (_k, text) that are not common; copies weigh alike."""
+    known = documents.sparkSession.sparkContext.broadcast(model.common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = column_bytes(part.column("text"))
-                words = Words(data, offsets)
-                rows, bucket, _ = _grams(words, RangeHash(data), buckets)
-                raw += np.bincount(bucket, minlength=buckets)
-                mine = np.isin(part.column("id").fill_null(0).to_numpy(zero_copy_only=False), known.value)
-                mine &= part.column("id").is_valid().to_numpy(zero_copy_only=False)
-                target += np.bincount(bucket[mine[rows]], minlength=buckets)
-        used = np.flatnonzero(raw)
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"])
-
-    counts = (
-        documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(count, "bucket long, raw long, target long")
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-        .toPandas()
-    )
-    raw, target = np.zeros(buckets), np.zeros(buckets)
-    raw[counts["bucket"]] = counts["raw"]
-    target[counts["bucket"]] = counts["target"]
-    if not target.sum():
-        return Model(np.zeros(buckets))
-    expected = raw * (target.sum() / raw.sum())
-    return Model(np.log((target + prior) / (expected + prior)))
-
-
-def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
+                rows, grams, _ = _grams(Words(data, offsets), RangeHash(data))
+                _, rare = _places(known.value, grams)
+                yield pa.RecordBatch.from_arrays([pa.array(part.column("_k").to_numpy()[rows[rare]]), pa.array(grams[rare])], names=["_k", "gram"])
+
+    found = documents.mapInArrow(run, "_k long, gram long").join(model.grams, "gram", "left")
+    return found.groupBy("_k").agg((F.sum(F.coalesce("ratio", F.lit(0)).cast("double")) / F.count("*")).alias("_mean"))
+
+
+def _places(common: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each n-gram stands among the common ones, and whether it is none of them."""
+    if not len(common):
+        return np.zeros(len(grams), np.int64), np.ones(len(grams), bool)
+    place = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+    return place, common[place] != grams
+
+
+def score(documents: DataFrame, model: Model, threshold: float | None = None, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
     """All columns of `documents` but the text, plus the base facts, base_failed, llr and kept.
 
     Columns of `documents` that clash with the operator's own are replaced by them.
     """
     own = [*FACTS, "base_failed", "llr", "kept"]
+    inner = ["base_failed", "_grams", "_rare", "_part"]
     carried = [c for c in documents.columns if c not in own and c != text_col]
-    ratio = documents.sparkSession.sparkContext.broadcast(model.ratio)
+    known = documents.sparkSession.sparkContext.broadcast((model.common, model.ratio))
+    least = model.threshold if threshold is None else threshold
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, ratio = known.value
         for batch in batches:
             for part in slices(batch, text_col):
                 data, offsets = column_bytes(part.column(text_col))
                 words, hashes = Words(data, offsets), RangeHash(data)
-                rows, bucket, one = _grams(words, hashes, len(ratio.value))
-                total = np.bincount(rows, weights=ratio.value[bucket], minlength=words.rows)
-                mean = total / np.maximum(np.bincount(rows, minlength=words.rows), 1)
+                rows, grams, one = _grams(words, hashes)
+                place, rare = _places(common, grams)
+                total = np.bincount(rows[~rare], weights=ratio[place[~rare]], minlength=words.rows)
                 facts = _facts(data, offsets, words, hashes, one)
                 failed = (facts["n_words"] < min_words) | (100 * facts["n_repeat_words"] > 50 * facts["n_words"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in carried]
+                    [part.column(c) for c in [*carried, "_k"]]
                     + [pa.array(facts[c].astype(np.int64)) for c in FACTS]
-                    + [pa.array(failed), pa.array(mean), pa.array(~failed & (mean >= threshold))],
-                    names=[*carried, *own],
+                    + [pa.array(failed), pa.array(np.bincount(rows, minlength=words.rows)), pa.array(np.bincount(rows[rare], minlength=words.rows)), pa.array(total.astype(float))],
+                    names=[*carried, "_k", *FACTS, *inner],
                 )
 
     kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in carried] + [FACT_SCHEMA, "base_failed boolean, llr double, kept boolean"])
-    return documents.select(*[F.col(f"`{c}`") for c in carried], text_col).mapInArrow(judge, schema)
-
-
-def keep_good(documents: DataFrame, model: Model, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in carried] + ["_k long", FACT_SCHEMA, "base_failed boolean, _grams long, _rare long, _part double"])
+    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_k")
+    found = documents.select(*[F.col(f"`{c}`") for c in carried], text_col, key).mapInArrow(judge, schema)
+    if model.grams is None:
+        found = found.withColumn("_mean", F.lit(0.0))
+    else:
+        found = found.join(_rare(documents.select(key, F.col(f"`{text_col}`").alias("text")), model), "_k", "left")
+    sums = F.col("_part") + F.col("_rare") * F.coalesce("_mean", F.lit(0.0))
+    found = found.withColumn("llr", sums / F.greatest("_grams", F.lit(1)) / SCALE)
+    return found.select(*[F.col(f"`{c}`") for c in carried], *FACTS, "base_failed", "llr", (~F.col("base_failed") & (F.col("llr") >= least)).alias("kept"))
+
+
+def keep_good(documents: DataFrame, model: Model, threshold: float | None = None, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
     """The rows of `documents` that the rules keep, unchanged."""
-    ratio = documents.sparkSession.sparkContext.broadcast(model.ratio)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text_col):
-                data, offsets = column_bytes(part.column(text_col))
-                words, hashes = Words(data, offsets), RangeHash(data)
-                rows, bucket, one = _grams(words, hashes, len(ratio.value))
-                total = np.bincount(rows, weights=ratio.value[bucket], minlength=words.rows)
-                mean = total / np.maximum(np.bincount(rows, minlength=words.rows), 1)
-                failed = (words.count < min_words) | (100 * _repeat_words(words, one) > 50 * words.count)
-                yield part.filter(pa.array(~failed & (mean >= threshold)))
-
-    return documents.mapInArrow(keep, documents.schema)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    scored = score(documents.select(F.xxhash64(text).alias("_text"), text_col), model, threshold, min_words, text_col)
+    good = scored.where("kept").select("_text").distinct()
+    return documents.join(good, F.xxhash64(text) == F.col("_text"), "left_semi")

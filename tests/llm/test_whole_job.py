@@ -34,3 +34,18 @@ def test_windows_of_copied_texts_are_cut_once(spark):
     assert len(out) == 21 and all(out[n].n_removed == len(one) for n in range(20))
     gone = {k for n in range(len(two) - 399) if two[n : n + 400] in one for k in range(n, n + 400)}
     assert gone and bytes(out[20].kept).decode() == "".join(c for n, c in enumerate(two) if n not in gone)
+
+
+def test_quality_counts_grow_with_the_corpus(spark):
+    """Filler of ever new words must not wash out the verdict: junk goes at eighty thousand distinct words as at few."""
+    from roasline.llm import quality_ngrams
+
+    r = np.random.default_rng(7)
+    prose = lambda: " ".join(f"good{x}" for x in r.integers(0, 300, 120))
+    junk = lambda: " ".join(f"junk{x}" for x in r.integers(0, 300, 120))
+    rows = [(n, prose() if n % 4 else junk()) for n in range(400)]
+    filler = [(1000 + n, " ".join(f"x{n}y{x}" for x in range(8000))) for n in range(100)]
+    documents = spark.createDataFrame(rows + filler, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int(n % 4 > 0), 0) for n in range(0, 200)], "doc_id long, quality int, toxic int")
+    out = {x.doc_id: x.kept for x in quality_ngrams.score(documents, quality_ngrams.fit(documents, labels)).where("doc_id between 200 and 399").collect()}
+    assert out == {n: n % 4 > 0 for n in range(200, 400)}
