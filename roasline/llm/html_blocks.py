@@ -42,7 +42,7 @@ SEED = 42
 # Element classes of HTML.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
-HIDDEN_TEXT = frozenset("head iframe math object script style svg template title".split())
+HIDDEN_TEXT = frozenset("head iframe script style svg template title".split())
 ENDS_P = BLOCKS - frozenset("body button caption html label legend noscript optgroup option select tbody td textarea tfoot th thead tr".split())
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd dt", ("dl",)), "dd": ("dd dt", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 TOKEN = re.compile(

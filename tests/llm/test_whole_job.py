@@ -49,3 +49,11 @@ def test_quality_counts_grow_with_the_corpus(spark):
     labels = spark.createDataFrame([(n, int(n % 4 > 0), 0) for n in range(0, 200)], "doc_id long, quality int, toxic int")
     out = {x.doc_id: x.kept for x in quality_ngrams.score(documents, quality_ngrams.fit(documents, labels)).where("doc_id between 200 and 399").collect()}
     assert out == {n: n % 4 > 0 for n in range(200, 400)}
+
+
+def test_text_of_math_and_object_is_judged():
+    """Formulas and an object's fallback text are text of their block; an unclosed one hides nothing after it."""
+    from roasline.llm.html_blocks import leaves
+
+    page = "<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><div><object data=a>fallback</object> after</div><div><math><mi>y</mi> rest</div></article>"
+    assert [leaf.text for leaf in leaves(page)] == ["where x=2 holds", "fallback after", "y rest"]
