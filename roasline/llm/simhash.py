@@ -219,11 +219,15 @@ def hex_text(column: str) -> F.Column:
 
 
 def keep_one(documents: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `documents` with one row per class: the one with the smallest id.
+    """The rows of `documents` with one row per class: the one with the smallest id, of equal ids the least text hash.
 
-    Fully repeated rows count once; rows with a null id are kept, since no id can stand for them.
+    A row with a null id stays only where its class has no other.  Fully repeated rows count once.
     """
-    found = classes(documents, words, max_bits, id_col=id_col, text_col=text_col)
-    reps = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = documents.join(reps, F.col(f"`{id_col}`").cast("long") == F.col("_keep"), "left_semi")
-    return kept.dropDuplicates([id_col, text_col]).unionByName(documents.where(F.col(f"`{id_col}`").isNull()))
+    keyed = documents.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_text", F.xxhash64(F.col(f"`{text_col}`")))
+    # classes of texts: here the text hash stands for the id
+    of_text = classes(keyed, words, max_bits, id_col="_text", text_col=text_col).select(F.col("doc_id").alias("_text"), "component_id").distinct()
+    row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_text")
+    least = keyed.groupBy("_text").agg(F.min(row).alias("row")).join(of_text, "_text").groupBy("component_id").agg(F.min("row").alias("row"))
+    reps = least.select(F.col("row._id").alias("_keep"), F.col("row._text").alias("_kept"))
+    kept = keyed.join(reps, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_text") == F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["_id", "_text"]).select(*[F.col(f"`{c}`") for c in documents.columns])

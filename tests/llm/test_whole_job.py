@@ -57,3 +57,14 @@ def test_text_of_math_and_object_is_judged():
 
     page = "<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><div><object data=a>fallback</object> after</div><div><math><mi>y</mi> rest</div></article>"
     assert [leaf.text for leaf in leaves(page)] == ["where x=2 holds", "fallback after", "y rest"]
+
+
+def test_one_row_of_each_class_stays_with_null_and_shared_ids(spark):
+    """Copies with null ids are one class, and an id shared with another class brings no rejected text back."""
+    from roasline.llm import simhash
+
+    r = np.random.default_rng(9)
+    a, b, x, y = (" ".join(f"w{n}" for n in r.integers(0, 10**6, 80)) for _ in range(4))
+    rows = [(None, a), (None, a), (None, b), (1, b), (2, x), (9, x), (9, y), (9, y)]
+    out = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(out, key=lambda q: q.text) == sorted([(None, a), (1, b), (2, x), (9, y)], key=lambda q: q[1])
