@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, embed_neighbours, html_blocks, line_spread, mixing, quality_ngrams, repeats, secret_scan, sharding, simhash
+from . import bpe, collocations, embed_neighbours, html_blocks, line_spread, manifest, mixing, packing, quality_ngrams, repeats, secret_scan, sharding, simhash
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
@@ -94,6 +94,23 @@ def op10_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ngrams.score(documents, model)
 
 
+def op11_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.when(hit, F.translate("text", manifest.UPPER, manifest.UPPER.lower())).otherwise(F.col("text"))
+    return manifest.prove(documents, "lang", "doc_id", ("doc_id", "source", "lang", "n_chars", "text"), tampered={"text": lowered})
+
+
+def op12_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     if ROOT not in sys.path:
         sys.path.insert(0, ROOT)
@@ -106,7 +123,8 @@ QUERIES = {
     "op1_html_main_text": op1_html_main_text, "op2_line_spread": op2_line_spread, "op3_secret_ownership": op3_secret_ownership,
     "op4_pivotal_mix": op4_pivotal_mix, "op5_rendezvous_shards": op5_rendezvous_shards, "op6_repeat_removal": op6_repeat_removal,
     "op7_nn_descent": op7_nn_descent, "op8_bpe_automaton": op8_bpe_automaton, "op9_simhash_pivots": op9_simhash_pivots,
-    "op10_ngram_quality": op10_ngram_quality, "pipeline": pipeline,
+    "op10_ngram_quality": op10_ngram_quality, "op11_merkle_log": op11_merkle_log, "op12_trie_collocations": op12_trie_collocations,
+    "op13_two_fit_packing": op13_two_fit_packing, "pipeline": pipeline,
 }
 
 # DuckDB texts where SQL can express the result; the others are tested against brute force in tests/llm.
@@ -123,4 +141,22 @@ ORACLE_SQL = {
           CASE WHEN lines > 0 AND length(text) - length(kept) <= 0.5 * length(text) THEN kept ELSE text END AS text,
           CASE WHEN lines > 0 AND length(text) - length(kept) <= 0.5 * length(text) THEN lines ELSE 0 END AS n_removed_lines
         FROM d LEFT JOIN n USING (r)""",
+    "op12_trie_collocations": r"""
+        WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM p),
+        t AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM w GROUP BY lang),
+        pos AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS place FROM w),
+        g AS (SELECT lang, words, place, unnest(range(1, 6)) AS k FROM pos),
+        f AS (SELECT lang, k, array_to_string(words[place:place + k - 1], ' ') AS phrase, count(*) AS a FROM g WHERE place + k - 1 <= len(words) GROUP BY ALL HAVING count(*) >= 100),
+        c AS (SELECT * FROM f WHERE k > 1),
+        s AS (SELECT lang, k, phrase, a, unnest(range(1, k)) AS m, string_split(phrase, ' ') AS words FROM c),
+        v AS (SELECT s.lang, s.k, s.phrase, s.a, m, x.a AS l, y.a AS r, t.n, (1000::HUGEINT * s.a * t.n) // (x.a::HUGEINT * y.a) AS score
+              FROM s JOIN f x ON x.lang = s.lang AND x.phrase = array_to_string(words[1:m], ' ') JOIN f y ON y.lang = s.lang AND y.phrase = array_to_string(words[m + 1:], ' ') JOIN t ON t.lang = s.lang),
+        best AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, m) = 1),
+        held AS (SELECT c.lang, array_to_string(string_split(c.phrase, ' ')[i:i + j - 1], ' ') AS phrase, max(c.a) AS longer
+                 FROM c, range(2, 5) AS sizes(j), range(1, 5) AS places(i) WHERE j < c.k AND i + j - 1 <= c.k GROUP BY ALL),
+        kept AS (SELECT best.* FROM best LEFT JOIN held ON held.lang = best.lang AND held.phrase = best.phrase WHERE held.longer IS NULL OR 100 * held.longer < 100 * best.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
 }
