@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -144,13 +145,18 @@ def _shards(nodes: DataFrame, columns: list[str], shard: int):
 
 def symbols(texts: DataFrame, words: DataFrame, shard: int = SHARD) -> DataFrame:
     """Blocks (symbols, states) as int64 bytes: the id in `words` (lang, phrase, id from 1) of every word, 0 for a rare one and between pieces."""
-    blocks = texts.mapInArrow(_cut, "lang string, places binary, words array<string>, ids binary")
+    schema, steps, blocks = "lang string, places binary, words array<string>, ids binary", [_cut], texts
     for part, several in _shards(words, ["lang", "phrase", "id"], shard):
         table = {lang: (pa.array(rows["phrase"], pa.string()), rows["id"].to_numpy(np.int64)) for lang, rows in part.groupby("lang")}
-        blocks = blocks.mapInArrow(_look_up(texts.sparkSession.sparkContext.broadcast(table)), blocks.schema)  # at most `shard` words
+        steps.append(_look_up(texts.sparkSession.sparkContext.broadcast(table)))  # at most `shard` words
         if several:
-            blocks = written(blocks, "words-of-blocks")
-    return blocks.mapInArrow(_settle, "symbols binary, states binary")
+            blocks, steps = written(blocks.mapInArrow(_one_after_another(steps), schema), "words-of-blocks"), []
+    return blocks.mapInArrow(_one_after_another([*steps, _settle]), "symbols binary, states binary")
+
+
+def _one_after_another(steps: list):
+    """Batch functions as one, so that they share a Python worker."""
+    return lambda batches: reduce(lambda out, step: step(out), steps, batches)
 
 
 @dataclass(frozen=True)

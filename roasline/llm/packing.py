@@ -11,8 +11,10 @@ Pieces are numbered by size in one distributed sort, and the plan's ranges of th
 arrays, broadcast: at most 64 distinct sizes in a pattern) say where each piece goes.  Nothing is
 grouped by bin, and a size that holds most pieces is no hot key.
 
-Words between ASCII white space are encoded once for each slice of text, as the file's pre-tokenizer
-never joins them; `tokenizer_is_split_by_space` holds what that rests on.
+The file's pre-tokenizer never joins what white space separates (`tokenizer_is_split_by_space`
+holds what that rests on), so each distinct word is encoded once; with the known pattern, words are
+cut further at ends of its matches (`atoms`), and ASCII ones are lower-cased before, as the file does.
+A slice that holds one of the file's added tokens is encoded by whole words.
 
 Edge cases: a null or empty text is its end id alone; null and repeated ids keep a row for each
 piece; rows equal in all columns may swap places; an empty table gives an empty result; extra
@@ -30,13 +32,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .flat import Words, column_bytes, slices
+from .flat import U64, Words, column_bytes, mix, slices
+from .merges import Merges
 from .numbering import numbered, written
 from .spans import strings
 
 LENGTH = 2048
 END_ID = 0
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 20
+LATIN_END, DOTTED_I = "\u0250", "\u0130"
+# Fixed value: the pattern whose matches the public file keeps.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTER, DIGIT, OTHER, HIGH = 1, 2, 3, 4
+KIND = np.full(256, OTHER, np.uint8)
+KIND[128:] = HIGH
+KIND[48:58] = DIGIT
+KIND[65:91] = KIND[97:123] = LETTER
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -61,8 +75,20 @@ def tokenizer_is_split_by_space(text: str) -> bool:
     return not regex.search(pattern, " \t\n\v\f\r") and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in rest)
 
 
+def atoms(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the words cut further where the pattern's matches must end: between ASCII
+    letters, digits and other characters, but not behind an apostrophe, which may begin a match."""
+    kind = KIND[data]
+    cut = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    cut &= words.inside[1:] & words.inside[:-1] & (kind[1:] != HIGH) & (kind[:-1] != HIGH) & ~((data[:-1] == 39) & (kind[1:] == LETTER))
+    more = np.flatnonzero(cut) + 1
+    start = np.sort(np.concatenate([words.start, more]))
+    end = np.sort(np.concatenate([words.end, more]))
+    return start, end, words.row[np.searchsorted(words.start, start, side="right") - 1]
+
+
 class Encoder:
-    """Token ids of a flat byte array's rows, each distinct word of it encoded once."""
+    """Token ids of a flat byte array's rows, each distinct part of a word encoded once."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
@@ -70,31 +96,106 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, np.ndarray] = {}
-
-    def word_ids(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:  # a cache: rarer words are encoded again
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for w, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[w] = np.array(found.ids, np.uint32)
-        return [self.known[w] for w in words]
+        spec = json.loads(text)
+        self.added = [t["content"].encode() for t in spec["added_tokens"]]
+        self.merges = Merges(text)
+        lowers = any(x["type"] == "Lowercase" for x in (spec["normalizer"] or {}).get("normalizers", []))
+        self.split = self.merges.usable and lowers and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == SPLIT_PATTERN
+        self.forget()
+
+    def forget(self) -> None:
+        self.key = self.low = self.high = np.zeros(0, U64)
+        self.number = np.zeros(0, np.int64)
+        self.long: dict[str, int] = {}
+        self.first, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def learn(self, new: list[str]) -> np.ndarray:
+        """The numbers of newly encoded parts; those that are one match of the pattern by their merges, all at once."""
+        is_plain = [self.split and (w.isascii() and w.isprintable() and "'" not in w or w.isalpha() and max(w) < LATIN_END and DOTTED_I not in w) for w in new]
+        plain = [w.lower().encode() for w, p in zip(new, is_plain) if p]
+        ids, size = self.merges.encode(np.frombuffer(b"".join(plain), np.uint8), np.fromiter(map(len, plain), np.int64, len(plain))) if plain else (np.zeros(0, np.int64),) * 2
+        other = [x.ids for x in self.tokenizer.encode_batch_fast([w for w, p in zip(new, is_plain) if not p], add_special_tokens=False)]
+        size = np.concatenate([size, np.array([len(x) for x in other], np.int64)])
+        known = len(self.size)
+        self.first = np.append(self.first, len(self.table) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.table = np.concatenate([self.table, ids.astype(np.uint32), np.array([n for x in other for n in x], np.uint32)])
+        numbers, is_plain = np.empty(len(new), np.int64), np.array(is_plain, bool)
+        numbers[is_plain] = known + np.arange(len(plain))
+        numbers[~is_plain] = known + len(plain) + np.arange(len(other))
+        return numbers
+
+    def short_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of parts of at most 16 bytes: told apart by these bytes, as two words."""
+        view = np.ndarray((len(data) + 9,), "<u8", np.append(data, np.zeros(16, np.uint8)), strides=(1,))
+        size = end - start
+        low = view[start] & FIRST_BYTES[np.minimum(size, 8)]
+        high = np.where(size > 8, view[np.minimum(start + 8, len(data))] & FIRST_BYTES[np.clip(size - 8, 0, 8)], U64(0))
+        key = low ^ mix(high) ^ (size.astype(U64) << U64(56))  # up to 7 bytes the key is the part itself
+        distinct, at, code = np.unique(key, return_index=True, return_inverse=True)
+        if ((low[at][code] != low) | (high[at][code] != high)).any():
+            raise LookupError
+        place = np.minimum(np.searchsorted(self.key, distinct), max(len(self.key) - 1, 0))
+        known = self.key[place] == distinct if len(self.key) else np.zeros(len(distinct), bool)
+        if ((self.low[place[known]] != low[at[known]]) | (self.high[place[known]] != high[at[known]])).any():
+            raise LookupError
+        numbers = np.empty(len(distinct), np.int64)
+        numbers[known] = self.number[place[known]]
+        if not known.all():
+            fresh = at[~known]
+            found = self.learn(strings(data, start[fresh], end[fresh]).to_pylist())
+            where = np.searchsorted(self.key, distinct[~known])
+            self.key, self.low, self.high = (np.insert(old, where, more) for old, more in ((self.key, distinct[~known]), (self.low, low[fresh]), (self.high, high[fresh])))
+            self.number = np.insert(self.number, where, found)
+            numbers[~known] = found
+        return numbers[code]
+
+    def long_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        coded = strings(data, start, end).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.long]
+        self.long.update(zip(new, self.learn(new).tolist()))
+        return np.array([self.long[w] for w in distinct], np.int64)[coded.indices.to_numpy()]
 
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, offsets)."""
+        if len(self.size) > KNOWN_WORDS:  # a cache: what comes again is encoded again
+            self.forget()
         words = Words(data, offsets)
-        coded = strings(data, words.start, words.end).dictionary_encode()
-        distinct = self.word_ids(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy()
-        size = np.fromiter((len(x) for x in distinct), np.int64, len(distinct))
-        table = np.concatenate(distinct) if distinct else np.zeros(0, np.uint32)
-        first = np.cumsum(size) - size
-        length = size[code]
+        start, end, row = words.start, words.end, words.row
+        if self.split and not any(t in data.tobytes() for t in self.added):
+            start, end, row = atoms(data, words)
+            above = np.append(0, np.cumsum(data >= 128))
+            ascii_only = np.zeros(len(data) + 1, np.int8)
+            ascii_only[start] += above[end] == above[start]
+            ascii_only[end] -= above[end] == above[start]
+            data = np.where(np.cumsum(ascii_only[:-1], dtype=np.int8) > 0, LOWER[data], data)
+        code = np.empty(len(start), np.int64)
+        short = end - start <= 16
+        try:
+            code[short] = self.short_numbers(data, start[short], end[short])
+        except LookupError:  # two parts under one key
+            code[short] = self.long_numbers(data, start[short], end[short])
+        if not short.all():
+            code[~short] = self.long_numbers(data, start[~short], end[~short])
+        length = self.size[code]
         ends = np.cumsum(length)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[code] - (ends - length), length)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[code] - (ends - length), length)
         bounds = np.zeros(words.rows + 1, np.int64)
-        np.cumsum(np.bincount(words.row, weights=length, minlength=words.rows).astype(np.int64), out=bounds[1:])
-        return table[place], bounds
+        np.cumsum(np.bincount(row, weights=length, minlength=words.rows).astype(np.int64), out=bounds[1:])
+        return self.table[place], bounds
+
+
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(text: str) -> Encoder:
+    """The worker's encoder of a tokenizer file; it stays for later tasks of the same worker."""
+    key = zlib.crc32(text.encode())
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(text)
+    return _ENCODERS[key]
 
 
 def pieces(documents: DataFrame, tokenizer_text: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,7 +205,7 @@ def pieces(documents: DataFrame, tokenizer_text: str, length: int = LENGTH, end_
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer_text)  # one file of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, bounds = encoder.rows(*column_bytes(part.column("text")))
