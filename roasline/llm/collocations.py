@@ -42,6 +42,7 @@ TOP = 2000
 KEPT_PERCENT = 100
 NO_LANG = "und"
 SHARD = 1 << 20
+BLOCK = 1 << 19
 # The characters that end a piece, and those that separate words.
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -52,11 +53,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+# ------------------------------------------------------------------------------------ blocks
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as four or eight bytes each, told by the first byte."""
+    return b"8" + ids.astype("<i8").tobytes() if len(ids) and ids.max() >= 1 << 31 else b"4" + ids.astype("<i4").tobytes()
+
+
+def unpacked(block: pa.Scalar) -> np.ndarray:
+    held = block.as_buffer()
+    return np.frombuffer(held, "<i8" if held[0] == 56 else "<i4", offset=1).astype(np.int64)
+
+
 # ------------------------------------------------------------------------------------ words
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     """(language, bytes, offsets) of the texts of each language in each slice, A-Z lower-cased."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", BLOCK):
             lang = part.column("lang")
             for name in pc.unique(lang).to_pylist():
                 data, offsets = column_bytes(part.column("text").filter(pc.equal(lang, name)))
@@ -105,9 +117,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded = words.dictionary_encode()
         places = np.insert(coded.indices.to_numpy().astype(np.int32) + 1, np.flatnonzero(opens), 0)
         distinct = coded.dictionary.cast(pa.string())
-        none = np.zeros(len(distinct) + 1, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([places.tobytes()], pa.binary()), pa.array([distinct.to_pylist()], pa.list_(pa.string())),
-                                          pa.array([none.tobytes()], pa.binary())], names=["lang", "places", "words", "ids"])
+        listed = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct)
+        yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([packed(places)], pa.binary()), listed, pa.array([packed(np.zeros(len(distinct) + 1, np.int64))], pa.binary())],
+                                         names=["lang", "places", "words", "ids"])
 
 
 def _look_up(shared):
@@ -116,11 +128,11 @@ def _look_up(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for lang, words, ids in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("ids").to_pylist()):
-                own, (known, number) = np.frombuffer(ids, np.int64).copy(), shared.value.get(lang, (pa.array([], pa.string()), np.zeros(0, np.int64)))
+            for lang, words, ids in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("ids")):
+                own, (known, number) = unpacked(ids), shared.value.get(lang, (pa.array([], pa.string()), np.zeros(0, np.int64)))
                 place = pc.index_in(words.values, known).fill_null(-1).to_numpy()
                 own[1:] = np.where(place < 0, own[1:], np.append(number, 0)[place])
-                out.append(own.tobytes())
+                out.append(packed(own))
             yield batch.set_column(3, "ids", pa.array(out, pa.binary()))
 
     return run
@@ -130,9 +142,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Symbols of every place; runs of zeros become one."""
     for batch in batches:
         out = []
-        for places, ids in zip(batch.column("places").to_pylist(), batch.column("ids").to_pylist()):
-            found = np.frombuffer(ids, np.int64)[np.frombuffer(places, np.int32)]
-            out.append(found[(found > 0) | np.append(True, found[:-1] > 0)].tobytes())
+        for places, ids in zip(batch.column("places"), batch.column("ids")):
+            found = unpacked(ids)[unpacked(places)]
+            out.append(packed(found[(found > 0) | np.append(True, found[:-1] > 0)]))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(out, pa.binary())], names=["symbols", "states"])
 
 
@@ -144,7 +156,7 @@ def _shards(nodes: DataFrame, columns: list[str], shard: int):
 
 
 def symbols(texts: DataFrame, words: DataFrame, shard: int = SHARD) -> DataFrame:
-    """Blocks (symbols, states) as int64 bytes: the id in `words` (lang, phrase, id from 1) of every word, 0 for a rare one and between pieces."""
+    """Blocks (symbols, states): the id in `words` (lang, phrase, id from 1) of every word, 0 for a rare one and between pieces."""
     schema, steps, blocks = "lang string, places binary, words array<string>, ids binary", [_cut], texts
     for part, several in _shards(words, ["lang", "phrase", "id"], shard):
         table = {lang: (pa.array(rows["phrase"], pa.string()), rows["id"].to_numpy(np.int64)) for lang, rows in part.groupby("lang")}
@@ -236,8 +248,8 @@ class Trie:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each state is followed by each state, block by block."""
     for batch in batches:
-        for states in batch.column("states").to_pylist():
-            state = np.frombuffer(states, np.int64)
+        for states in batch.column("states"):
+            state = unpacked(states)
             at = np.flatnonzero((state[:-1] > 0) & (state[1:] > 0))
             if len(at):
                 known, code = np.unique(state, return_inverse=True)  # the block's accepting states
@@ -252,12 +264,13 @@ def _mover(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
         for batch in batches:
-            out = []
-            for symbol, state, before in zip(*(batch.column(c).to_pylist() for c in ("symbols", "states", "next"))):
-                symbol, state = np.frombuffer(symbol, np.int64), np.frombuffer(state, np.int64)
-                found = trie.step(state, np.append(symbol[k:], np.zeros(min(k, len(symbol)), np.int64)))
-                out.append((found if before is None else found + np.frombuffer(before, np.int64)).tobytes())
-            yield batch.set_column(2, "next", pa.array(out, pa.binary()))
+            for r in range(batch.num_rows):  # a block at a time: blocks may be as long as a text
+                symbol, state, before = (batch.column(c)[r] for c in ("symbols", "states", "next"))
+                held = unpacked(symbol)
+                found = trie.step(unpacked(state), np.append(held[k:], np.zeros(min(k, len(held)), np.int64)))
+                if before.is_valid:
+                    found += unpacked(before)
+                yield batch.slice(r, 1).set_column(2, "next", pa.array([packed(found)], pa.binary()))
 
     return run
 

@@ -109,9 +109,9 @@ class Encoder:
         self.long: dict[str, int] = {}
         self.first, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def learn(self, new: list[str]) -> np.ndarray:
-        """The numbers of newly encoded parts; those that are one match of the pattern by their merges, all at once."""
-        is_plain = [self.split and (w.isascii() and w.isprintable() and "'" not in w or w.isalpha() and max(w) < LATIN_END and DOTTED_I not in w) for w in new]
+    def learn(self, new: list[str], cut: bool) -> np.ndarray:
+        """The numbers of newly encoded parts; of those that are `cut`, the ones of plain letters are one match of the pattern and go through the merges, all at once."""
+        is_plain = [cut and (w.isascii() and w.isprintable() and "'" not in w or w.isalpha() and max(w) < LATIN_END and DOTTED_I not in w) for w in new]
         plain = [w.lower().encode() for w, p in zip(new, is_plain) if p]
         ids, size = self.merges.encode(np.frombuffer(b"".join(plain), np.uint8), np.fromiter(map(len, plain), np.int64, len(plain))) if plain else (np.zeros(0, np.int64),) * 2
         other = [x.ids for x in self.tokenizer.encode_batch_fast([w for w, p in zip(new, is_plain) if not p], add_special_tokens=False)]
@@ -125,7 +125,7 @@ class Encoder:
         numbers[~is_plain] = known + len(plain) + np.arange(len(other))
         return numbers
 
-    def short_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def short_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, cut: bool) -> np.ndarray:
         """Numbers of parts of at most 16 bytes: told apart by these bytes, as two words."""
         view = np.ndarray((len(data) + 9,), "<u8", np.append(data, np.zeros(16, np.uint8)), strides=(1,))
         size = end - start
@@ -143,18 +143,18 @@ class Encoder:
         numbers[known] = self.number[place[known]]
         if not known.all():
             fresh = at[~known]
-            found = self.learn(strings(data, start[fresh], end[fresh]).to_pylist())
+            found = self.learn(strings(data, start[fresh], end[fresh]).to_pylist(), cut)
             where = np.searchsorted(self.key, distinct[~known])
             self.key, self.low, self.high = (np.insert(old, where, more) for old, more in ((self.key, distinct[~known]), (self.low, low[fresh]), (self.high, high[fresh])))
             self.number = np.insert(self.number, where, found)
             numbers[~known] = found
         return numbers[code]
 
-    def long_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def long_numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, cut: bool) -> np.ndarray:
         coded = strings(data, start, end).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.long]
-        self.long.update(zip(new, self.learn(new).tolist()))
+        self.long.update(zip(new, self.learn(new, cut).tolist()))
         return np.array([self.long[w] for w in distinct], np.int64)[coded.indices.to_numpy()]
 
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +163,8 @@ class Encoder:
             self.forget()
         words = Words(data, offsets)
         start, end, row = words.start, words.end, words.row
-        if self.split and not any(t in data.tobytes() for t in self.added):
+        cut = self.split and not any(t in data.tobytes() for t in self.added)
+        if cut:
             start, end, row = atoms(data, words)
             above = np.append(0, np.cumsum(data >= 128))
             ascii_only = np.zeros(len(data) + 1, np.int8)
@@ -173,11 +174,11 @@ class Encoder:
         code = np.empty(len(start), np.int64)
         short = end - start <= 16
         try:
-            code[short] = self.short_numbers(data, start[short], end[short])
+            code[short] = self.short_numbers(data, start[short], end[short], cut)
         except LookupError:  # two parts under one key
-            code[short] = self.long_numbers(data, start[short], end[short])
+            code[short] = self.long_numbers(data, start[short], end[short], cut)
         if not short.all():
-            code[~short] = self.long_numbers(data, start[~short], end[~short])
+            code[~short] = self.long_numbers(data, start[~short], end[~short], cut)
         length = self.size[code]
         ends = np.cumsum(length)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[code] - (ends - length), length)
