@@ -43,6 +43,7 @@ KEPT_PERCENT = 100
 NO_LANG = "und"
 SHARD = 1 << 20
 BLOCK = 1 << 19
+POSITIONS = 1 << 20
 # The characters that end a piece, and those that separate words.
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -245,17 +246,28 @@ class Trie:
 
 
 # ------------------------------------------------------------------------------------ levels
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each state is followed by each state, block by block."""
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """States of several blocks at a time, a zero between them."""
+    held: list[np.ndarray] = []
     for batch in batches:
         for states in batch.column("states"):
-            state = unpacked(states)
-            at = np.flatnonzero((state[:-1] > 0) & (state[1:] > 0))
-            if len(at):
-                known, code = np.unique(state, return_inverse=True)  # the block's accepting states
-                pair, count = np.unique(code[at] * len(known) + code[at + 1], return_counts=True)
-                i, j = np.divmod(pair, len(known))
-                yield pa.RecordBatch.from_arrays([pa.array(known[i]), pa.array(known[j]), pa.array(count.astype(np.int64))], names=["i", "j", "a"])
+            held += [unpacked(states), np.zeros(1, np.int64)]
+            if sum(map(len, held)) >= POSITIONS:
+                yield np.concatenate(held)
+                held = []
+    if held:
+        yield np.concatenate(held)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each state is followed by each state."""
+    for state in _joined(batches):
+        at = np.flatnonzero((state[:-1] > 0) & (state[1:] > 0))
+        if len(at):
+            known, code = np.unique(state, return_inverse=True)  # the accepting states here
+            pair, count = np.unique(code[at] * len(known) + code[at + 1], return_counts=True)
+            i, j = np.divmod(pair, len(known))
+            yield pa.RecordBatch.from_arrays([pa.array(known[i]), pa.array(known[j]), pa.array(count.astype(np.int64))], names=["i", "j", "a"])
 
 
 def _mover(shared, k: int):
@@ -307,7 +319,7 @@ def levels(documents: DataFrame, least: int = LEAST, words: int = WORDS, shard:
     symbols(texts, out[0], shard).write.parquet(path)
     for k in range(1, words):
         blocks = spark.read.parquet(path)
-        summed = blocks.mapInArrow(_pairs, "i long, j long, a long").groupBy("i", "j").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+        summed = blocks.select("states").mapInArrow(_pairs, "i long, j long, a long").groupBy("i", "j").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
         pairs = numbered(written(summed, "pairs"), [], ["i", "j"], "at").withColumn("id", F.col("at") + 1).drop("at")
         out.append(written(_grown(pairs, out[-1]), "phrases"))
         if k + 1 < words:
