@@ -270,6 +270,15 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(known[i]), pa.array(known[j]), pa.array(count.astype(np.int64))], names=["i", "j", "a"])
 
 
+def _frequent_pairs(blocks: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """(i, j, a) of the state pairs that occur `least` times.  Both numbers travel as one: half the shuffle."""
+    width = (nodes.agg(F.max("id")).first()[0] or 0) + 1
+    whole = "long" if width**2 < 1 << 63 else "decimal(38,0)"
+    both = (F.col("i").cast(whole) * F.lit(width).cast(whole) + F.col("j")).cast(whole)
+    counted = blocks.select("states").mapInArrow(_pairs, "i long, j long, a long").groupBy(both.alias("both")).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    return counted.select(F.expr(f"CAST(both div {width}L AS LONG) AS i"), F.expr(f"CAST(both % {width}L AS LONG) AS j"), "a")
+
+
 def _mover(shared, k: int):
     """Next states of all positions by one shard of the trie, added to those of other shards."""
 
@@ -319,8 +328,7 @@ def levels(documents: DataFrame, least: int = LEAST, words: int = WORDS, shard:
     symbols(texts, out[0], shard).write.parquet(path)
     for k in range(1, words):
         blocks = spark.read.parquet(path)
-        summed = blocks.select("states").mapInArrow(_pairs, "i long, j long, a long").groupBy("i", "j").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
-        pairs = numbered(written(summed, "pairs"), [], ["i", "j"], "at").withColumn("id", F.col("at") + 1).drop("at")
+        pairs = numbered(written(_frequent_pairs(blocks, out[-1], least), "pairs"), [], ["i", "j"], "at").withColumn("id", F.col("at") + 1).drop("at")
         out.append(written(_grown(pairs, out[-1]), "phrases"))
         if k + 1 < words:
             older, path = path, shared_folder(spark, "blocks")
