@@ -571,12 +571,13 @@ register("scenario_report", f"""SELECT scenario_id, forecast_window_days, {money
 # --------------------------------------------------------------------------- model (exact parts)
 register("train_clean", "SELECT * REPLACE (greatest(COALESCE(target_future_revenue, 0.0), 0.0) AS target_future_revenue) "
                         "FROM fe_train WHERE target_future_revenue IS NOT NULL")
-register("regression_metrics", f"""SELECT count(*) AS rows, {bround('avg(abs(e))', 4)} AS mae,
-    {bround('sqrt(avg(e * e))', 4)} AS rmse,
-    {bround('CASE WHEN var_pop(y) * count(y) > 0 THEN 1.0 - sum(e * e) / (var_pop(y) * count(y)) ELSE 0.0 END', 4)} AS r2
+_HELD_OUT = "('0x' || substr(md5('42:' || forecast_id), 1, 8))::BIGINT % 100 >= 80"
+_METRICS = f"""count(*) AS rows, {bround('avg(abs(e))', 4)} AS mae, {bround('sqrt(avg(e * e))', 4)} AS rmse,
+    {bround('CASE WHEN var_pop(y) * count(y) > 0 THEN 1.0 - sum(e * e) / (var_pop(y) * count(y)) ELSE 0.0 END', 4)} AS r2"""
+register("regression_metrics", f"""SELECT {_METRICS}
     FROM (SELECT greatest(forecast_window_days * (0.5 * (hist_30d_revenue / 30) + 0.3 * (hist_90d_revenue / 90))
                  + 0.1 * future_budget, 0.0) - greatest(target_future_revenue, 0.0) AS e, greatest(target_future_revenue, 0.0) AS y
-          FROM fe_train WHERE target_future_revenue IS NOT NULL)""")
+          FROM fe_train WHERE target_future_revenue IS NOT NULL AND {_HELD_OUT})""")
 
 
 # --------------------------------------------------------------------------- helpers, discovery, model inputs
@@ -620,3 +621,44 @@ register("score_node_table", f"""SELECT {_PK},
         WHEN forecast_window_days <= 60 THEN -1.0 ELSE 2.0 END::DOUBLE
         + 0.25::DOUBLE * CASE WHEN forecast_window_days <= 30 THEN 0.125 ELSE -0.375 END::DOUBLE AS log_q50
     FROM fe_pred""")
+
+
+# the hand-made node table on training rows, and what it scores in each rolling window
+_LOG_Q10 = """4.0::DOUBLE + 0.25::DOUBLE * CASE WHEN COALESCE(hist_30d_revenue, 0) <= 30000 THEN 1.5
+    WHEN forecast_window_days <= 30 THEN -2.0 ELSE 0.75 END::DOUBLE + 0.25::DOUBLE * 0.5::DOUBLE"""
+_LOG_Q50 = """6.5::DOUBLE + 0.25::DOUBLE * CASE WHEN COALESCE(future_budget, 0) > 15000 THEN 3.25
+    WHEN forecast_window_days <= 60 THEN -1.0 ELSE 2.0 END::DOUBLE
+    + 0.25::DOUBLE * CASE WHEN forecast_window_days <= 30 THEN 0.125 ELSE -0.375 END::DOUBLE"""
+
+
+def split_point(percent):
+    return f"""(SELECT min(d) FROM (SELECT cutoff_date AS d, sum(count(*)) OVER (ORDER BY cutoff_date) AS upto,
+        sum(count(*)) OVER () AS total FROM fe_train WHERE cutoff_date IS NOT NULL AND target_future_revenue IS NOT NULL GROUP BY cutoff_date)
+        WHERE upto * 100 >= {percent} * total)"""
+
+
+_POINTS = [50, 60, 70, 80, 90, 100]
+_LOSS = ", ".join(f"{bround(f'avg(greatest({q} * (y - {c}), ({q} - 1) * (y - {c})))', 4)} AS pinball_{c}, "
+                  f"{bround(f'avg(CASE WHEN y <= {c} THEN 1.0 ELSE 0.0 END)', 4)} AS coverage_{c}" for c, q in [("q10", 0.1), ("q50", 0.5)])
+register("time_split", f"""SELECT forecast_id, COALESCE(cutoff_date <= {split_point(80).replace(' AND target_future_revenue IS NOT NULL', '')}, true) AS is_train
+    FROM fe_train""")
+register("rolling_metrics", "SELECT * FROM (WITH p AS (SELECT " + ", ".join(f"{split_point(k)} AS p{k}" for k in _POINTS) + f"""),
+    r AS (SELECT cutoff_date AS d, greatest(target_future_revenue, 0.0) AS y, exp({_LOG_Q10}) AS q10, exp({_LOG_Q50}) AS q50
+          FROM fe_train WHERE target_future_revenue IS NOT NULL),
+    f AS (""" + " UNION ALL ".join(f"SELECT {k}::INTEGER AS fold, p{a} AS train_until, y, q10, q50, q50 - y AS e FROM r, p WHERE d > p{a} AND d <= p{b}"
+                               for k, (a, b) in enumerate(zip(_POINTS, _POINTS[1:]))) + f""")
+    SELECT fold, train_until, {_METRICS}, {_LOSS} FROM f GROUP BY fold, train_until)""")
+
+# the dictionary, and prediction rows encoded by it
+_LABELS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c}::VARCHAR AS label FROM fe_train WHERE target_future_revenue IS NOT NULL" for c in _FEATURES[:5])
+_CODES = f"""SELECT column_name, label, count(*) AS rows,
+    row_number() OVER (PARTITION BY column_name ORDER BY label NULLS FIRST) - 1 AS code FROM ({_LABELS}) GROUP BY column_name, label"""
+register("label_codes", _CODES)
+_NUMERIC = _FEATURES[5:]
+_FIRST = {c: f"{len(_NUMERIC)} + " + (" + ".join(f"(SELECT count(*) FROM codes WHERE column_name = '{b}')" for b in _FEATURES[:i]) or "0") for i, c in enumerate(_FEATURES[:5])}
+register("encode_features", f"SELECT * FROM (WITH codes AS ({_CODES}), m AS (SELECT " + ", ".join(
+    f"avg(COALESCE({c}, 0)) AS m_{c}, stddev_pop(COALESCE({c}, 0)) AS d_{c}" for c in _NUMERIC)
+    + " FROM fe_train WHERE target_future_revenue IS NOT NULL) SELECT forecast_id, concat_ws(',', " + ", ".join(
+    f"(SELECT {_FIRST[c]} + code FROM codes WHERE column_name = '{c}' AND label IS NOT DISTINCT FROM fe_pred.{c})" for c in _FEATURES[:5])
+    + ") AS one_hot_slots, " + ", ".join(bround(f"(COALESCE({c}, 0) - m_{c}) / CASE WHEN d_{c} > 0 THEN d_{c} ELSE 1 END", 4) + f" AS {c}" for c in _NUMERIC)
+    + " FROM fe_pred, m)")

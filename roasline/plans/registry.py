@@ -436,8 +436,10 @@ def q_scenario_report(spark, sf_dir):
 
 # ----------------------------------------------------------------- model
 import pandas as pd  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
 
+from roasline.functions import round_half_even  # noqa: E402
+from roasline.functions.numbering import written  # noqa: E402
+from roasline.operators import encode as EN  # noqa: E402
 from roasline.operators import quantile as M  # noqa: E402
 from roasline.sources import fixtures as FX  # noqa: E402
 
@@ -456,6 +458,13 @@ def fitted(spark, sf_dir):
     return _MODELS[key]
 
 
+def node_table_walk(spark):
+    """The hand-made node table walked for each row."""
+    nodes = pd.DataFrame(FX.TREE_NODES, columns=FX.TREE_COLUMNS)
+    walk = M.tree_walker(spark, nodes, FX.TREE_START, FX.TREE_RATE, FX.TREE_DEPTH)
+    return walk(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FX.TREE_FEATURES]))
+
+
 @query("train_clean")
 def q_train_clean(spark, sf_dir):
     return M.train_clean(training(spark, sf_dir))
@@ -483,11 +492,47 @@ def q_holdout(spark, sf_dir):
     return t.select("forecast_id", M.holdout_split(t).alias("is_train"))
 
 
+@query("label_codes")
+def q_label_codes(spark, sf_dir):
+    """The dictionary of all categorical columns of the training set."""
+    return EN.label_codes(M.train_clean(training(spark, sf_dir)), M.CATEGORICAL_COLUMNS)
+
+
 @query("encode_features")
 def q_encode(spark, sf_dir):
+    """Every prediction row encoded by a dictionary and a scale of the training set."""
+    clean = written(M.train_clean(training(spark, sf_dir)), "encode-training")
+    _, cats, nums = M.feature_columns(clean)
+    codes, scale = EN.label_codes(clean, cats), EN.fit_scale(clean, nums)
+    out = EN.sparse_features(prediction(spark, sf_dir), codes, scale, cats, nums)
+    known = F.array_join(F.transform(F.slice("slots", len(nums) + 1, len(cats)), lambda x: x.cast("string")), ",")
+    scaled = [round_half_even(F.col("slot_values")[i], 4).alias(c) for i, c in enumerate(nums)]
+    return out.select("forecast_id", known.alias("one_hot_slots"), *scaled)
+
+
+@query("time_split")
+def q_time_split(spark, sf_dir):
+    return M.time_split(written(training(spark, sf_dir), "split-training")).select("forecast_id", "is_train")
+
+
+@query("rolling_metrics")
+def q_rolling_metrics(spark, sf_dir):
+    """Metrics of every rolling test window, of predictions by the hand-made node table."""
+    folds = M.rolling_windows(written(M.train_clean(training(spark, sf_dir)), "rolling-training"))
+    scored = folds.withColumn("s", node_table_walk(spark)).select(
+        "fold", "train_until", M.TARGET_COLUMN, F.exp("s._log_revenue_q10").alias("q10"), F.exp("s._log_revenue_q50").alias("q50"))
+    stored = written(scored, "rolling-predictions")
+    return M.quantile_metrics(stored, ["fold", "train_until"], M.TARGET_COLUMN, {"q10": ("q10", 0.1), "q50": ("q50", 0.5)}, "q50")
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """Hold-out rows only, scored by the fitted model."""
     model, _, _ = fitted(spark, sf_dir)
-    f = model.features(prediction(spark, sf_dir))
-    return f.select("forecast_id", vector_to_array("features").alias("features"))
+    t = training(spark, sf_dir)
+    scored = model.scorer(M.train_clean(t.where(~M.holdout_split(t))))
+    clipped = scored.withColumns({c: F.greatest(F.col(c), F.lit(0.0)) for c in M.RAW_NAMES.values()})
+    return M.quantile_metrics(clipped, ["forecast_window_days"], M.TARGET_COLUMN, {c: (c, M.QUANTILES[n]) for n, c in M.RAW_NAMES.items()}, "raw_q50")
 
 
 @query("fit_quantile_models")
@@ -505,10 +550,7 @@ def q_score(spark, sf_dir):
 @query("score_node_table")
 def q_score_nodes(spark, sf_dir):
     """Every prediction row walked through a hand-made node table."""
-    nodes = pd.DataFrame(FX.TREE_NODES, columns=FX.TREE_COLUMNS)
-    walk = M.tree_walker(spark, nodes, FX.TREE_START, FX.TREE_RATE, FX.TREE_DEPTH)
-    features = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FX.TREE_FEATURES])
-    scored = prediction(spark, sf_dir).withColumn("s", walk(features))
+    scored = prediction(spark, sf_dir).withColumn("s", node_table_walk(spark))
     return scored.select(*_PK, F.col("s._log_revenue_q10").alias("log_q10"), F.col("s._log_revenue_q50").alias("log_q50"))
 
 
@@ -520,7 +562,8 @@ def q_forecast_model(spark, sf_dir):
 
 @query("regression_metrics")
 def q_metrics(spark, sf_dir):
-    s = P.linear_rule_scorer(M.train_clean(training(spark, sf_dir)))
+    t = training(spark, sf_dir)
+    s = P.linear_rule_scorer(M.train_clean(t.where(~M.holdout_split(t))))
     s = s.withColumn("prediction", F.greatest(F.col("raw_q50"), F.lit(0.0)))
     return M.regression_metrics(s, M.TARGET_COLUMN, "prediction")
 

@@ -41,6 +41,17 @@ def get_spark(master: str | None = None, app: str = "roasline", **conf: str) ->
     return spark
 
 
+LIBRARY_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def tell_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library from where it lies, whatever folder the driver runs in."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if LIBRARY_ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([LIBRARY_ROOT, *filter(None, known)])
+
+
 def is_local(spark: SparkSession) -> bool:
     master = spark.sparkContext.master
     return master == "local" or master.startswith("local[")
