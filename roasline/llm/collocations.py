@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import remove_folder, shared_folder
 from .flat import column_bytes, slices
-from .numbering import numbered, written
+from ..functions.numbering import numbered, written
 from .spans import strings
 
 LEAST = 100

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .numbering import numbered, written
+from ..functions.numbering import numbered, written
 
 WAYS = 8
 LEVELS = 4

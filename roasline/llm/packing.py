@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .flat import U64, Words, column_bytes, mix, slices
 from .merges import Merges
-from .numbering import numbered, written
+from ..functions.numbering import numbered, written
 from .spans import strings
 
 LENGTH = 2048

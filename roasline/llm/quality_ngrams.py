@@ -1,22 +1,22 @@
 """Quality rules: hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Words and word pairs are hashed to 64 bits.  Two multinomials over the hashes are counted, one over
-every document (raw) and one over all trusted documents (target: quality 1 and not toxic); a
-document's score is the mean of ``log(p_target / p_raw)`` over its n-grams, and a document is kept
-when it passes the base rules and its score reaches the threshold.  The counts are a Spark table with
-a row for each distinct n-gram, summed map-side and joined back by hash, so the model grows with the
-corpus.  The ratio compares the target's count with the count expected from the raw corpus, both
-plus a prior that is a fixed share of the target's mass, so that it means the same at every size.
+Words and word pairs are hashed to 64 bits.  The target multinomial (quality 1 and not toxic) is fitted
+on at most `TRUSTED` trusted rows, a documented bound: its vocabulary is the n-grams that occur at least
+twice there, at most `VOCABULARY` of them, the most frequent ones; all other words are one class, all other pairs another.  The raw multinomial counts these classes over every n-gram of every document: each
+task adds up one array over the broadcast vocabulary and sends the counts that are not zero.  A
+document's score is the mean of ``log(p_target / p_raw)`` over its n-grams, in one pass; it is kept when
+it passes the base rules and its score reaches the threshold.  The n-grams that occur once in the
+target give the other classes their target mass, which is the usual estimate of what is unseen.
 
 One trusted document in `HELD_OUT` is no part of the target: the threshold is set where the scores of
-these and of the documents labelled bad part best.  Ratios are whole numbers of 2**-20, so sums do
-not depend on the order of rows.  At most `COMMON` n-grams, the most frequent, are broadcast: they are most of
-the text and would be the skewed keys of the join; all others are joined.
+these and of the documents labelled bad (at most `TRUSTED` of each) part best.  Ratios are whole numbers of 2**-20, so sums do
+not depend on the order of rows.
 
 Edge cases: a null or empty text has no words and fails the base rules; null ids never match a
 label and pass through; repeated rows are scored each; an empty corpus or no trusted rows gives
-equal multinomials, hence score 0 for every document; without labels of both kinds to part, the
-threshold is `THRESHOLD`; extra columns are carried by `select`.
+score 0 for every document; without labels of both kinds to part, the threshold is `THRESHOLD`;
+extra columns are carried, those named like a result column are replaced by it (`keep_good` returns
+all columns as they were); columns that begin with `__` are the operator's own.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .flat import RangeHash, U64, Words, column_bytes, mix, per_row, slices
+from ..functions.numbering import written
 
-COMMON = 1 << 18
+TRUSTED = 20_000
+VOCABULARY = 1 << 20
+LEAST = 2
 HELD_OUT = 5
 THRESHOLD = -0.12
 PRIOR_SHARE = 1e-6
@@ -46,10 +49,9 @@ FACT_SCHEMA = ", ".join(f"{name} long" for name in FACTS)
 
 @dataclass(frozen=True)
 class Model:
-    """log(p_target / p_raw) in units of 1 / SCALE: (gram, ratio) of all n-grams, and the common ones sorted by hash."""
+    """log(p_target / p_raw) in units of 1 / SCALE: of each n-gram hash of the sorted vocabulary, at the end of other words and of other pairs."""
 
-    grams: DataFrame | None
-    common: np.ndarray
+    vocabulary: np.ndarray
     ratio: np.ndarray
     threshold: float
 
@@ -121,15 +123,43 @@ def judged_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return by_id.select("id", F.when(F.col("good") & held, "held").when(F.col("good"), "trusted").otherwise("bad").alias("kind"))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _target_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             data, offsets = column_bytes(part.column("text"))
-            rows, grams, _ = _grams(Words(data, offsets), RangeHash(data))
-            mine = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-            found, place, raw = np.unique(grams, return_inverse=True, return_counts=True)
-            target = np.bincount(place[mine[rows]], minlength=len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(raw.astype(np.int64)), pa.array(target.astype(np.int64))], names=["gram", "raw", "target"])
+            _, grams, one = _grams(Words(data, offsets), RangeHash(data))
+            for size, own in ((1, grams[: len(one)]), (2, grams[len(one) :])):
+                found, n = np.unique(own, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64)), pa.array([size] * len(found), pa.int32())], names=["gram", "n", "size"])
+
+
+def _places(vocabulary: np.ndarray, grams: np.ndarray, words: int) -> np.ndarray:
+    """Where each n-gram stands in the vocabulary; one behind its end: another word, two: another pair.  The first `words` are words."""
+    other = np.where(np.arange(len(grams)) < words, len(vocabulary), len(vocabulary) + 1)
+    if not len(vocabulary):
+        return other
+    place = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
+    return np.where(vocabulary[place] == grams, place, other)
+
+
+def raw_counts(documents: DataFrame, vocabulary: np.ndarray, text_col: str = "text") -> np.ndarray:
+    """How often each n-gram of the vocabulary, and at the end any other word and pair, occurs in all documents.  At most a row for each of them reaches the driver."""
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)  # at most VOCABULARY numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(shared.value) + 2, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, offsets = column_bytes(part.column("text"))
+                _, grams, one = _grams(Words(data, offsets), RangeHash(data))
+                counts += np.bincount(_places(shared.value, grams, len(one)), minlength=len(counts))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts[found])], names=["place", "n"])
+
+    summed = documents.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(vocabulary) + 2, np.int64)
+    out[summed.column("place").to_numpy()] = summed.column("n").to_numpy()
+    return out
 
 
 def parting(scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
@@ -142,53 +172,58 @@ def parting(scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
     return float((scores[at] + scores[at + 1]) / 2)
 
 
-def fit(documents: DataFrame, labels: DataFrame, prior_share: float = PRIOR_SHARE, common: int = COMMON, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Count both multinomials and set the threshold.  The driver receives the `common` n-grams and a histogram of labelled scores."""
-    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = rows.join(judged_ids(labels, id_col), "id", "left")
-    counted = marked.select("text", F.coalesce(F.col("kind") == "trusted", F.lit(False)).alias("trusted"))
-    counts = counted.mapInArrow(_count, "gram long, raw long, target long").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).checkpoint()
-    total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
-    none = np.zeros(0, np.int64)
-    if not total.target:
-        return Model(None, none, np.zeros(0), THRESHOLD)
-    prior = prior_share * total.target
-    ratio = F.log((F.col("target") + prior) / (F.col("raw") * (total.target / total.raw) + prior))
-    grams = counts.select("gram", "raw", F.round(ratio * SCALE).cast("long").alias("ratio"))
-    # a sorted limit would send `common` rows of every task to the driver: ask from which count on they fit
-    steps = counts.groupBy(F.floor(F.log2("raw") * 8).alias("step")).agg(F.count("*").alias("n"), F.min("raw").alias("least")).orderBy(F.desc("step")).toPandas()
-    fits = steps["least"][steps["n"].cumsum() <= common]
-    top = grams.where(F.col("raw") >= int(fits.min())).select("gram", "ratio").toPandas().sort_values("gram") if len(fits) else grams.limit(0).toPandas()
-    model = Model(grams.select("gram", "ratio"), top["gram"].to_numpy(np.int64), top["ratio"].to_numpy(np.float64), THRESHOLD)
-    scored = score(marked.where("kind in ('held', 'bad')").select("kind", "text"), model).where("not base_failed")
-    seen = scored.groupBy(F.round("llr", 3).alias("at")).agg(F.count_if(F.col("kind") == "held").alias("good"), F.count_if(F.col("kind") == "bad").alias("bad")).orderBy("at").toPandas()
-    if not seen["good"].sum() or not seen["bad"].sum() or len(seen) < 2:
+def fit(documents: DataFrame, labels: DataFrame, prior_share: float = PRIOR_SHARE, trusted: int = TRUSTED, vocabulary: int = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Count both multinomials and set the threshold.  The driver receives the vocabulary's counts and a histogram of labelled scores."""
+    rows = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ids = judged_ids(labels, id_col)
+    chosen = [ids.where(F.col("kind") == kind).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(trusted) for kind in ("trusted", "held", "bad")]
+    judged = written(rows.join(F.broadcast(chosen[0].unionByName(chosen[1]).unionByName(chosen[2])), "id").select("kind", "text"), "judged")  # at most 3 * trusted ids
+    seen = judged.where("kind = 'trusted'").select("text").mapInArrow(_target_counts, "gram long, n long, size int").groupBy("gram", "size").agg(F.sum("n").alias("n"))
+    counted = written(seen, "target-grams")
+    mass = {r["size"]: r.n for r in counted.groupBy("size").agg(F.sum("n").alias("n")).collect()}
+    total = sum(mass.values())
+    if not total:
+        return Model(np.zeros(0, np.int64), np.zeros(2), THRESHOLD)
+    steps = counted.where(F.col("n") >= LEAST).groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(F.count("*").alias("grams"), F.min("n").alias("least")).orderBy(F.desc("step")).toPandas()
+    fits = steps["least"][steps["grams"].cumsum() <= vocabulary]  # a sorted limit would send as many rows from every task
+    table = counted.where(F.col("n") >= int(fits.min()) if len(fits) else F.lit(False)).toArrow()
+    gram, n, size = (table.column(c).to_numpy() for c in ("gram", "n", "size"))
+    order = np.argsort(gram)
+    gram, target = gram[order], np.append(n[order], [mass.get(k, 0) - n[size == k].sum() for k in (1, 2)]).astype(float)
+    raw = raw_counts(rows, gram)
+    prior = prior_share * total
+    ratio = np.log((target + prior) / (raw * (total / max(raw.sum(), 1)) + prior))
+    model = Model(gram, np.rint(ratio * SCALE), THRESHOLD)
+    scored = score(judged.where("kind <> 'trusted'"), model).where("not base_failed")
+    found = scored.groupBy(F.round("llr", 3).alias("at")).agg(F.count_if(F.col("kind") == "held").alias("good"), F.count_if(F.col("kind") == "bad").alias("bad")).orderBy("at").toPandas()
+    if not found["good"].sum() or not found["bad"].sum() or len(found) < 2:
         return model
-    return replace(model, threshold=parting(*(seen[c].to_numpy(float) for c in ("at", "good", "bad"))))
+    return replace(model, threshold=parting(*(found[c].to_numpy(float) for c in ("at", "good", "bad"))))
 
 
-def _rare(documents: DataFrame, model: Model) -> DataFrame:
-    """(_k, _mean): the mean ratio of the n-grams of each text (_k, text) that are not common; copies weigh alike."""
-    known = documents.sparkSession.sparkContext.broadcast(model.common)
+def _judged(documents: DataFrame, model: Model, carried: list[str], least: float, min_words: int, text_col: str) -> DataFrame:
+    """The `carried` columns of every row, then the base facts, base_failed, llr and kept; one pass."""
+    shared = documents.sparkSession.sparkContext.broadcast((model.vocabulary, model.ratio))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, ratio = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = column_bytes(part.column("text"))
-                rows, grams, _ = _grams(Words(data, offsets), RangeHash(data))
-                _, rare = _places(known.value, grams)
-                yield pa.RecordBatch.from_arrays([pa.array(part.column("_k").to_numpy()[rows[rare]]), pa.array(grams[rare])], names=["_k", "gram"])
-
-    found = documents.mapInArrow(run, "_k long, gram long").join(model.grams, "gram", "left")
-    return found.groupBy("_k").agg((F.sum(F.coalesce("ratio", F.lit(0)).cast("double")) / F.count("*")).alias("_mean"))
-
+            for part in slices(batch, "__text"):
+                data, offsets = column_bytes(part.column("__text"))
+                words, hashes = Words(data, offsets), RangeHash(data)
+                rows, grams, one = _grams(words, hashes)
+                total = np.bincount(rows, weights=ratio[_places(vocabulary, grams, len(one))], minlength=words.rows)
+                llr = total / np.maximum(np.bincount(rows, minlength=words.rows), 1) / SCALE
+                facts = _facts(data, offsets, words, hashes, one)
+                failed = (facts["n_words"] < min_words) | (100 * facts["n_repeat_words"] > 50 * facts["n_words"])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], *[pa.array(facts[c].astype(np.int64)) for c in FACTS], pa.array(failed), pa.array(llr), pa.array(~failed & (llr >= least))],
+                    names=[*carried, *FACTS, "base_failed", "llr", "kept"],
+                )
 
-def _places(common: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each n-gram stands among the common ones, and whether it is none of them."""
-    if not len(common):
-        return np.zeros(len(grams), np.int64), np.ones(len(grams), bool)
-    place = np.minimum(np.searchsorted(common, grams), len(common) - 1)
-    return place, common[place] != grams
+    kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in carried], FACT_SCHEMA, "base_failed boolean, llr double, kept boolean"])
+    return documents.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").alias("__text")).mapInArrow(judge, schema)
 
 
 def score(documents: DataFrame, model: Model, threshold: float | None = None, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
@@ -197,45 +232,12 @@ def score(documents: DataFrame, model: Model, threshold: float | None = None, mi
     Columns of `documents` that clash with the operator's own are replaced by them.
     """
     own = [*FACTS, "base_failed", "llr", "kept"]
-    inner = ["base_failed", "_grams", "_rare", "_part"]
     carried = [c for c in documents.columns if c not in own and c != text_col]
-    known = documents.sparkSession.sparkContext.broadcast((model.common, model.ratio))
-    least = model.threshold if threshold is None else threshold
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, ratio = known.value
-        for batch in batches:
-            for part in slices(batch, text_col):
-                data, offsets = column_bytes(part.column(text_col))
-                words, hashes = Words(data, offsets), RangeHash(data)
-                rows, grams, one = _grams(words, hashes)
-                place, rare = _places(common, grams)
-                total = np.bincount(rows[~rare], weights=ratio[place[~rare]], minlength=words.rows)
-                facts = _facts(data, offsets, words, hashes, one)
-                failed = (facts["n_words"] < min_words) | (100 * facts["n_repeat_words"] > 50 * facts["n_words"])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in [*carried, "_k"]]
-                    + [pa.array(facts[c].astype(np.int64)) for c in FACTS]
-                    + [pa.array(failed), pa.array(np.bincount(rows, minlength=words.rows)), pa.array(np.bincount(rows[rare], minlength=words.rows)), pa.array(total.astype(float))],
-                    names=[*carried, "_k", *FACTS, *inner],
-                )
-
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in carried] + ["_k long", FACT_SCHEMA, "base_failed boolean, _grams long, _rare long, _part double"])
-    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_k")
-    found = documents.select(*[F.col(f"`{c}`") for c in carried], text_col, key).mapInArrow(judge, schema)
-    if model.grams is None:
-        found = found.withColumn("_mean", F.lit(0.0))
-    else:
-        found = found.join(_rare(documents.select(key, F.col(f"`{text_col}`").alias("text")), model), "_k", "left")
-    sums = F.col("_part") + F.col("_rare") * F.coalesce("_mean", F.lit(0.0))
-    found = found.withColumn("llr", sums / F.greatest("_grams", F.lit(1)) / SCALE)
-    return found.select(*[F.col(f"`{c}`") for c in carried], *FACTS, "base_failed", "llr", (~F.col("base_failed") & (F.col("llr") >= least)).alias("kept"))
+    return _judged(documents, model, carried, model.threshold if threshold is None else threshold, min_words, text_col)
 
 
 def keep_good(documents: DataFrame, model: Model, threshold: float | None = None, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
-    """The rows of `documents` that the rules keep, unchanged."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    scored = score(documents.select(F.xxhash64(text).alias("_text"), text_col), model, threshold, min_words, text_col)
-    good = scored.where("kept").select("_text").distinct()
-    return documents.join(good, F.xxhash64(text) == F.col("_text"), "left_semi")
+    """The rows of `documents` that the rules keep, with all their columns unchanged."""
+    names = [f"__{n}" for n in range(len(documents.columns))]
+    judged = _judged(documents.toDF(*names), model, names, model.threshold if threshold is None else threshold, min_words, names[documents.columns.index(text_col)])
+    return judged.where("kept").select(*names).toDF(*documents.columns)

@@ -168,6 +168,29 @@ def test_quality_facts(spark, texts):
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept)
 
 
+def test_quality_ratio_by_hand(spark, texts):
+    """llr from plain counts of words and pairs: target n-grams seen twice, other words and other pairs as one class each."""
+    from collections import Counter
+
+    from roasline.llm import quality_ngrams
+
+    grams = lambda text: [(w,) for w in WORD.findall(text)] + list(zip(WORD.findall(text), WORD.findall(text)[1:]))
+    kinds = {r.id: r.kind for r in quality_ngrams.judged_ids(spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    target = Counter(g for i, k in kinds.items() if k == "trusted" and i in texts for g in grams(texts[i].text))
+    known = {g for g, n in target.items() if n >= 2}
+    of = lambda g: g if g in known else len(g)
+    t, raw = Counter(), Counter()
+    for g, n in target.items():
+        t[of(g)] += n
+    for r in texts.values():
+        raw.update(map(of, grams(r.text)))
+    total, mass, prior = sum(t.values()), sum(raw.values()), quality_ngrams.PRIOR_SHARE * sum(t.values())
+    ratio = {c: np.log((t[c] + prior) / (raw[c] * total / mass + prior)) for c in {*t, *raw}}
+    for r in rows(spark, "op10_ngram_quality"):
+        own = [ratio[of(g)] for g in grams(texts[r.doc_id].text)]
+        assert r.llr == pytest.approx(sum(own) / max(len(own), 1), abs=1e-5)
+
+
 def test_quality_on_held_out_labels(spark):
     """Trained on half of the good labels at sf0.1, junk and held-out good documents part."""
     from roasline.llm import quality_ngrams
