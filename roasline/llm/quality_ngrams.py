@@ -34,6 +34,7 @@ from ..functions.numbering import written
 TRUSTED = 20_000
 VOCABULARY = 1 << 20
 LEAST = 2
+SLICE = 1 << 19
 HELD_OUT = 5
 THRESHOLD = -0.12
 PRIOR_SHARE = 1e-6
@@ -125,7 +126,7 @@ def judged_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def _target_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             data, offsets = column_bytes(part.column("text"))
             _, grams, one = _grams(Words(data, offsets), RangeHash(data))
             for size, own in ((1, grams[: len(one)]), (2, grams[len(one) :])):
@@ -149,7 +150,7 @@ def raw_counts(documents: DataFrame, vocabulary: np.ndarray, text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(shared.value) + 2, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 data, offsets = column_bytes(part.column("text"))
                 _, grams, one = _grams(Words(data, offsets), RangeHash(data))
                 counts += np.bincount(_places(shared.value, grams, len(one)), minlength=len(counts))
@@ -208,7 +209,7 @@ def _judged(documents: DataFrame, model: Model, carried: list[str], least: float
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, ratio = shared.value
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SLICE):
                 data, offsets = column_bytes(part.column("__text"))
                 words, hashes = Words(data, offsets), RangeHash(data)
                 rows, grams, one = _grams(words, hashes)
