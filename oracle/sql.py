@@ -404,9 +404,18 @@ SCENARIO_SQL_NAME = "Google Ads: +20% | Meta Ads: -10% | Microsoft Ads: +0%"
 _case = " ".join(f"WHEN '{c}' THEN {m}" for c, m in SCENARIO_SQL_MULT.items())
 cte("sn_pred0", f"""SELECT *, CASE WHEN scenario_id = 0 THEN 1.0 ELSE COALESCE(CASE channel {_case} END, 1.0) END::DOUBLE
     AS budget_multiplier FROM (SELECT *, unnest([0, 1]) AS scenario_id FROM fe_pred)""")
-cte("sn_pred", f"""SELECT * REPLACE (fb AS future_budget, {sdiv('fb', 'forecast_window_days')} AS future_budget_per_day)
-    FROM (SELECT *, future_budget * budget_multiplier AS fb FROM sn_pred0)""")
-fc_chain("sn", "sn_pred", extra=("scenario_id",))
+cte("cat_tab", """SELECT c_nationkey + 1 AS scenario_id, c_custkey % 3 AS position,
+    CASE c_custkey % 3 WHEN 0 THEN 'Google Ads' WHEN 1 THEN 'Microsoft Ads' ELSE 'Meta Ads' END AS channel,
+    (sum(c_custkey) % 101 + 50)::DOUBLE / 100 AS multiplier FROM customer GROUP BY ALL""")
+cte("cat_names", """SELECT scenario_id, string_agg(channel || ': ' || CASE WHEN multiplier >= 1 THEN '+' ELSE '' END
+    || round((multiplier - 1) * 100)::BIGINT || '%', ' | ' ORDER BY position) AS scenario_name FROM cat_tab GROUP BY ALL""")
+cte("cat_pred0", """SELECT p.*, i.scenario_id::INTEGER AS scenario_id, COALESCE(t.multiplier, 1.0) AS budget_multiplier
+    FROM fe_pred p, (SELECT DISTINCT scenario_id FROM cat_tab UNION ALL SELECT 0) i
+    LEFT JOIN cat_tab t ON t.scenario_id = i.scenario_id AND t.channel = p.channel""")
+for _p in ("sn", "cat"):
+    cte(f"{_p}_pred", f"""SELECT * REPLACE (fb AS future_budget, {sdiv('fb', 'forecast_window_days')} AS future_budget_per_day)
+    FROM (SELECT *, future_budget * budget_multiplier AS fb FROM {_p}_pred0)""")
+    fc_chain(_p, f"{_p}_pred", extra=("scenario_id",))
 
 _CK = ["forecast_level", "channel", "campaign_type", "campaign_id", "campaign_name", "forecast_window_days"]
 _CMP = [("future_budget", "budget"), ("revenue_expected", "revenue_expected"), ("revenue_low", "revenue_low"),
@@ -416,10 +425,6 @@ _SN_ROUND = ["baseline_budget", "scenario_budget", "budget_change", "budget_chan
              "baseline_revenue_expected", "scenario_revenue_expected", "revenue_change", "revenue_change_percent",
              "baseline_roas_expected", "scenario_roas_expected", "roas_change",
              "baseline_confidence_score", "scenario_confidence_score"]
-cte("sn_join", f"""SELECT s.scenario_id, {', '.join('s.' + k for k in _CK)},
-    {', '.join(f'b.{c} AS baseline_{n}' for c, n in _CMP)}, {', '.join(f's.{c} AS scenario_{n}' for c, n in _CMP)}
-    FROM (SELECT * FROM sn_table WHERE scenario_id <> 0) s
-    JOIN (SELECT * FROM sn_table WHERE scenario_id = 0) b ON {' AND '.join(f's.{k} IS NOT DISTINCT FROM b.{k}' for k in _CK)}""")
 _subj = """CASE WHEN forecast_level = 'blended' THEN 'overall marketing performance'
     WHEN forecast_level = 'channel' THEN COALESCE(channel, 'nan')
     WHEN forecast_level = 'campaign_type' THEN COALESCE(channel, 'nan') || ' ' || COALESCE(campaign_type, 'nan')
@@ -428,21 +433,30 @@ _act = """CASE WHEN revenue_change > 0 AND roas_change >= 0 THEN 'This scenario
     WHEN revenue_change > 0 AND roas_change < 0 THEN 'This scenario may increase revenue, but efficiency may reduce because ROAS is expected to decline.'
     WHEN revenue_change <= 0 AND roas_change > 0 THEN 'This scenario may improve efficiency, but revenue growth may be limited.'
     ELSE 'This scenario is not attractive because both revenue and efficiency may weaken.' END"""
-cte("sn_delta", f"""SELECT *, {sdiv('budget_change', 'baseline_budget')} * 100 AS budget_change_percent,
+for _p, _name in (("sn", f"'{SCENARIO_SQL_NAME}'"), ("cat", "(SELECT scenario_name FROM cat_names n WHERE n.scenario_id = cat_cmp0.scenario_id)")):
+    cte(f"{_p}_join", f"""SELECT s.scenario_id, {', '.join('s.' + k for k in _CK)},
+    {', '.join(f'b.{c} AS baseline_{n}' for c, n in _CMP)}, {', '.join(f's.{c} AS scenario_{n}' for c, n in _CMP)}
+    FROM (SELECT * FROM {_p}_table WHERE scenario_id <> 0) s
+    JOIN (SELECT * FROM {_p}_table WHERE scenario_id = 0) b ON {' AND '.join(f's.{k} IS NOT DISTINCT FROM b.{k}' for k in _CK)}""")
+    cte(f"{_p}_delta", f"""SELECT *, {sdiv('budget_change', 'baseline_budget')} * 100 AS budget_change_percent,
     {sdiv('revenue_change', 'baseline_revenue_expected')} * 100 AS revenue_change_percent
     FROM (SELECT *, scenario_budget - baseline_budget AS budget_change,
       scenario_revenue_expected - baseline_revenue_expected AS revenue_change,
-      scenario_roas_expected - baseline_roas_expected AS roas_change FROM sn_join)""")
-cte("sn_cmp0", f"""SELECT *, 'For the next ' || forecast_window_days::INTEGER || ' days, ' || {_subj} ||
+      scenario_roas_expected - baseline_roas_expected AS roas_change FROM {_p}_join)""")
+    cte(f"{_p}_cmp0", f"""SELECT *, 'For the next ' || forecast_window_days::INTEGER || ' days, ' || {_subj} ||
     ' is expected to change revenue by ' || {fmt2('revenue_change')} || ' (' || {fmt2('revenue_change_percent')} ||
     '%). Expected scenario ROAS is ' || {fmt2('scenario_roas_expected')} || '. Risk level is ' ||
-    COALESCE(scenario_risk_level, 'nan') || '. ' || {_act} AS scenario_recommendation FROM sn_delta""")
-cte("sn_cmp", f"""SELECT * REPLACE ({', '.join(f"{bround('COALESCE(' + c + ', 0)', 4)} AS {c}" for c in _SN_ROUND)}),
-    '{SCENARIO_SQL_NAME}' AS scenario_name FROM sn_cmp0""")
+    COALESCE(scenario_risk_level, 'nan') || '. ' || {_act} AS scenario_recommendation FROM {_p}_delta""")
+    cte(f"{_p}_cmp", f"""SELECT * REPLACE ({', '.join(f"{bround('COALESCE(' + c + ', 0)', 4)} AS {c}" for c in _SN_ROUND)}),
+    {_name} AS scenario_name FROM {_p}_cmp0""")
 
 register("scenario_budget", f"""SELECT {KS}, forecast_window_days, scenario_id, budget_multiplier, future_budget,
     future_budget_per_day FROM sn_pred""")
 register("scenario_forecast", "SELECT * FROM sn_table")
+register("scenario_catalogue_budget", f"""SELECT {KS}, forecast_window_days, scenario_id, budget_multiplier, future_budget,
+    future_budget_per_day FROM cat_pred""")
+register("scenario_catalogue_names", "SELECT scenario_id::INTEGER AS scenario_id, scenario_name FROM cat_names")
+register("scenario_catalogue_comparison", "SELECT * FROM cat_cmp")
 register("scenario_join", f"""SELECT scenario_id, {', '.join(_CK)},
     {', '.join(f'baseline_{n}' for _, n in _CMP)}, {', '.join(f'scenario_{n}' for _, n in _CMP)} FROM sn_cmp""")
 register("scenario_deltas", f"""SELECT scenario_id, {', '.join(_CK)}, budget_change, budget_change_percent,
@@ -556,6 +570,14 @@ register("window_scaling", window_top(
     "forecast_level = 'campaign' AND risk_level = 'Low' AND roas_expected >= 3 AND confidence_score >= 65",
     "roas_expected DESC, revenue_expected DESC, channel, campaign_id, campaign_name", 30, _WC))
 register("scenario_contract", "SELECT * FROM sn_cmp")
+register("scenario_contract_text", """SELECT * REPLACE (CASE WHEN forecast_level = 'channel' THEN 0 ELSE baseline_budget END AS baseline_budget,
+    CASE WHEN forecast_window_days = 60 THEN 0 ELSE revenue_change END AS revenue_change,
+    CASE WHEN channel = 'Meta Ads' THEN 0 ELSE roas_change END AS roas_change,
+    CASE WHEN forecast_level = 'blended' THEN 0 ELSE scenario_budget END AS scenario_budget) FROM sn_cmp""")
+register("forecast_contract_text", """SELECT * REPLACE (CASE WHEN forecast_level = 'channel' THEN 0 ELSE future_budget END AS future_budget,
+    CASE WHEN forecast_window_days = 60 THEN 0 ELSE revenue_low END AS revenue_low,
+    CASE WHEN channel = 'Meta Ads' THEN 0 ELSE roas_expected END AS roas_expected,
+    CASE WHEN forecast_level = 'blended' THEN 'Unknown' ELSE channel END AS channel) FROM fx""")
 register("scenario_report", f"""SELECT scenario_id, forecast_window_days, {money('baseline_budget')} AS baseline_budget,
     {money('scenario_budget')} AS scenario_budget,
     {money('budget_change')} || ' (' || {fmt2('budget_change_percent')} || '%)' AS budget_change,

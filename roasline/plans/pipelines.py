@@ -47,7 +47,7 @@ def train(unified: DataFrame, params: M.QuantileBoostingParams | None = None, mo
     return model, n_train, n_test
 
 
-def scenarios(unified: DataFrame, plans: B.Scenarios, scorer: P.Scorer) -> DataFrame:
+def scenarios(unified: DataFrame, plans: B.Scenarios | DataFrame, scorer: P.Scorer) -> DataFrame:
     prediction = FE.prediction_set(N.dated_rows(unified), check_empty=True).cache()
     return B.run_scenarios(prediction, plans, scorer)
 

@@ -333,6 +333,30 @@ def q_scenario_blended(spark, sf_dir):
     return B.blended_impact(comparison(spark, sf_dir))
 
 
+def scenario_catalogue(spark, sf_dir):
+    """A catalogue of budget plans as data: one scenario per nation of the customers, channels it has no customers for left out."""
+    channel = F.element_at(F.array(F.lit("Google Ads"), F.lit("Microsoft Ads"), F.lit("Meta Ads")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return (spark.read.parquet(f"{sf_dir}/customer.parquet")
+            .groupBy((F.col("c_nationkey") + 1).cast("int").alias("scenario_id"), (F.col("c_custkey") % 3).cast("int").alias("position"), channel.alias("channel"))
+            .agg(((F.sum("c_custkey") % 101 + 50).cast("double") / 100).alias("multiplier")))
+
+
+@query("scenario_catalogue_budget")
+def q_catalogue_budget(spark, sf_dir):
+    return B.scenario_budgets(prediction(spark, sf_dir), scenario_catalogue(spark, sf_dir)).select(
+        *_PK, "scenario_id", "budget_multiplier", "future_budget", "future_budget_per_day")
+
+
+@query("scenario_catalogue_names")
+def q_catalogue_names(spark, sf_dir):
+    return B.scenario_names(scenario_catalogue(spark, sf_dir))
+
+
+@query("scenario_catalogue_comparison")
+def q_catalogue_comparison(spark, sf_dir):
+    return B.run_scenarios(prediction(spark, sf_dir), scenario_catalogue(spark, sf_dir), P.linear_rule_scorer)
+
+
 # ----------------------------------------------------------------- contracts, insights
 from roasline.operators import insights as E  # noqa: E402
 
@@ -354,6 +378,25 @@ def q_scenario_contract(spark, sf_dir):
     return E.scenario_contract(comparison(spark, sf_dir))
 
 
+def stored_as_text(df, planted):
+    """``df`` as a text file would give it back: numbers as text, with ``planted`` {column: (condition, text)} instead."""
+    return df.withColumns({c: F.when(F.expr(where), F.lit(text)).otherwise(F.col(c).cast("string")) for c, (where, text) in planted.items()})
+
+
+@query("scenario_contract_text")
+def q_scenario_contract_text(spark, sf_dir):
+    return E.scenario_contract(stored_as_text(comparison(spark, sf_dir), {
+        "baseline_budget": ("forecast_level = 'channel'", "n/a"), "revenue_change": ("forecast_window_days = 60", None),
+        "roas_change": ("channel = 'Meta Ads'", ""), "scenario_budget": ("forecast_level = 'blended'", "NaN")}))
+
+
+@query("forecast_contract_text")
+def q_forecast_contract_text(spark, sf_dir):
+    return E.forecast_contract(stored_as_text(forecast_tbl(spark, sf_dir), {
+        "future_budget": ("forecast_level = 'channel'", "unknown"), "revenue_low": ("forecast_window_days = 60", None),
+        "roas_expected": ("channel = 'Meta Ads'", ""), "channel": ("forecast_level = 'blended'", None)}))
+
+
 @query("level_window_slice")
 def q_level_window(spark, sf_dir):
     return E.level_window_slice(fx(spark, sf_dir), "campaign", 30)

@@ -91,3 +91,39 @@ def test_explanations_actions_priority(spark):
     assert [g[1] for g in got[4:8]] == [E.ACT_MEDIUM_SCALE, E.ACT_MEDIUM, E.ACT_LOW_SCALE, E.ACT_LOW]
     assert [g[2] for g in got] == [1, 1, 1, 1, 2, 2, 3, 3, 1]
     assert got[8][3] == 1.0 and got[7][3] == 2.0
+
+
+def test_scenarios_from_a_table(spark):
+    rows = [("1", "Google Ads", 100.0, 30), ("2", "Meta Ads", 50.0, 30), ("3", None, 10.0, 60)]
+    prediction = spark.createDataFrame(rows, "campaign_id string, channel string, future_budget double, forecast_window_days int")
+    table = spark.createDataFrame(
+        [(7, 0, "Google Ads", 1.5), (7, 0, "Meta Ads", None), (8, 0, "Meta Ads", 3.0), (8, 1, "Meta Ads", 2.0),
+         (9, 0, None, None), (None, 0, "Google Ads", 9.0)], B.SCENARIO_SCHEMA)
+    got = {(r.scenario_id, r.campaign_id): (r.budget_multiplier, r.future_budget, r.future_budget_per_day)
+           for r in B.scenario_budgets(prediction, table).collect()}
+    assert len(got) == 4 * 3
+    assert got[7, "1"] == (1.5, 150.0, 5.0) and got[7, "2"][0] == 1.0 and got[8, "2"] == (2.0, 100.0, 100.0 / 30)
+    assert all(got[i, c][0] == 1.0 for i, c in got if i in (0, 9) or c == "3")
+    names = {r.scenario_id: r.scenario_name for r in B.scenario_names(table).collect()}
+    assert names == {7: "Google Ads: +50% | Meta Ads: +0%", 8: "Meta Ads: +100%", 9: ""}
+    assert B.scenario_budgets(prediction, table.limit(0)).count() == 3
+    assert B.scenario_budgets(prediction.limit(0), table).count() == 0
+
+
+def test_ten_thousand_scenarios(spark):
+    rows = [("1", "Google Ads", 100.0, 30), ("2", "Meta Ads", 50.0, 30)]
+    prediction = spark.createDataFrame(rows, "campaign_id string, channel string, future_budget double, forecast_window_days int")
+    channel = F.element_at(F.array(F.lit("Google Ads"), F.lit("Meta Ads")), (F.col("n") + 1).cast("int"))
+
+    def plans(many):
+        return spark.range(1, many + 1).select(F.col("id").cast("int").alias("scenario_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n")).select(
+            "scenario_id", F.col("n").alias("position"), channel.alias("channel"), (F.col("scenario_id") / 1000 + F.col("n")).alias("multiplier"))
+
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+    out = B.scenario_budgets(prediction, plans(10_000))
+    wrong = out.where(F.col("budget_multiplier") != F.when(F.col("scenario_id") == 0, 1.0).otherwise(
+        F.col("scenario_id") / 1000 + F.when(F.col("channel") == "Meta Ads", 1).otherwise(0)))
+    assert out.count() == 2 * 10_001 and out.distinct().count() == 2 * 10_001 and wrong.count() == 0
+    assert size(out) < size(B.scenario_budgets(prediction, plans(3))) + 200
