@@ -620,6 +620,14 @@ register("rate_metrics", """SELECT channel, campaign_id, date, daily_budget, spe
     COALESCE(clicks / NULLIF(impressions, 0), 0) AS ctr, COALESCE(spend / NULLIF(clicks, 0), 0) AS cpc,
     COALESCE(spend / NULLIF(impressions, 0), 0) * 1000 AS cpm, COALESCE(conversions / NULLIF(clicks, 0), 0) AS conversion_rate,
     COALESCE(revenue / NULLIF(spend, 0), 0) AS roas FROM unified""")
+_GOOGLE = ["campaign_id", "campaign_name", "segments_date", "campaign_advertising_channel_type", "campaign_budget_amount",
+           "metrics_cost_micros", "metrics_clicks", "metrics_impressions", "metrics_conversions", "metrics_conversions_value"]
+_FAULT = "metrics_impressions::INTEGER % 10"
+register("csv_rows", f"""SELECT * REPLACE (CASE WHEN {_FAULT} = 4 THEN 'a "' || campaign_name || '"' ELSE campaign_name END AS campaign_name)
+    FROM raw_google WHERE {_FAULT} > 2""")
+register("csv_quarantine", f"""SELECT {" || ',' || ".join(f"COALESCE({c}, '')" for c in _GOOGLE[:-1])} ||
+    CASE {_FAULT} WHEN 0 THEN '' WHEN 1 THEN ',' || metrics_conversions_value || ',more' ELSE ',"' || metrics_conversions_value END AS line
+    FROM raw_google WHERE {_FAULT} <= 2""")
 register("source_discovery", """SELECT stem || m || '.csv' AS file_name, platform
     FROM (SELECT DISTINCT strftime(o_orderdate::DATE, '%Y-%m') AS m FROM orders),
          (VALUES ('google_ads_', 'google'), ('MS_Ads-', 'bing'), ('Facebook ', 'meta')) AS v(stem, platform)""")

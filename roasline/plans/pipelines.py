@@ -27,6 +27,12 @@ def unified_from_dir(spark: SparkSession, data_dir: str, **options) -> DataFrame
     return N.normalize_all(S.load_exports(spark, data_dir), **options)
 
 
+def quarantine(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
+    """Lines that ``unified_from_dir`` leaves out and the counts of every file, to be written beside its forecast."""
+    files = [path for paths in S.export_files(spark, data_dir).values() for path in paths]
+    return {"quarantine": S.quarantined(spark, files), "quarantine_counts": S.quarantine_counts(spark, files)}
+
+
 def audit(unified: DataFrame) -> dict[str, DataFrame]:
     return {"report": Q.quality_report(unified), "profile": Q.quality_profile(unified)}
 

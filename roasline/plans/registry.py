@@ -130,6 +130,30 @@ def q_source_discovery(spark, sf_dir):
     return S.platform_of(names, "file_name").where(F.col("platform").isNotNull())
 
 
+def export_lines(spark, sf_dir):
+    """CSV lines of the Google export with planted faults: a field too few, one too many, quotes never closed, quotes well used."""
+    raw = raw_exports(spark, sf_dir)["google"]
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in raw.columns]
+    name = raw.columns.index("campaign_name")
+    fault = F.col("metrics_impressions").cast("int") % 10
+    fields[name] = F.when(fault == 3, F.concat(F.lit('"'), fields[name], F.lit('"'))).when(fault == 4, F.concat(F.lit('"a ""'), fields[name], F.lit('"""'))).otherwise(fields[name])
+    last = F.when(fault == 0, F.lit("")).when(fault == 1, F.concat(F.lit(","), fields[-1], F.lit(",more"))).when(
+        fault == 2, F.concat(F.lit(',"'), fields[-1])).otherwise(F.concat(F.lit(","), fields[-1]))
+    return raw.select(F.concat(F.concat_ws(",", *fields[:-1]), last).alias("value")), tuple(raw.columns)
+
+
+@query("csv_rows")
+def q_csv_rows(spark, sf_dir):
+    rows = S.parse_lines(*export_lines(spark, sf_dir))
+    return rows.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT)
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    rows = S.parse_lines(*export_lines(spark, sf_dir))
+    return rows.where(F.col(S.CORRUPT).isNotNull()).select(F.col(S.CORRUPT).alias("line"))
+
+
 @query("dataset_summary")
 def q_dataset_summary(spark, sf_dir):
     return S.dataset_summary(raw_exports(spark, sf_dir))

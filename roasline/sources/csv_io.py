@@ -58,8 +58,8 @@ def platform_of(files: DataFrame, name: str, keywords: dict[str, tuple[str, ...]
     return files.withColumn("platform", F.when(F.size(claims) > 1, two).otherwise(F.try_element_at(claims, F.lit(1))))
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The column names in the first line of one CSV file."""
+def header_line(spark: SparkSession, path: str) -> str:
+    """The first line of one file, without a byte order mark."""
     jvm = spark.sparkContext._jvm
     file = jvm.org.apache.hadoop.fs.Path(path)
     stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
@@ -67,30 +67,94 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
-    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
+    return (line or "").lstrip("\ufeff")
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in the first line of one CSV file."""
+    return tuple(next(csv.reader([header_line(spark, path)]), ()))
 
 
 def text_schema(columns: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_exports(spark: SparkSession, files: list[str]) -> DataFrame:
-    """One DataFrame of all ``files``, columns matched by header name; every column is text.
+# Columns of a scan beside the file's own: the line as it stands where it can't be read, and its file.
+CORRUPT, FILE = "_corrupt_line", "_file"
+# A field in quotes (quotes inside it doubled), or one that does not begin with a quote; and a line of such fields.
+FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|(?!")[^,]*+)'
+CLOSED_LINE = f"^{FIELD}(?:,{FIELD})*+$"
 
-    Files with the same header are one scan; scans are united by name, a column that a file lacks
-    is NULL there.  ``enforceSchema=false`` makes a scan fail when a header is not the one it was
-    planned for.  Typing happens in the normalisers with lenient casts.
+
+def parse_lines(lines: DataFrame, header: tuple[str, ...], value: str = "value") -> DataFrame:
+    """``lines`` with the text ``value`` parsed to the columns of ``header``, and ``CORRUPT``; other columns are kept.
+
+    ``CORRUPT`` is the whole line where it has fewer or more fields than the header or leaves a
+    quoted field open, else NULL.  A quote inside a quoted field is doubled.
+    """
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*header, CORRUPT))
+    line = F.col(f"`{value}`")
+    row = F.from_csv(line, ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'})
+    # the parser closes a last field itself; an odd number of quotes is the cheap sign of one
+    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
+    still_open = F.col(f"_row.{CORRUPT}").isNull() & (quotes % 2 == 1) & ~line.rlike(CLOSED_LINE)
+    corrupt = F.when(still_open, line).otherwise(F.col(f"_row.{CORRUPT}"))
+    kept = [F.col(f"`{c}`") for c in lines.columns if c != value]
+    return lines.withColumn("_row", row).select(*[F.col("_row").getField(c).alias(c) for c in header], corrupt.alias(CORRUPT), *kept)
+
+
+def scan_layouts(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], DataFrame]:
+    """One scan for each header among ``files``, with ``CORRUPT`` and ``FILE`` beside its text columns.
+
+    An export has one row a line, so files are split between tasks; a quoted line break is an open
+    quote here (``parse_lines``).  Blank lines are no
+    rows, and a line equal to the header is a header wherever it stands (exports put one after another).
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[str, ...], tuple[list[str], set[str]]] = {}
     for path in files:
-        if header := header_of(spark, path):
-            groups.setdefault(header, []).append(path)
+        line = header_line(spark, path)
+        if header := tuple(next(csv.reader([line]), ())):
+            paths, lines = groups.setdefault(header, ([], set()))
+            paths.append(path)
+            lines.add(line)
     if not groups:
         raise ValueError(f"no header in {files}")
-    scans = [spark.read.schema(text_schema(h)).option("header", True).option("enforceSchema", False).csv(paths) for h, paths in sorted(groups.items())]
+    scans = {}
+    for header, (paths, lines) in sorted(groups.items()):
+        if taken := {CORRUPT, FILE} & set(header):
+            raise ValueError(f"{sorted(taken)} is a reserved column name; found in {paths[0]}")
+        text = spark.read.text(paths).where((F.trim("value") != "") & ~F.col("value").isin(*sorted(lines)))
+        scans[header] = parse_lines(text.select("value", F.col("_metadata.file_path").alias(FILE)), header)
+    return scans
+
+
+def _united(scans: list[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
 
 
+def read_exports(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One DataFrame of the readable rows of all ``files``, columns matched by header name; every column is text.
+
+    Files with the same header are one scan; scans are united by name, a column that a file lacks
+    is NULL there.  Lines that can't be read are left out here; ``quarantined`` has them.  Typing
+    happens in the normalisers with lenient casts.
+    """
+    return _united([scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT, FILE) for scan in scan_layouts(spark, files).values()])
+
+
+def quarantined(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, n_fields, line): every line that ``read_exports`` leaves out, as it stands; n_fields is its header's."""
+    return _united([
+        scan.where(F.col(CORRUPT).isNotNull()).select(F.col(FILE).alias("file"), F.lit(len(header)).alias("n_fields"), F.col(CORRUPT).alias("line"))
+        for header, scan in scan_layouts(spark, files).items()])
+
+
+def quarantine_counts(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, rows, bad_rows) of every file with a data line, from one pass."""
+    marks = [scan.select(F.col(FILE).alias("file"), F.col(CORRUPT).alias("line")) for scan in scan_layouts(spark, files).values()]
+    return _united(marks).groupBy("file").agg(F.count("*").alias("rows"), F.count("line").alias("bad_rows"))
+
+
 def load_exports(spark: SparkSession, data_dir: str | None = None,
                  paths: dict[str, list[str] | str] | None = None) -> dict[str, DataFrame]:
     """``{google, bing, meta}`` DataFrames: all files of a folder, or the files given for each platform."""

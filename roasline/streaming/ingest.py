@@ -28,7 +28,7 @@ def read_export_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     headers = {h for h in (header_of(spark, f) for f in files) if h}
     if len(headers) != 1:
         raise ValueError(f"{path} needs files of one header, it has {len(headers)}")
-    reader = spark.readStream.schema(text_schema(headers.pop())).option("header", True).option("enforceSchema", False).option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.schema(text_schema(headers.pop())).option("header", True).option("enforceSchema", False).option("escape", "\"").option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

@@ -75,3 +75,26 @@ def test_parquet_sink_round_trip(spark):
     S.write_table(u, f"{d}/unified", partition_by=["channel"])
     back = spark.read.parquet(f"{d}/unified").select(*u.columns)
     assert _sorted_rows(back) == _sorted_rows(u)
+
+
+def test_unreadable_lines_are_set_apart(spark):
+    d = tempfile.mkdtemp(prefix="roasline-src-", dir=os.environ.get("TMPDIR", "/tmp"))
+    good = ['1,2,3', '"a ""q""",b,"c,d"', ',,', '1,12" wide,3', '"",x,y', '5,6,']
+    bad = ['1,2', '1,2,3,4', '"1,2,3', '1,"2,3', '1,2,"3', 'rest"']
+    with open(f"{d}/a.csv", "w", encoding="utf-8-sig", newline="") as file:
+        file.write("\r\n".join(["x,y,z", *good, "", *bad, "x,y,z", "7,8,9"]) + "\r\n")
+    with open(f"{d}/b.csv", "w") as file:
+        file.write('"z","x"\n9,8\n7\n')
+    with open(f"{d}/c.csv", "w") as file:
+        file.write("x,y,z\n")
+    files = [f"{d}/{n}.csv" for n in "abc"]
+    rows = {tuple(r) for r in S.read_exports(spark, files).select("x", "y", "z").collect()}
+    assert rows == {("1", "2", "3"), ('a "q"', "b", "c,d"), (None, None, None), ("1", '12" wide', "3"), (None, "x", "y"), ("5", "6", None),
+                    ("7", "8", "9"), ("8", None, "9")} and S.read_exports(spark, files).count() == 8
+    apart = [(os.path.basename(r.file), r.n_fields, r.line) for r in S.quarantined(spark, files).collect()]
+    assert sorted(apart) == sorted([("a.csv", 3, line) for line in bad] + [("b.csv", 2, "7")])
+    counts = {os.path.basename(r.file): (r.rows, r.bad_rows) for r in S.quarantine_counts(spark, files).collect()}
+    assert counts == {"a.csv": (13, 6), "b.csv": (2, 1)}
+    with pytest.raises(ValueError, match="reserved"):
+        open(f"{d}/d.csv", "w").write("x,_file\n")
+        S.read_exports(spark, [f"{d}/d.csv"])
