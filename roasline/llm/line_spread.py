@@ -5,15 +5,17 @@ by aggregation, so a line that a third of all rows repeat is one sketch per task
 estimate is clearly below `min_sites` are left, clearly above are boilerplate, and only lines near
 the threshold get an exact distinct count.  Boilerplate lines are removed from every document.
 
-Lines are compared after trimming blanks.  Lines of fewer than `min_words` words stay: they are too
-short to tell boilerplate from prose.  A document that would lose more than `max_loss` of its
-characters is left whole: it is a copy, the business of document deduplication, and no carrier of
-boilerplate.  Equality is by 64-bit hash; an unequal line is mistaken for boilerplate with a chance
-of (boilerplate lines) / 2**64.
+Lines are compared after trimming blanks; blank lines are layout, not lines to judge, and stay.
+Every other line is judged by its spread alone, whatever its length and however much of a document
+it makes up.  A document without a line of its own (every line is held by `min_sites` sites) is a copy
+and stays whole: removing its lines from every copy would lose the text altogether, and copies are the
+business of document deduplication.  Equality is by 64-bit hash; an unequal line is mistaken for boilerplate with a chance of (boilerplate lines) / 2**64.
 
 Edge cases: a null text stays null, an empty one empty; a null site counts as one site; repeated
-rows and ties add nothing to a spread; null ids are cleaned like others; an empty table gives an
-empty result; all columns of the input are returned unchanged but the text.
+rows and ties add nothing to a spread; null and shared ids are cleaned like others (rows meet their
+lines by a hash of the text, so equal texts share one list); an empty table gives an empty result;
+all columns of the input are returned unchanged but the text, and may have any name but those that
+begin with `__line_`, which raise an error.
 """
 
 from __future__ import annotations
@@ -21,31 +23,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_SITES = 10
-MIN_WORDS = 3
-MAX_LOSS = 0.5
 LOG_K = 12
 # Six standard errors of a sketch with 2**12 registers, and one site for small counts.
 BAND = 6 * 1.04 / 64
+OWN = "__line_"  # reserved beginning of column names used inside
 
 
-def _hash_of(line: Column) -> Column:
-    """The line's hash; null for lines too short to judge."""
-    return F.xxhash64(F.btrim(line, F.lit(" \t\r")))
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r"))
 
 
-def _long_enough(line: Column, min_words: int) -> Column:
-    return line.rlike(r"[^ \t-\r]+(?:[ \t-\r]+[^ \t-\r]+){%d}" % (min_words - 1))
-
-
-def line_sites(documents: DataFrame, site: Column, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
-    """(line, site) for every line long enough to judge; `line` is its hash."""
+def line_sites(documents: DataFrame, site: Column, text_col: str = "text") -> DataFrame:
+    """(line, site) for every line that is not blank; `line` is its hash."""
     rows = documents.select(F.coalesce(F.concat(F.lit("s"), site.cast("string")), F.lit("n")).alias("site"), F.explode(F.split(F.col(f"`{text_col}`"), "\n")).alias("words"))
-    return rows.where(_long_enough(F.col("words"), min_words)).select(_hash_of(F.col("words")).alias("line"), "site")
+    return rows.select(_trimmed(F.col("words")).alias("words"), "site").where("words != ''").select(F.xxhash64("words").alias("line"), "site")
 
 
-def boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
+def boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, text_col: str = "text") -> DataFrame:
     """(line): hashes of lines that at least `min_sites` distinct sites hold."""
-    held = line_sites(documents, site, min_words, text_col)
+    held = line_sites(documents, site, text_col)
     spread = held.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"))
     low, high = min_sites * (1 - BAND) - 1, min_sites * (1 + BAND) + 1
     likely = spread.where(F.col("sites") >= low).checkpoint()
@@ -55,26 +51,28 @@ def boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES,
     return likely.where(F.col("sites") > high).select("line").unionByName(exact.select("line"))
 
 
-def remove_boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_loss: float = MAX_LOSS, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def remove_boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """`documents` with boilerplate lines removed from the text; `count_col` names an added count of removed lines.
 
-    Each document is joined with the hashes of its own boilerplate lines (at most its line count).
-    Rows that share an id share that list, which is right for each of them: boilerplate is a
-    property of the corpus.
+    A text is joined with the hashes of its own boilerplate lines (at most its line count) by two
+    hashes of the text: boilerplate is a property of the corpus, so equal texts have equal lists and
+    a group of copies is one key of one row.
     """
-    flagged = boilerplate(documents, site, min_sites, min_words, text_col).checkpoint()
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("n"))
-    lines = documents.select(key.alias("_key"), F.explode(F.array_distinct(F.split(F.col(f"`{text_col}`"), "\n"))).alias("_words"))
-    mine = lines.where(_long_enough(F.col("_words"), min_words)).select("_key", _hash_of(F.col("_words")).alias("line"))
-    mine = mine.join(flagged, "line").groupBy("_key").agg(F.collect_set("line").alias("_flagged"))
-    joined = documents.withColumn("_key", key).join(mine.hint("shuffle_hash"), "_key", "left")
+    if taken := [c for c in documents.columns if c.startswith(OWN)]:
+        raise ValueError(f"column names that begin with {OWN} are reserved: {taken}")
+    flagged = boilerplate(documents, site, min_sites, text_col).checkpoint()
     text = F.col(f"`{text_col}`")
+    one, two, mark = f"{OWN}k1", f"{OWN}k2", f"{OWN}flagged"
+    keyed = documents.withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
+    split = keyed.select(one, two, F.explode(F.array_distinct(F.transform(F.split(text, "\n"), _trimmed))).alias("words"))
+    mine = split.where("words != ''").select(one, two, F.xxhash64("words").alias("line"))
+    mine = mine.join(flagged, "line").groupBy(one, two).agg(F.collect_set("line").alias(mark))
+    joined = keyed.join(mine.hint("shuffle_hash"), [one, two], "left")
     all_lines = F.split(text, "\n")
-    stay = F.filter(all_lines, lambda x: ~(F.array_contains("_flagged", _hash_of(x)) & _long_enough(x, min_words)))
-    joined = joined.withColumn("_stay", F.when(F.col("_flagged").isNotNull(), stay)).withColumn("_new", F.array_join("_stay", "\n"))
-    lost = F.length(text) - F.length("_new")
-    changed = F.col("_flagged").isNotNull() & (lost <= max_loss * F.length(text))
-    out = [F.when(changed, F.col("_new")).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in documents.columns]
+    stay = F.filter(all_lines, lambda x: (_trimmed(x) == "") | ~F.array_contains(mark, F.xxhash64(_trimmed(x))))
+    joined = joined.withColumn(f"{OWN}stay", F.when(F.col(mark).isNotNull(), stay))
+    has_own = F.exists(f"{OWN}stay", lambda x: _trimmed(x) != "")  # null where nothing is flagged
+    out = [F.when(has_own, F.array_join(f"{OWN}stay", "\n")).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in documents.columns]
     if count_col:
-        out.append(F.when(changed, F.size(all_lines) - F.size("_stay")).otherwise(0).cast("long").alias(count_col))
+        out.append(F.when(has_own, F.size(all_lines) - F.size(f"{OWN}stay")).otherwise(0).cast("long").alias(count_col))
     return joined.select(*out)

@@ -133,13 +133,13 @@ ORACLE_SQL = {
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
         l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS words, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM d),
         k AS (SELECT *, trim(words, chr(32) || chr(9) || chr(13)) AS line,
-              regexp_matches(words, '[^ \t-\r]+(?:[ \t-\r]+[^ \t-\r]+){2}') AS judged FROM l),
+              trim(words, chr(32) || chr(9) || chr(13)) <> '' AS judged FROM l),
         b AS (SELECT line FROM k WHERE judged GROUP BY line HAVING count(DISTINCT coalesce('s' || source, 'n')) >= 10),
         m AS (SELECT k.*, judged AND k.line IN (SELECT line FROM b) AS gone FROM k),
-        n AS (SELECT r, coalesce(string_agg(words, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept, count(*) FILTER (WHERE gone) AS lines FROM m GROUP BY r)
+        n AS (SELECT r, coalesce(string_agg(words, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept, count(*) FILTER (WHERE gone) AS lines,
+              coalesce(bool_or(judged AND NOT gone), false) AS own FROM m GROUP BY r)
         SELECT doc_id, source,
-          CASE WHEN lines > 0 AND length(text) - length(kept) <= 0.5 * length(text) THEN kept ELSE text END AS text,
-          CASE WHEN lines > 0 AND length(text) - length(kept) <= 0.5 * length(text) THEN lines ELSE 0 END AS n_removed_lines
+          CASE WHEN own THEN kept ELSE text END AS text, CASE WHEN own THEN lines ELSE 0 END AS n_removed_lines
         FROM d LEFT JOIN n USING (r)""",
     "op12_trie_collocations": r"""
         WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),

@@ -111,3 +111,18 @@ def test_weights_share_records(spark):
     keys = spark.range(20_000).withColumnRenamed("id", "doc_id")
     counts = {r.shard: r["count"] for r in sharding.assign(keys, (1.0, 3.0, 0.0)).groupBy("shard").count().collect()}
     assert 2 not in counts and counts[1] / counts[0] == pytest.approx(3, rel=0.1)
+
+
+def test_lines_are_judged_by_spread_alone(spark):
+    """Short lines and documents that are mostly boilerplate are cleaned; copies, blank lines, null and shared ids."""
+    rows = [(None if n % 2 else 1, f"Menu\n\nHome  \nown words {n}", f"s{n}") for n in range(10)]
+    rows += [(2, "Menu\n \nHome", f"s{n}") for n in range(3)] + [(None, "x\n" * 50 + "y", "s0"), (None, None, "s1"), (3, "", None), (4, "Home\nlast", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"_key": F.lit("mine"), "line": F.lit(7), "_flagged": F.lit("f"), "words": F.lit(1)})
+    out = line_spread.remove_boilerplate(d, F.col("source"), count_col="gone")
+    assert out.columns == [*d.columns, "gone"] and out.where("_key = 'mine' and line = 7 and _flagged = 'f' and words = 1").count() == len(rows)
+    got = sorted(((r.doc_id, r.text, r.source, r.gone) for r in out.collect()), key=repr)
+    wanted = [(None if n % 2 else 1, f"\nown words {n}", f"s{n}", 2) for n in range(10)]
+    wanted += [(i, t, s, 0) for i, t, s in rows[10:-1]] + [(4, "last", None, 1)]
+    assert got == sorted(wanted, key=repr)
+    with pytest.raises(ValueError, match="__line_"):
+        line_spread.remove_boilerplate(d.withColumn("__line_k1", F.lit(1)), F.col("source"))
