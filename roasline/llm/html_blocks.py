@@ -15,7 +15,11 @@ styles, comments and the head are not text.
 
 Edge cases: null or empty html gives the empty text; markup cut off at the end is dropped, text
 before it kept; unclosed and stray tags are closed or ignored as browsers do; repeated rows are
-extracted each; null ids are carried; an empty table gives an empty result.
+extracted each; null ids are carried; an empty table gives an empty result.  Extra columns of any
+name are carried, but ones named like the added text and length columns are replaced by these.
+Tags and attributes are read as browsers read them: a comment ends at `-->`, `--!>` or at once
+(`<!-->`), a quote in an attribute counts only right after `=`.  Time is linear in the page, however
+deep it is nested.
 """
 
 from __future__ import annotations
@@ -23,31 +27,37 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .flat import RangeHash, U64, Words, slices
 
 PATH_DIM, WORD_DIM, EXTRA_DIM = 256, 32, 3
 HIDDEN = 16
-TRAIN_PAGES = 600
+TRAIN_PAGES = 1500
 EPOCHS = 14
+UNNAMED = (0.0, 0.0, 0.0, 0.3, 1.0)  # shares of elements without a telling name, drawn for each training page
 SEED = 42
 
 # Element classes of HTML.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
 HIDDEN_TEXT = frozenset("head iframe script style svg template title".split())
+FOREIGN = frozenset(("svg", "math"))
 ENDS_P = BLOCKS - frozenset("body button caption html label legend noscript optgroup option select tbody td textarea tfoot th thead tr".split())
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd dt", ("dl",)), "dd": ("dd dt", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+# Attributes as HTML reads them: a quote counts only right after the equals sign.
+ATTRS = r"""(?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*|(?=>)))?)*"""
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|iframe|noframes)\b(?P<rawattrs>[^>]*)(?:>|\Z)(?P<body>.*?)(?:</(?P=raw)\s*[^>]*(?:>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<end>>|\Z)|</?[a-z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<(?P<raw>script|style|textarea|title|iframe|noframes)(?=[\s/>]){ATTRS}(?:>|\Z)(?P<body>.*?)(?:</(?P=raw)(?=[\s/>]|\Z)[^>]*(?:>|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>{ATTRS})(?P<end>>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.I | re.S,
 )
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -55,44 +65,51 @@ NAME = re.compile(r"[a-z]+", re.I)
 
 
 class Leaf:
+    """A leaf block; `path` holds the hashed tokens of its ancestors, one bit for each place of the vector."""
+
     __slots__ = ("path", "text", "linked")
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
+    def __init__(self, path: int, text: str, linked: int):
         self.path, self.text, self.linked = path, text, linked
 
 
 @lru_cache(4096)
-def _names(tag: str, attrs: str) -> tuple[str, ...]:
-    """The element's path tokens: its tag, and the words of class, id and role marked as names."""
-    out = [tag]
+def _names(tag: str, attrs: str) -> int:
+    """The element's path bits: its tag, and the words of class, id and role marked as names; two places for every token."""
+    tokens = {tag}
     for m in ATTR.finditer(attrs):
-        out += ["." + w.lower() for w in NAME.findall(m[2] or m[3] or m[4] or "")]
-    return tuple(out)
+        tokens |= {"." + w.lower() for w in NAME.findall(m[2] or m[3] or m[4] or "")}
+    bits = 0
+    for token in tokens:
+        for seed in (1, 2):
+            bits |= 1 << xxhash.xxh64_intdigest(token, seed) % PATH_DIM
+    return bits
 
 
 def leaves(page: str) -> list[Leaf]:
     """Leaf blocks of a page in order."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, int]] = []  # open elements, each with the path bits down to it
+    count: Counter[str] = Counter()  # open elements by tag, so that none is searched for in vain
     out: list[Leaf] = []
     buffer: list[str] = []
-    linked, hidden, links = 0, 0, 0
+    linked, hidden = 0, 0
 
     def flush() -> None:
         nonlocal linked
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
-                out.append(Leaf(tuple(n for _, names in stack for n in names), text, linked))
+                out.append(Leaf(stack[-1][1] if stack else 0, text, linked))
             buffer.clear()
         linked = 0
 
     def pop_to(place: int) -> None:
-        nonlocal hidden, links
+        nonlocal hidden
         if any(tag in BLOCKS for tag, _ in stack[place:]):
             flush()
         for tag, _ in stack[place:]:
             hidden -= tag in HIDDEN_TEXT
-            links -= tag == "a"
+            count[tag] -= 1
         del stack[place:]
 
     def text(raw: str) -> None:
@@ -100,7 +117,7 @@ def leaves(page: str) -> list[Leaf]:
         if not hidden and raw:
             plain = html.unescape(raw) if "&" in raw else raw
             buffer.append(plain)
-            linked += len(plain) if links else 0
+            linked += len(plain) if count["a"] else 0
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -111,14 +128,15 @@ def leaves(page: str) -> list[Leaf]:
             if m["raw"].lower() == "textarea":
                 flush()
                 buffer.append(html.unescape(m["body"]))
-                stack.append(("textarea", ("textarea",)))
+                stack.append(("textarea", (stack[-1][1] if stack else 0) | _names("textarea", "")))
+                count["textarea"] += 1
                 pop_to(len(stack) - 1)
             continue
         if not m["tag"] or not m["end"]:
             continue
         tag = m["tag"].lower()
         if m["close"]:
-            for place in range(len(stack) - 1, -1, -1):
+            for place in range(len(stack) - 1, -1, -1) if count[tag] else ():
                 if stack[place][0] == tag:
                     pop_to(place)
                     break
@@ -130,40 +148,34 @@ def leaves(page: str) -> list[Leaf]:
             inner, outer = CLOSES.get(tag, ("", ()))
             wanted = {*inner.split(), "p"} if tag in ENDS_P else set(inner.split())
             for place in range(len(stack) - 1, -1, -1):
+                if not any(count[t] for t in wanted):
+                    break
                 if stack[place][0] in wanted:
                     pop_to(place)
                 elif stack[place][0] in outer or stack[place][0] == "button":
                     break
         if tag == "body" or tag in BLOCKS:
-            for place, (open_, _) in enumerate(stack):
-                if open_ == "head":
-                    pop_to(place)
-                    break
+            if count["head"]:
+                pop_to(next(place for place, (open_, _) in enumerate(stack) if open_ == "head"))
             flush()
-        if tag not in VOID:
-            stack.append((tag, _names(tag, m["attrs"])))
+        closed = tag in FOREIGN and m["attrs"].endswith("/")
+        if tag not in VOID and not closed:
+            stack.append((tag, (stack[-1][1] if stack else 0) | _names(tag, m["attrs"])))
+            count[tag] += 1
             hidden += tag in HIDDEN_TEXT
-            links += tag == "a"
     if at < len(page):
         text(page[at:])
     flush()
     return out
 
 
-@lru_cache(1 << 16)
-def _path_places(path: tuple[str, ...]) -> np.ndarray:
-    """Places of a path in its hashed vector: two for every token."""
-    values = [xxhash.xxh64_intdigest(t, s) % PATH_DIM for t in set(path) for s in (1, 2)]
-    return np.array(values, np.int64)
-
-
 def features(blocks: list[Leaf]) -> np.ndarray:
     """(leaves, PATH_DIM + WORD_DIM + EXTRA_DIM)."""
     out = np.zeros((len(blocks), PATH_DIM + WORD_DIM + EXTRA_DIM), np.float32)
     if not blocks:
         return out
-    for n, leaf in enumerate(blocks):
-        out[n, _path_places(leaf.path)] = 1.0
+    bits = np.frombuffer(b"".join(leaf.path.to_bytes(PATH_DIM // 8, "little") for leaf in blocks), np.uint8)
+    out[:, :PATH_DIM] = np.unpackbits(bits.reshape(len(blocks), -1), axis=1, bitorder="little")
     encoded = [leaf.text.encode("utf-8", "replace") for leaf in blocks]
     data = np.frombuffer(b"".join(encoded), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(e) for e in encoded])]).astype(np.int64)
@@ -276,22 +288,31 @@ PARTS_IN = "article content post entry main story body text post-content entry-c
 TAGS_OUT = {"menu": "nav div ul header", "header": "header div", "footer": "footer div", "side": "aside div section", "ad": "div aside section", "notice": "div aside section", "comments": "section div ol", "form": "form"}
 
 
-def _layout(r: random.Random) -> tuple[str, list[bool]]:
-    """A page and the label of each leaf, in order."""
+def _layout(r: random.Random, unnamed: float = 0.0) -> tuple[str, list[bool]]:
+    """A page and the label of each leaf, in order; a share `unnamed` of its elements has no telling name."""
     labels: list[bool] = []
     syllables = [a + b for a in "bdfghklmnprstvz" for b in ("a", "e", "i", "o", "u", "en", "er", "on", "th")]
 
     def words(low: int, high: int) -> str:
         return " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(r.randint(low, high))).capitalize() + r.choice([".", "", "!", " ***", "&amp;"])
 
+    def untold(chance: float) -> str:
+        """A class that tells nothing, as generated style sheets name them; main and other blocks get it alike."""
+        if r.random() >= chance:
+            return ""
+        made = ["".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(r.randint(1, 3))]
+        return f' class="{r.choice(["", "c-", "sc-", "u-"])}{r.choice(["__", "-", " "]).join(made)}"'
+
     def leaf(tag: str, main: bool, low: int, high: int, link: bool = False) -> str:
         labels.append(main)
         inner = words(low, high)
         inner = f'<a href="/x">{inner}</a>' if link else r.choice([inner, inner, f"<b>{inner}</b>", f"<span>{inner}<br></span>"])
-        return f"<{tag}>{inner}" + (f"</{tag}>" if tag not in ("p", "li") or r.random() < 0.85 else "")
+        return f"<{tag}{untold(unnamed)}>{inner}" + (f"</{tag}>" if tag not in ("p", "li") or r.random() < 0.85 else "")
 
     def named(tag: str, names: str, inner: str, chance: float) -> str:
         name = r.choice(names.split())
+        if r.random() < unnamed:
+            return f"<{tag}{untold(0.7)}>{inner}</{tag}>"
         attr = f' {r.choice(["class", "class", "id"])}="{name}"' if r.random() < chance else ""
         return f"<{tag}{attr}>{inner}</{tag}>"
 
@@ -339,6 +360,8 @@ def _layout(r: random.Random) -> tuple[str, list[bool]]:
     wrapped = r.random()
     parts.append(f"<main>{core}</main>" if wrapped < 0.2 else f"<div><div>{core}</div></div>" if wrapped < 0.3 else core)
     parts += [out_part(k) for k in r.sample(["side", "comments", "footer", "notice", "ad", "menu"], r.randint(0, 4))]
+    if unnamed and r.random() < 0.3:
+        parts = ["<table><tr>" + "".join(f"<td>{p}</td>" for p in parts) + "</tr></table>"]
     cut = r.random() < 0.8
     page = f"<!DOCTYPE html><html><head><title>{words(1, 5)}</title><style>p{{}}</style></head><body>" + "".join(parts) + ("</body></html>" if cut else "")
     return page, labels
@@ -350,7 +373,7 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED) -> d
     r, draw = random.Random(seed), np.random.default_rng(seed)
     data = []
     while len(data) < pages:
-        page, labels = _layout(r)
+        page, labels = _layout(r, r.choice(UNNAMED))
         found = leaves(page)
         if found and len(found) == len(labels):
             data.append((features(found), np.array(labels, np.float32)))
@@ -408,4 +431,4 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", ch
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in carried] + [f"`{text_col}` string", f"`{chars_col}` long"])
-    return pages.select(*carried, html_col).mapInArrow(run, schema)
+    return pages.select(*[F.col(f"`{c}`") for c in (*carried, html_col)]).mapInArrow(run, schema)

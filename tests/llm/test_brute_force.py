@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -214,3 +215,39 @@ def test_main_text_of_held_out_layouts():
             wrong += int((html_blocks.predict(weights, [html_blocks.features(found)])[0] != np.array(labels)).sum())
             total += len(labels)
     assert total > 2000 and wrong <= 0.01 * total
+
+
+def test_layouts_without_telling_names():
+    """Pages whose elements have no names, or generated ones, in tables too: most blocks are told apart by context."""
+    weights, r = html_blocks.train(), random.Random(77)
+    wrong = total = 0
+    for _ in range(200):
+        page, labels = html_blocks._layout(r, 1.0)
+        found = html_blocks.leaves(page)
+        if found and len(found) == len(labels):
+            wrong += int((html_blocks.predict(weights, [html_blocks.features(found)])[0] != np.array(labels)).sum())
+            total += len(labels)
+    assert total > 2000 and wrong <= 0.12 * total, (wrong, total)
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<p>a<!--><p>b", ["a", "b"]), ("<p>a<!--->c<p>b", ["ac", "b"]), ("<p>a<!-- x --!>z<p>b", ["az", "b"]), ("<p>a<!-- x -- > y --><p>b", ["a", "b"]),
+    ("<p title=don't>a</p><p>b it's</p><p>c</p>", ["a", "b it's", "c"]), ("<p title='>' id=\">\">a</p>", ["a"]), ("<a href=x/y?a=b>l</a>", ["l"]),
+    ("<p class=\"abc>x<p>y", ["x", "y"]), ("<svg/>t<p>x", ["t", "x"]), ("<title-bar>x</title-bar><p>y", ["x", "y"]), ("<p =a>x</p><p a=>y</p>", ["x", "y"]),
+    ("<script>a</scripty>b</script ><p>c", ["c"]), ("<head><title>t</title><p>a", ["a"]), ("x < 3 y</p>", ["x < 3 y"]),
+])
+def test_markup_as_browsers_read_it(page, blocks):
+    assert [leaf.text for leaf in html_blocks.leaves(page)] == blocks
+
+
+def test_deep_pages_take_linear_time():
+    start = time.perf_counter()
+    assert len(html_blocks.leaves("<div>a" * 40_000)) == 40_000 and [x.text for x in html_blocks.leaves("<div>" * 40_000 + "x")] == ["x"]
+    assert time.perf_counter() - start < 10
+
+
+def test_article_with_generated_class_names():
+    text = "The council voted on Tuesday to widen the river path between the old mill and the harbour, after two years of talks with people who live there."
+    page = f'<body><nav><a href=x>Home</a></nav><article><p class="c-story__copy">{text}</p><p class="c-story__copy">{text}</p></article></body>'
+    other = f'<body><div class="c-nav__list"><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></div><div class="c-story__copy"><h1>River path</h1><p>{text}</p><p>{text}</p></div></body>'
+    assert html_blocks.main_texts(html_blocks.train(), [page, other]) == [f"{text}\n\n{text}", f"River path\n\n{text}\n\n{text}"]
