@@ -212,29 +212,35 @@ def kept_spans(size: int, places: list[int] | None, span: int) -> list[tuple[int
 
 
 def cut(documents: DataFrame, span: int = SPAN, window: int = WINDOW, step: int = STEP, text_col: str = "text", with_kept: bool = True) -> DataFrame:
-    """All columns of `documents` but the text, plus n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept (binary)."""
-    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_kept else [])]
+    """All columns of `documents` but the text, plus n_bytes, n_removed, n_spans, kept_sha256, n_kept, removed and, if asked, kept (binary).
+
+    `removed` lists the maximal removed byte ranges as start:end, comma-joined.  Columns of
+    `documents` that clash with these are replaced by them; any other name is carried.
+    """
+    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "removed", *(["kept"] if with_kept else [])]
     carried = [c for c in documents.columns if c not in own and c != text_col]
-    keyed = _keyed(documents.select(*[F.col(f"`{c}`") for c in carried], text_col), text_col)
-    copies = keyed.where(F.octet_length(F.col(f"`{text_col}`")) >= span).groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(True).alias("copied"))
-    marks = repeated_places(documents, span, window, step, text_col).join(copies, ["k1", "k2"], "full_outer")
-    joined = keyed.join(marks.hint("shuffle_hash"), ["k1", "k2"], "left").select(*[F.col(f"`{c}`") for c in carried], text_col, "places", "copied")
+    inner = [f"__{n}" for n in range(len(carried))]  # so that no name of a caller meets one used here
+    plain = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carried, inner)], F.col(f"`{text_col}`").alias("__text"))
+    keyed = _keyed(plain, "__text")
+    copies = keyed.where(F.octet_length("__text") >= span).groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(True).alias("copied"))
+    marks = repeated_places(plain, span, window, step, "__text").join(copies, ["k1", "k2"], "full_outer")
+    joined = keyed.join(marks.hint("shuffle_hash"), ["k1", "k2"], "left").select(*inner, "__text", "places", "copied")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col, 1 << 20):
+            for part in slices(batch, "__text", 1 << 20):
                 facts: list[tuple] = []
-                for text, places, copied in zip(*(part.column(c).to_pylist() for c in (text_col, "places", "copied"))):
+                for text, places, copied in zip(*(part.column(c).to_pylist() for c in ("__text", "places", "copied"))):
                     data = (text or "").encode()
                     stay = [] if copied else kept_spans(len(data), places, span)
                     kept = b"".join(data[a:b] for a, b in stay)
-                    inner = sum(1 for (_, a), (b, _) in zip(stay, stay[1:]) if a < b)
-                    ends = (stay[0][0] > 0) + (stay[-1][1] < len(data)) if stay else int(len(data) > 0)
-                    facts.append((len(data), len(data) - len(kept), inner + ends, hashlib.sha256(kept).hexdigest(), kept))
+                    gone = [(a, b) for a, b in zip([0, *(b for _, b in stay)], [*(a for a, _ in stay), len(data)]) if a < b]
+                    ranges = ",".join(f"{a}:{b}" for a, b in gone)
+                    facts.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), len(kept), ranges, kept))
                 columns = list(zip(*facts))[: len(own)]
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in carried] + [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*carried, *own])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in inner] + [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*inner, *own])
 
     kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in carried] + ["n_bytes long, n_removed long, n_spans long, kept_sha256 string"] + (["kept binary"] if with_kept else []))
-    return joined.mapInArrow(run, schema)
+    schema = ", ".join([f"`{n}` {kinds[c]}" for c, n in zip(carried, inner)] + ["n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, removed string"] + (["kept binary"] if with_kept else []))
+    return joined.mapInArrow(run, schema).toDF(*carried, *own)
