@@ -180,11 +180,18 @@ def _match(doc_id: str, source: str, size: str) -> F.Column:
 
 
 def mixed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: every row of `documents` as many times as it has copies (columns unchanged)."""
+    """The mix itself: every row of `documents` as many times as it has copies (columns unchanged, whatever their names).
+
+    Among rows of equal id, source and size the extra copies go by text hash, then by the other
+    columns, so reruns agree.
+    """
     plan = mix_sources(documents, id_col, text_col, source_col, **options).where("whole > 0 or extra > 0")
     plan = plan.select(_match("doc_id", "source", "size").alias("_key"), F.col("whole").alias("_whole"), F.col("extra").alias("_extra"))
-    sized = documents.withColumn("_words", word_count(text_col)).withColumn("_key", _match(f"`{id_col}`", f"`{source_col}`", "_words"))
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key")) - 1
+    names = [f"__{n}" for n in range(len(documents.columns))]
+    id_, text, source = (names[documents.columns.index(c)] for c in (id_col, text_col, source_col))
+    sized = documents.toDF(*names).withColumn("_words", word_count(text)).withColumn("_key", _match(id_, source, "_words"))
+    others = F.to_json(F.struct(*[n for n in names if n != text]))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(text), others)) - 1
     copies = (F.col("_whole") + (nth < F.col("_extra")).cast("long")).cast("int")
     taken = sized.join(plan, "_key").withColumn("_copies", copies).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*names).toDF(*documents.columns)

@@ -221,13 +221,18 @@ def hex_text(column: str) -> F.Column:
 def keep_one(documents: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `documents` with one row per class: the one with the smallest id, of equal ids the least text hash.
 
-    A row with a null id stays only where its class has no other.  Fully repeated rows count once.
+    A row with a null id stays only where its class has no other.  Of rows with equal id and text
+    the one whose other columns come first as text stays.  Columns are unchanged, whatever their names.
     """
-    keyed = documents.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_text", F.xxhash64(F.col(f"`{text_col}`")))
+    names = [f"__{n}" for n in range(len(documents.columns))]
+    text = names[documents.columns.index(text_col)]
+    keyed = documents.toDF(*names).withColumns({"_id": F.col(names[documents.columns.index(id_col)]).cast("long"), "_text": F.xxhash64(text)})
     # classes of texts: here the text hash stands for the id
-    of_text = classes(keyed, words, max_bits, id_col="_text", text_col=text_col).select(F.col("doc_id").alias("_text"), "component_id").distinct()
+    of_text = classes(keyed, words, max_bits, id_col="_text", text_col=text).select(F.col("doc_id").alias("_text"), "component_id").distinct()
     row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_text")
     least = keyed.groupBy("_text").agg(F.min(row).alias("row")).join(of_text, "_text").groupBy("component_id").agg(F.min("row").alias("row"))
     reps = least.select(F.col("row._id").alias("_keep"), F.col("row._text").alias("_kept"))
     kept = keyed.join(reps, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_text") == F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["_id", "_text"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    others = F.to_json(F.struct(*[n for n in names if n != text]))
+    one = kept.groupBy("_id", "_text").agg(F.min_by(F.struct(*names), others).alias("row"))
+    return one.select("row.*").toDF(*documents.columns)

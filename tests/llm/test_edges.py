@@ -126,3 +126,27 @@ def test_lines_are_judged_by_spread_alone(spark):
     assert got == sorted(wanted, key=repr)
     with pytest.raises(ValueError, match="__line_"):
         line_spread.remove_boilerplate(d.withColumn("__line_k1", F.lit(1)), F.col("source"))
+
+
+def test_names_used_inside_are_carried(spark):
+    names = ["k1", "k2", "places", "copied", "__0", "__text", "_key", "_words", "_id", "_text", "_n"]
+    d = docs(spark).select("doc_id", "text", "source", *[F.lit(f"my {c}").alias(c) for c in names])
+    for name, out in {"repeats": repeats.cut(d), "keep": simhash.keep_one(d), "mix": mixing.mixed(d)}.items():
+        rows = out.select(*names).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"my {c}" for c in names)], name
+
+
+def test_choices_among_unequal_rows_are_repeatable(spark):
+    """Equal ids, sources and sizes but other texts or columns: the same rows however they are dealt."""
+    rows = [(None, f"word{n % 7} and more words here {n % 7}", "a" if n % 3 else "b", n % 5) for n in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    for call in (mixing.mixed, simhash.keep_one):
+        one, two = (sorted((tuple(r) for r in call(d.repartition(parts, *cols)).collect()), key=repr) for parts, cols in ((1, []), (5, [F.rand(3)])))
+        assert one == two and one
+
+
+def test_removed_ranges_add_up(spark):
+    rows = {r.doc_id: r for r in repeats.cut(spark.createDataFrame(
+        [(1, "a b c " + LONG[:900] + " d e f"), (2, LONG[:900]), (3, "short")], "doc_id long, text string")).collect()}
+    assert rows[1].removed == "6:906" and rows[2].removed == "0:900" and rows[3].removed == ""
+    assert all(r.n_kept == len(r.kept) == r.n_bytes - r.n_removed for r in rows.values())
