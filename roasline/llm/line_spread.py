@@ -13,7 +13,7 @@ business of document deduplication.  Equality is by 64-bit hash; an unequal line
 
 Edge cases: a null text stays null, an empty one empty; a null site counts as one site; repeated
 rows and ties add nothing to a spread; null and shared ids are cleaned like others (rows meet their
-lines by a hash of the text, so equal texts share one list); an empty table gives an empty result;
+lines by hashes of text and id); an empty table gives an empty result;
 all columns of the input are returned unchanged but the text, and may have any name but those that
 begin with `__line_`, which raise an error.
 """
@@ -51,19 +51,19 @@ def boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES,
     return likely.where(F.col("sites") > high).select("line").unionByName(exact.select("line"))
 
 
-def remove_boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def remove_boilerplate(documents: DataFrame, site: Column, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """`documents` with boilerplate lines removed from the text; `count_col` names an added count of removed lines.
 
-    A text is joined with the hashes of its own boilerplate lines (at most its line count) by two
-    hashes of the text: boilerplate is a property of the corpus, so equal texts have equal lists and
-    a group of copies is one key of one row.
+    A document is joined with the hashes of its own boilerplate lines (at most its line count) by a
+    hash of the text and one of text and id, so a group of copies is spread by its ids and rows that
+    share both share one list, which is right for each of them.
     """
     if taken := [c for c in documents.columns if c.startswith(OWN)]:
         raise ValueError(f"column names that begin with {OWN} are reserved: {taken}")
     flagged = boilerplate(documents, site, min_sites, text_col).checkpoint()
     text = F.col(f"`{text_col}`")
     one, two, mark = f"{OWN}k1", f"{OWN}k2", f"{OWN}flagged"
-    keyed = documents.withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
+    keyed = documents.withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), F.col(f"`{id_col}`"), text)})
     split = keyed.select(one, two, F.explode(F.array_distinct(F.transform(F.split(text, "\n"), _trimmed))).alias("words"))
     mine = split.where("words != ''").select(one, two, F.xxhash64("words").alias("line"))
     mine = mine.join(flagged, "line").groupBy(one, two).agg(F.collect_set("line").alias(mark))
