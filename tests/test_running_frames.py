@@ -69,3 +69,28 @@ def test_layouts_are_tried_in_their_order(spark):
     assert [r.d for r in rows] == [dt.date(2024, 3, 9)] * 4 + [None, None, dt.date(2024, 3, 9)]
     first = spark.createDataFrame([("10/11/2012",)], "t string").select(parse_date("t", formats=("dd/MM/yyyy", "MM/dd/yyyy")).alias("d")).first().d
     assert first == dt.date(2012, 11, 10)
+
+
+def test_frames_are_few_sums_and_spine_rows_come_without_a_lambda(spark):
+    """Ten running sums for each of the nine edges; the spine is generated in compiled code from rows in date order."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    text = FE.training_set(RG.dated(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    window = max((line for line in text.splitlines() if "Window [" in line), key=len)
+    assert window.count("specifiedwindowframe(RangeFrame") == 10 * len(FE._EDGES)
+    spine = next(line for line in text.splitlines() if "Generate posexplode" in line)
+    assert "sequence(" in spine and "lambda" not in spine
+
+
+def test_extreme_days_keep_their_last_unit(spark):
+    """Negative and largest days whose low bits share a long, rows and days in another, over the whole range of dates."""
+    low, high = -9_999_999.99999999, 9_999_999.99999999
+    days = [dt.date(1, 1, 1), *[D0 + dt.timedelta(days=d) for d in range(0, 200)], dt.date(9999, 12, 31)]
+    rows = [(d, "Google Ads", None, "n", "t", low, low, high, low, high, high if i % 2 else low) for i, d in enumerate(days)]
+    cut = FE.spine_features(spark.createDataFrame(rows, SCHEMA)).where("cutoff_date between '2020-02-01' and '2020-06-01'").collect()
+    assert len(cut) > 10
+    for r in cut:
+        inside = [x for x in rows if 0 <= (r.cutoff_date - x[0]).days < 30]
+        assert (r.hist_30d_rows, r.hist_30d_active_days) == (30, 30) and len(inside) == 30
+        units = sum(round(x[10] * 1e8) for x in inside)
+        assert r.hist_30d_revenue == units / 1e8 and r.hist_30d_spend == -999_999_999_999_999 * 30 / 1e8 and r.hist_30d_clicks == 999_999_999_999_999 * 30 / 1e8
