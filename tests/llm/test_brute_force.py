@@ -8,9 +8,10 @@ import time
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from roasline.llm import html_blocks, queries, simhash
+from roasline.llm import html_blocks, queries, repeats, simhash
 from roasline.llm.bpe import Automaton
 
 SF = "/root/testdata/sf0.001"
@@ -251,3 +252,22 @@ def test_article_with_generated_class_names():
     page = f'<body><nav><a href=x>Home</a></nav><article><p class="c-story__copy">{text}</p><p class="c-story__copy">{text}</p></article></body>'
     other = f'<body><div class="c-nav__list"><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></div><div class="c-story__copy"><h1>River path</h1><p>{text}</p><p>{text}</p></div></body>'
     assert html_blocks.main_texts(html_blocks.train(), [page, other]) == [f"{text}\n\n{text}", f"River path\n\n{text}\n\n{text}"]
+
+
+def test_only_texts_with_a_mark_are_shuffled(spark, monkeypatch):
+    """Hashes in the sieve pass, most others do not; a sieve that lets everything pass changes no result."""
+    ids = spark.range(4000).select(F.xxhash64("id").alias("k1"), "id")
+    hit = {r.id for r in repeats.sifted(ids, ids.where("id < 100")).where("hit").collect()}
+    assert hit >= set(range(100)) and len(hit) < 110
+    assert repeats.sifted(ids, ids.where("id < 0")).where("hit").count() == 0
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8)))
+    long, short = (" ".join(word() for _ in range(k)) for k in (90, 52))
+    assert len(long) >= 400 > len(short) + 2      # over 50 words may be less than the 400 bytes that the contract names
+    own = lambda: " ".join(word() for _ in range(80))
+    texts = [f"{own()}|{long}|{own()}" for _ in range(3)] + [f"{own()}#{short}#{own()}" for _ in range(3)] + [own() for _ in range(20)] + [None, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(map(tuple, repeats.cut(d).collect()))
+    assert [r[2] >= len(long) for r in found] == [True] * 3 + [False] * 25 and [r[2] for r in found[3:]] == [0] * 25
+    monkeypatch.setattr(repeats, "WORDS", 1)
+    assert sorted(map(tuple, repeats.cut(d).collect())) == found
